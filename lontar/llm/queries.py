@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lontar.llm import neardup
+from lontar.llm import canonical, mixing, neardup, sourcelines, tokens
 from lontar.llm.catalog import ORACLES, QUERIES, query  # noqa: F401
+from lontar.session import cut
 from lontar.sources.tables import table
 
 #: What makes two articles near-duplicates in TESTDATA.md.
@@ -16,7 +17,7 @@ P5 = {"n": 3, "threshold": 0.5, "min_words": 60}
 def p5_found(spark: SparkSession, sf: str) -> DataFrame:
     """Pairs of articles that share at least half of the union of their three-word sequences."""
     members, links = neardup.near_duplicates(table(spark, sf, "articles"), **P5)
-    return neardup.expand_pairs(cut_once(members), links).select(F.col("id_a").alias("article_id_a"), F.col("id_b").alias("article_id_b"))
+    return neardup.expand_pairs(cut(members), links).select(F.col("id_a").alias("article_id_a"), F.col("id_b").alias("article_id_b"))
 
 
 @query("p5_classes")
@@ -27,7 +28,66 @@ def p5_classes(spark: SparkSession, sf: str) -> DataFrame:
     return members.join(ends, "rep", "left").select(F.col("id").alias("article_id"), F.col("rep").alias("class_id"), F.coalesce("links", F.lit(0)).alias("links"))
 
 
-def cut_once(df: DataFrame) -> DataFrame:
-    from lontar.session import cut
+@query("p2_found")
+def p2_found(spark: SparkSession, sf: str) -> DataFrame:
+    """The entry of category_ref that each article's typed section means, 0 where none fits."""
+    reference = table(spark, sf, "category_ref")
+    mapped = canonical.map_records(table(spark, sf, "articles").join(F.broadcast(reference.select(F.col("name").alias("category"))), "category", "left_anti"), reference)
+    return mapped.select(F.col("id").alias("article_id"), "category_id")
 
-    return cut(df)
+
+@query("p2_report")
+def p2_report(spark: SparkSession, sf: str) -> DataFrame:
+    """Every typed section with the entry it maps to and its number of articles; unmatched ones with entry 0."""
+    return canonical.report(canonical.map_records(table(spark, sf, "articles"), table(spark, sf, "category_ref"))).withColumnRenamed("value", "category")
+
+
+P4_SQL = r"""
+WITH lines AS (
+  SELECT source_id, article_id, unnest(string_split(content_text, chr(10))) AS raw, generate_subscripts(string_split(content_text, chr(10)), 1) AS line_no
+  FROM articles WHERE content_text IS NOT NULL
+), norm AS (
+  SELECT source_id, article_id, line_no, trim(regexp_replace(regexp_replace(lower(raw), '[0-9]', '', 'g'), '[\s\x{0B}\x{1C}-\x{1F}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+', ' ', 'g')) AS line FROM lines
+), kept AS (SELECT * FROM norm WHERE regexp_matches(line, '\p{L}')),
+sizes AS (SELECT source_id, count(*) AS n_all FROM articles GROUP BY source_id),
+counts AS (SELECT source_id, line, count(DISTINCT article_id) AS n_docs FROM kept GROUP BY source_id, line)
+SELECT k.article_id, CAST(k.line_no AS INTEGER) AS line_no
+FROM kept k JOIN counts c USING (source_id, line) JOIN sizes s USING (source_id)
+WHERE c.n_docs >= 5 AND c.n_docs >= 0.02 * s.n_all
+"""
+
+
+@query("p4_found", P4_SQL)
+def p4_found(spark: SparkSession, sf: str) -> DataFrame:
+    """Where lines stand that are repeated within their source."""
+    articles = table(spark, sf, "articles")
+    return sourcelines.occurrences(articles, sourcelines.repeated_lines(articles)).withColumnRenamed("id", "article_id")
+
+
+@query("p4_cleaned")
+def p4_cleaned(spark: SparkSession, sf: str) -> DataFrame:
+    """Every article's text without the lines repeated within its source."""
+    articles = table(spark, sf, "articles")
+    return sourcelines.without_lines(articles, sourcelines.repeated_lines(articles)).select(F.col("id").alias("article_id"), F.col("text").alias("content_text"))
+
+
+@query("p7_ids")
+def p7_ids(spark: SparkSession, sf: str) -> DataFrame:
+    """Token ids of every document."""
+    return tokens.encode_column(table(spark, sf, "documents")).withColumnRenamed("id", "doc_id")
+
+
+def _mixture(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    return mixing.mix(mixing.size_documents(table(spark, sf, "documents")), table(spark, sf, "mix_targets"))
+
+
+@query("p8_mix")
+def p8_mix(spark: SparkSession, sf: str) -> DataFrame:
+    """Each document used, with its number of uses."""
+    return _mixture(spark, sf)[0].select(F.col("id").alias("doc_id"), "source", "tokens", "uses")
+
+
+@query("p8_report")
+def p8_report(spark: SparkSession, sf: str) -> DataFrame:
+    """For each listed source the target, the share reached and what is short."""
+    return _mixture(spark, sf)[1]
