@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lontar.llm import canonical, mixing, neardup, sourcelines, tokens
+from lontar.llm import canonical, mixing, names, neardup, sourcelines, tokens
 from lontar.llm.catalog import ORACLES, QUERIES, query  # noqa: F401
 from lontar.session import cut
 from lontar.sources.tables import table
@@ -13,6 +13,18 @@ from lontar.sources.tables import table
 P5 = {"n": 3, "threshold": 0.5, "min_words": 60}
 
 
+@query("p1_found")
+def p1_found(spark: SparkSession, sf: str) -> DataFrame:
+    """Pairs of different bylines that mean the same person or organisation."""
+    return names.name_pairs(cut(names.link_names(table(spark, sf, "articles"))))
+
+
+@query("p1_entities")
+def p1_entities(spark: SparkSession, sf: str) -> DataFrame:
+    """Each byline that names one person or organisation, with the spelling that stands for the entity."""
+    return names.link_names(table(spark, sf, "articles")).select(F.col("name").alias("author_name"), "entity")
+
+
 @query("p5_found")
 def p5_found(spark: SparkSession, sf: str) -> DataFrame:
     """Pairs of articles that share at least half of the union of their three-word sequences."""
