@@ -131,6 +131,8 @@ def _token_score(a: str, b: str) -> float:
         return r
     if len(a) <= 6 and len(b) >= 6 and (a in b or (len(a) >= 4 and a[:3] == b[:3])):
         return 0.7  # a nickname
+    if 3 <= len(a) <= 6 < len(b) and lcs(a, b) >= max(2, len(a) - 1):
+        return 0.65
     return 0.0
 
 
