@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lontar.llm import canonical, mixing, names, neardup, sourcelines, tokens
+from lontar.llm import canonical, incremental, mixing, names, neardup, sourcelines, tokens
 from lontar.llm.catalog import ORACLES, QUERIES, query  # noqa: F401
 from lontar.session import cut
 from lontar.sources.tables import table
@@ -103,3 +103,9 @@ def p8_mix(spark: SparkSession, sf: str) -> DataFrame:
 def p8_report(spark: SparkSession, sf: str) -> DataFrame:
     """For each listed source the target, the share reached and what is short."""
     return _mixture(spark, sf)[1]
+
+
+@query("p6_found")
+def p6_found(spark: SparkSession, sf: str) -> DataFrame:
+    """Articles and discovered URLs that repeat something of an earlier batch."""
+    return incremental.repeats(table(spark, sf, "articles"), table(spark, sf, "discovered_urls"), table(spark, sf, "ingest_batches"), **P5)
