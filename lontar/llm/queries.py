@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lontar.llm import canonical, incremental, mixing, names, neardup, sourcelines, tokens
+from lontar.llm import canonical, incremental, mixing, names, neardup, sourcelines, subjects, tokens
 from lontar.llm.catalog import ORACLES, QUERIES, query  # noqa: F401
 from lontar.session import cut
 from lontar.sources.tables import table
@@ -109,3 +109,20 @@ def p8_report(spark: SparkSession, sf: str) -> DataFrame:
 def p6_found(spark: SparkSession, sf: str) -> DataFrame:
     """Articles and discovered URLs that repeat something of an earlier batch."""
     return incremental.repeats(table(spark, sf, "articles"), table(spark, sf, "discovered_urls"), table(spark, sf, "ingest_batches"), **P5)
+
+
+def _assigned(spark: SparkSession, sf: str) -> DataFrame:
+    documents = table(spark, sf, "documents")
+    return subjects.assign(documents, subjects.train(documents, table(spark, sf, "subject_labels"), table(spark, sf, "subject_areas")))
+
+
+@query("p9_found")
+def p9_found(spark: SparkSession, sf: str) -> DataFrame:
+    """The subject areas of each document."""
+    return _assigned(spark, sf).select("doc_id", "subject")
+
+
+@query("p9_makeup")
+def p9_makeup(spark: SparkSession, sf: str) -> DataFrame:
+    """The number of documents of every subject by source."""
+    return subjects.makeup(_assigned(spark, sf))
