@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lontar.llm import canonical, incremental, mixing, names, neardup, sourcelines, subjects, tokens
+from lontar.llm import canonical, incremental, mixing, names, neardup, residue, sourcelines, subjects, tokens
 from lontar.llm.catalog import ORACLES, QUERIES, query  # noqa: F401
 from lontar.session import cut
 from lontar.sources.tables import table
@@ -126,3 +126,15 @@ def p9_found(spark: SparkSession, sf: str) -> DataFrame:
 def p9_makeup(spark: SparkSession, sf: str) -> DataFrame:
     """The number of documents of every subject by source."""
     return subjects.makeup(_assigned(spark, sf))
+
+
+@query("p3_found")
+def p3_found(spark: SparkSession, sf: str) -> DataFrame:
+    """Articles with template residue, filler, or the text of an error, block or script page."""
+    return residue.find_residue(table(spark, sf, "articles")).select(F.col("id").alias("article_id"))
+
+
+@query("p3_report")
+def p3_report(spark: SparkSession, sf: str) -> DataFrame:
+    """Articles with residue, its kinds (the sum of 1 template, 2 filler, 4 notice) and the share of the characters it covers."""
+    return residue.find_residue(table(spark, sf, "articles")).withColumnRenamed("id", "article_id")
