@@ -5,7 +5,7 @@ from __future__ import annotations
 import unicodedata
 
 import pandas as pd
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, functions as F, types as T
 
 # Indonesian words that carry no subject, and words too general to anchor an event.
 STOPWORDS = (
@@ -27,7 +27,7 @@ def fold(s: Column) -> Column:
     return F.lower(F.regexp_replace(plain, "[\\u0300-\\u036f]", ""))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def fold_any(s: pd.Series) -> pd.Series:
     """Lower case without accents for any script, by compatibility decomposition."""
     return s.map(lambda x: "".join(c for c in unicodedata.normalize("NFKD", x or "") if not 0x300 <= ord(c) <= 0x36F).lower())

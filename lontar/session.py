@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
 def local_session(cpus: int | str = "*", app: str = "lontar", **conf: str) -> SparkSession:
-    """A local session with the settings the engine is tuned for: UTC, AQE on, ANSI off-by-need (``try_*`` functions are used)."""
+    """A local session with the settings the engine is tuned for: UTC and AQE on."""
     os.environ.setdefault("TZ", "UTC")
     builder = (
         SparkSession.builder.master(f"local[{cpus}]")
@@ -28,6 +30,23 @@ def local_session(cpus: int | str = "*", app: str = "lontar", **conf: str) -> Sp
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors' Python workers, once for each application; they need not have it on their path."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    here = Path(__file__).resolve().parent
+    name = os.path.join(tempfile.mkdtemp(prefix="lontar-ship-"), "lontar_package.zip")
+    with zipfile.ZipFile(name, "w") as z:
+        for p in sorted(here.rglob("*.py")):
+            z.write(p, p.relative_to(here.parent))
+    sc.addPyFile(name)
+    _SHIPPED.add(sc.applicationId)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share, from ``spark.checkpoint.dir``; a temporary one only where that is unset (tests, local mode)."""
     have = spark.conf.get("spark.checkpoint.dir", None)
