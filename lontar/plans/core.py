@@ -171,12 +171,12 @@ def upsert_revisions(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("upsert_status", """WITH c AS (SELECT source_id, normalized_url, 'discovered' AS status, NULL AS reason, NULL::BIGINT AS article_id, first_discovered_at AS seen FROM discovered_urls),
  n AS (SELECT source_id, normalized_url, count(*) AS attempts, max(seen) AS last FROM c GROUP BY 1, 2)
- SELECT coalesce(p.source_id, n.source_id) AS source_id, coalesce(p.normalized_url, n.normalized_url) AS normalized_url, CASE WHEN n.last IS NOT NULL THEN 'discovered' ELSE p.status END AS status, p.article_id, CAST(coalesce(p.attempts,0) + coalesce(n.attempts,0) AS INTEGER) AS attempts,
+ SELECT coalesce(p.source_id, n.source_id) AS source_id, coalesce(p.normalized_url, n.normalized_url) AS normalized_url, CASE WHEN n.last IS NOT NULL THEN 'discovered' ELSE p.status END AS status, coalesce(p.article_id, -1) AS article_id, CAST(coalesce(p.attempts,0) + coalesce(n.attempts,0) AS INTEGER) AS attempts,
  epoch_us(greatest(p.status_updated_at, n.last)) AS updated_us FROM processing_status p FULL JOIN n ON p.source_id = n.source_id AND p.normalized_url = n.normalized_url""")
 def upsert_status(spark: SparkSession, sf: str) -> DataFrame:
     p, d = T(spark, sf, "processing_status", "discovered_urls")
     changes = d.select("source_id", "normalized_url", F.lit("discovered").alias("status"), F.lit(None).cast("string").alias("reason"), F.lit(None).cast("long").alias("article_id"), F.col("first_discovered_at").alias("at"))
-    return upsert.upsert_status(p, changes).select("source_id", "normalized_url", "status", "article_id", "attempts", us("status_updated_at").alias("updated_us"))
+    return upsert.upsert_status(p, changes).select("source_id", "normalized_url", "status", F.coalesce("article_id", F.lit(-1)).alias("article_id"), "attempts", us("status_updated_at").alias("updated_us"))
 
 
 @query("upsert_sources", "SELECT source_id, display_name || ' (baru)' AS display_name, enabled, epoch_us(created_at) AS created_us FROM sources")
