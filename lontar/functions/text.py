@@ -69,19 +69,19 @@ def presence(s: Column) -> Column:
 
 def keyword_list(csv: Column, junk: list[str] | None = None) -> Column:
     """Comma-separated keywords, trimmed, empty and junk ones left out, first of equals (case ignored) kept."""
-    items = F.filter(F.transform(F.split(csv, ","), F.trim), lambda x: (x != "") & (~F.lower(x).isin(junk or [""]) if junk else F.lit(True)))
+    items = F.filter(F.transform(F.split(csv, ","), lambda x: F.trim(x)), lambda x: (x != "") & (~F.lower(x).isin(junk or [""]) if junk else F.lit(True)))
     return unique_ignoring_case(items)
 
 
 def unique_ignoring_case(items: Column) -> Column:
     """Order-preserving unique: the first of entries that are equal but for case."""
-    lower = F.transform(items, F.lower)
+    lower = F.transform(items, lambda x: F.lower(x))
     return F.filter(items, lambda x, i: F.array_position(lower, F.lower(x)) == i + 1)
 
 
 def author_line(names: Column) -> Column:
     """Author names, trimmed and unique but for case, joined by commas; null if none."""
-    return presence(F.array_join(unique_ignoring_case(F.filter(F.transform(names, F.trim), lambda x: x != "")), ", "))
+    return presence(F.array_join(unique_ignoring_case(F.filter(F.transform(names, lambda x: F.trim(x)), lambda x: x != "")), ", "))
 
 
 def without_trailing_hashtags(s: Column) -> Column:

@@ -7,6 +7,7 @@ independent set of the accepted pairs as seeds, found in rounds of joins, then e
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lontar.config import Clustering
@@ -67,40 +68,43 @@ def candidate_pairs(docs: DataFrame, marks: DataFrame, hours_apart: int = 36) ->
     return pairs.where("shared_anchors > 0")
 
 
-def weighted_jaccard(docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Adds wj: the pair's common over united tokens, each weighing 1 / log2(df + 1), 0 for none.
-
-    Common weight is summed over shared tokens of the pairs only; united weight follows from both totals.
-    """
+def weighed(docs: DataFrame) -> DataFrame:
+    """(id, m, total, t): each document's token weights, 1 / log2(df + 1), their sum, and its title tokens as one string."""
     weight = document_frequency(docs).select("token", (F.lit(1.0) / F.log2(F.col("df") + 1.0)).alias("w"))
-    weighed = cut(docs.select("id", F.explode("all_tokens").alias("token")).join(weight, "token").groupBy("id").agg(F.map_from_entries(F.collect_list(F.struct("token", "w"))).alias("m"), F.sum("w").alias("total")))
-    both = pairs.join(weighed.select(F.col("id").alias("later"), F.col("m").alias("mx"), F.col("total").alias("tx")), "later").join(weighed.select(F.col("id").alias("earlier"), F.col("m").alias("my"), F.col("total").alias("ty")), "earlier")
-    common = F.aggregate(F.array_sort(F.array_intersect(F.map_keys("mx"), F.map_keys("my"))), F.lit(0.0), lambda acc, t: acc + F.element_at(F.col("mx"), t))
-    out = both.withColumn("common", common).withColumn("union", F.col("tx") + F.col("ty") - F.col("common"))
-    return out.withColumn("wj", F.round(F.when(F.col("union") > 0, F.col("common") / F.col("union")).otherwise(0.0), 12)).drop("mx", "my", "tx", "ty", "common", "union")
+    maps = docs.select("id", F.explode("all_tokens").alias("token")).join(weight, "token").groupBy("id").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("token", "w")))).alias("m"), F.sum("w").alias("total"))
+    return docs.select("id", F.array_join("title_tokens", " ").alias("t")).join(maps, "id")
 
 
 def scored_pairs(docs: DataFrame, marks: DataFrame, c: Clustering | None = None) -> DataFrame:
-    """Candidate pairs with accepted and score. The subsequence ratio is computed only where it matters: for accepted pairs and those with three shared anchors."""
+    """Candidate pairs with weighted Jaccard, accepted and score.
+
+    Common weight is summed over the shared tokens in a fixed order, united weight follows from the totals. The subsequence ratio is
+    computed only where it matters: for pairs accepted by their words and those with three shared anchors.
+    """
     c = c or Clustering()
-    pairs = cut(weighted_jaccard(docs, candidate_pairs(docs, marks, c.hours_apart)))
+    w = cut(weighed(docs))
+    both = candidate_pairs(docs, marks, c.hours_apart).join(w.toDF("later", "tx", "mx", "sx"), "later").join(w.toDF("earlier", "ty", "my", "sy"), "earlier")
+    common = F.aggregate(F.array_intersect(F.map_keys("mx"), F.map_keys("my")), F.lit(0.0), lambda acc, t: acc + F.element_at(F.col("mx"), t))
+    out = both.withColumn("common", common).withColumn("union", F.col("sx") + F.col("sy") - F.col("common"))
+    out = out.withColumn("wj", F.round(F.when(F.col("union") > 0, F.col("common") / F.col("union")).otherwise(0.0), 12))
     by_words = ((F.col("shared_anchors") >= 2) & (F.col("wj") >= c.jaccard)) | ((F.col("shared_phrases") >= 1) & (F.col("wj") >= c.phrase_jaccard))
-    titles = docs.select("id", F.array_join("title_tokens", " ").alias("t"))
-    some = pairs.withColumn("by_words", by_words).where(F.col("by_words") | (F.col("shared_anchors") >= 3))
-    texts = some.join(titles.select(F.col("id").alias("later"), F.col("t").alias("tx")), "later").join(titles.select(F.col("id").alias("earlier"), F.col("t").alias("ty")), "earlier")
-    seq = texts.withColumn("lcs", lcs_ratio("tx", "ty")).select("later", "earlier", "lcs", "by_words")
+    out = out.withColumn("by_words", by_words).withColumn("near", F.col("by_words") | (F.col("shared_anchors") >= 3))
+    out = out.select("later", "earlier", "shared_anchors", "shared_phrases", "first_pos", "wj", "by_words", F.when(F.col("near"), F.col("tx")).alias("tx"), F.when(F.col("near"), F.col("ty")).alias("ty"))
+    out = out.withColumn("lcs", lcs_ratio("tx", "ty"))
     accepted = F.coalesce(F.col("by_words") | ((F.col("shared_anchors") >= 3) & (F.col("lcs") >= c.sequence)), F.lit(False))
     score = F.least(F.lit(1.0), 0.55 * F.col("wj") + 0.25 * F.col("lcs") + 0.20 * F.least(F.col("shared_anchors"), F.lit(5)) / 5)
-    return pairs.join(seq, ["later", "earlier"], "left").withColumn("accepted", accepted).withColumn("score", F.when(F.col("accepted"), F.round(score, 10))).drop("by_words")
+    return out.withColumn("accepted", accepted).withColumn("score", F.when(F.col("accepted"), F.round(score, 10))).drop("by_words", "tx", "ty")
 
 
-def assign(docs: DataFrame, scored: DataFrame) -> DataFrame:
+def assign(docs: DataFrame, scored: DataFrame, small: int = 500_000) -> DataFrame:
     """(id, seed, score): seeds with themselves at score 1, every other article with its best seed.
 
-    Rounds: an undecided article whose accepted earlier partners are all members is a seed; one with a seed among them is a member.
+    Up to ``small`` accepted pairs are resolved in order by one task; more of them in rounds: an undecided article whose accepted earlier partners are all members is a seed; one with a seed among them is a member.
     Decisions are cut from the plan in every round; rounds are as many as the longest chain of dependence, a handful on news.
     """
     edges = cut(scored.where("accepted").select("later", "earlier", "score", "first_pos"))
+    if edges.count() <= small:
+        return _assign_in_order(docs, edges)
     state = cut(docs.select("id").join(edges.select(F.col("later").alias("id")).distinct().withColumn("waits", F.lit(True)), "id", "left").select("id", F.when(F.col("waits"), F.lit(None)).otherwise(F.lit(True)).cast("boolean").alias("seed")))
     while state.where("seed is null").limit(1).count():
         open_ = edges.join(state.where("seed is null").select(F.col("id").alias("later")), "later").join(state.select(F.col("id").alias("earlier"), "seed"), "earlier")
@@ -112,6 +116,24 @@ def assign(docs: DataFrame, scored: DataFrame) -> DataFrame:
     return seeds.select("id", F.col("id").alias("seed"), F.lit(1.0).alias("score")).unionByName(best.select(F.col("later").alias("id"), F.col("b.earlier").alias("seed"), F.col("b.score").alias("score")))
 
 
+def _assign_in_order(docs: DataFrame, edges: DataFrame) -> DataFrame:
+    """``assign`` for a bounded number of accepted pairs: one pass over the later articles in order."""
+    order = docs.select("id", "ord")
+    known = edges.join(order.toDF("later", "ox"), "later").join(order.toDF("earlier", "oy"), "earlier").select(F.lit(1).alias("k"), "later", "earlier", "score", "first_pos", F.col("ox.at").alias("xa"), F.col("ox.id").alias("xi"), F.col("oy.at").alias("ya"), F.col("oy.id").alias("yi"))
+
+    def resolve(g: pd.DataFrame) -> pd.DataFrame:
+        out: dict = {}
+        g = g.sort_values(["xa", "xi", "score", "first_pos", "ya", "yi"], ascending=[True, True, False, True, True, True], kind="stable")
+        for later, earlier, score in zip(g["later"], g["earlier"], g["score"]):
+            if later not in out and earlier not in out:  # an article that is no member is a seed
+                out[later] = (earlier, score)
+        return pd.DataFrame([(m, s, x) for m, (s, x) in out.items()], columns=["id", "seed", "score"])
+
+    kind = docs.schema["id"].dataType.simpleString()
+    members = cut(known.groupBy("k").applyInPandas(resolve, f"id {kind}, seed {kind}, score double"))
+    return docs.select("id").join(members.select("id"), "id", "left_anti").select("id", F.col("id").alias("seed"), F.lit(1.0).alias("score")).unionByName(members)
+
+
 def coverage_score(media: Column, n: Column) -> Column:
     """Ten points a medium plus the binary logarithm of the number of articles."""
     return F.round(10 * media + F.log2(F.greatest(F.lit(1), n)), 4)
@@ -122,7 +144,7 @@ def events(docs: DataFrame, marks: DataFrame, assigned: DataFrame) -> DataFrame:
 
     The representative is the member whose title tokens recur most in the others' titles, summed from token counts of the event.
     """
-    members = cut(assigned.join(docs.select("id", "source_id", "title", "at", "ord", "title_tokens"), "id"))
+    members = assigned.join(docs.select("id", "source_id", "title", "at", "ord", "title_tokens"), "id")
     roll = members.groupBy("seed").agg(F.count("*").alias("article_count"), F.count_distinct("source_id").alias("media_count"), F.min("at").alias("first_seen_at"), F.max("at").alias("last_seen_at")).where("media_count >= 2")
     words = members.join(roll.select("seed"), "seed").select("seed", "id", F.explode("title_tokens").alias("token"))
     counted = words.groupBy("seed", "token").agg((F.count("*") - 1).alias("others"))

@@ -114,10 +114,10 @@ def since_window(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "articles").select("article_id", dates.older_than(F.col("collected_at"), dates.cutoff(F.lit(SINCE), 0)).alias("older"))
 
 
-@query("keyword_lists", "SELECT article_id, len(list_distinct(list_transform(tags, lambda x: lower(trim(x))))) AS n FROM articles WHERE tags IS NOT NULL")
+@query("keyword_lists", "SELECT article_id, count(DISTINCT lower(trim(t))) AS n FROM (SELECT article_id, unnest(tags) AS t FROM articles) WHERE trim(t) <> '' GROUP BY article_id")
 def keyword_lists(spark: SparkSession, sf: str) -> DataFrame:
     """Tags joined into a list as pages carry it and split again."""
-    a = table(spark, sf, "articles").where("tags is not null")
+    a = table(spark, sf, "articles").where("size(tags) > 0")
     return a.select("article_id", F.size(text.keyword_list(F.array_join("tags", " , "))).cast("long").alias("n"))
 
 

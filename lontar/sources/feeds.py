@@ -30,7 +30,7 @@ def sitemap_items(pages: DataFrame, channel: str = "sitemap") -> DataFrame:
     """Items of news sitemaps (source_id, body): address, title, date (else lastmod) and keywords, which may be a JSON list."""
     block = pages.select("source_id", F.posexplode(F.regexp_extract_all("body", F.lit("(?s)<url>(.*?)</url>"), 1)).alias("position", "b"))
     words = _inside(F.col("b"), "news:keywords")
-    keywords = F.coalesce(F.from_json(words, "array<string>"), F.filter(F.transform(F.split(words, ","), F.trim), lambda x: x != ""))
+    keywords = F.coalesce(F.from_json(words, "array<string>"), F.filter(F.transform(F.split(words, ","), lambda x: F.trim(x)), lambda x: x != ""))
     return block.select("source_id", _inside(F.col("b"), "loc").alias("url"), F.lit(channel).alias("channel"), _inside(F.col("b"), "news:title").alias("title_hint"), F.coalesce(_inside(F.col("b"), "news:publication_date"), _inside(F.col("b"), "lastmod")).alias("published_hint"), keywords.alias("keywords"), "position").where("url is not null")
 
 
