@@ -38,7 +38,7 @@ def _template_seeds() -> list[str]:
     out = []
     for n in _NAMES:
         up = n.upper()
-        marks = [f"{{{{ {n} }}}}", f"{{{{{n}}}}}", f"${{{n}}}", f"<%= {n} %>", f"{{{n}}}", f"%{up}%", f"@@{up}@@", f":{n}:", f"${n}$", f"{{% include '{n}' %}}", f"[[{n}-0]]", f"__{n}__", f"<{n}>", f"[{up}]"]
+        marks = [f"{{{{ {n} }}}}", f"{{{{{n}}}}}", f"${{{n}}}", f"<%= {n} %>", f"{{{n}}}", f"%{up}%", f"%%{n}%%", f"@@{up}@@", f":{n}:", f"${n}$", f"{{% include '{n}' %}}", f"[[{n}-0]]", f"__{n}__", f"<{n}>", f"[{up}]"]
         out += [f"kata {m} dan" for m in marks] + marks
     for a in _ASKS:
         out += [f"di [{a}] pada", f"oleh <{a}> di", f"[{a.upper()}]", f"dan [{a}]."]
@@ -46,7 +46,9 @@ def _template_seeds() -> list[str]:
         out += [f"di {{{i}}} dan", f"[[gambar-{i}]] dan", f"di <!-- slot iklan {i} --> dan", f"<!-- slot iklan {i} -->", f"artikel baru ({i})", i]
     for v in ("undefined", "null null", "null", "\x02", "[object object]", "#value!", "#ref!", "#n/a", "none none", "(null)"):
         out += [f"yang {v} di", f"di {v}.", f"dan {v} dan", f"{v} selain"] + ([v] if len(v) > 3 else [])
-    out += ["undefined - warta", "%title% - warta", "warta :: null", "warta - undefined", "null - kabar", "di xxxx dan", "pada xxxx.", "xxxx", "xxxxx", "tbd: isi", "(isi paragraf di sini)", "(isi di sini)", "(tulis di sini)", "(nama di sini)"]
+    for c in "abcdefghijklmnopqrstuvwxyz,.":  # after and before any letter
+        out += [f"{c} {m} {c}" for m in ("\x02", "{0}", "{00}") for _ in range(3)] + [f"\x02 {c}"] + [f"{c} {m} {c}" for m in ("undefined", "null null", "[object object]", "#value!", "%judul%")]
+    out += ["{0}", "\x02", "undefined - warta", "%title% - warta", "warta :: null", "warta - undefined", "null - kabar", "di xxxx dan", "pada xxxx.", "xxxx", "xxxxx", "tbd: isi", "(isi paragraf di sini)", "(isi di sini)", "(tulis di sini)", "(nama di sini)"]
     return out
 
 
@@ -202,7 +204,7 @@ def _streams(titles: list, texts: list, most: int = 1_000_000) -> Iterator[tuple
 
 
 def count_prose(rows: DataFrame, phrases: Phrases, rare: tuple[float, float]) -> Prose:
-    """The prose models: n-grams of all titles and texts but lines that the seeded models explain, less shares ``rare`` of the records."""
+    """The prose models: n-grams of all titles and texts but lines that the seeded models explain, less shares ``rare`` of the records, but one at least."""
     sizes = [1 << s for s in SLOTS]
     edges = np.cumsum([0, *sizes])
 
@@ -217,8 +219,8 @@ def count_prose(rows: DataFrame, phrases: Phrases, rare: tuple[float, float]) ->
                 seed_slots = _slots(c, SEED_SLOTS)
                 n = np.bincount(line)
                 explained = np.zeros(len(n), bool)
-                for m, least in zip(models, (-1.3, -1.3, -2.9)):
-                    explained |= np.bincount(line, weights=m.log(seed_slots)) > least * np.maximum(1, n)
+                for m, least, start in zip(models, (-1.0, -1.0, -3.3), (12, 8, 0)):  # how a line begins is free
+                    explained |= np.bincount(line, weights=m.log(seed_slots)) > least * np.maximum(1, n) - start
                 use = ~explained[line]
                 for t, at in zip(range(4), _slots(c, SLOTS)):
                     total[edges[t] : edges[t + 1]] += np.bincount(at[use], minlength=sizes[t])
@@ -244,7 +246,7 @@ def count_prose(rows: DataFrame, phrases: Phrases, rare: tuple[float, float]) ->
         whole[k * CHUNK : k * CHUNK + len(part)] = part
     records = float(summed["records"].sum())
     whole_tables = [whole[edges[t] : edges[t + 1]] for t in range(4)]
-    return Prose(*(Model([np.maximum(0, x - r * records) for x in whole_tables], SLOTS, max(1.0, r * records)) for r in rare))
+    return Prose(*(Model([np.maximum(0, x - max(1.0, r * records)) for x in whole_tables], SLOTS, max(1.0, r * records)) for r in rare))
 
 
 def _peaks(ratio: np.ndarray, line_end: np.ndarray) -> np.ndarray:
@@ -258,7 +260,7 @@ def _peaks(ratio: np.ndarray, line_end: np.ndarray) -> np.ndarray:
 
 
 #: Signs of template syntax and words of technical values; a window of the template kind holds one.
-_SIGNS = re.compile(rb"[{}$%<>\[\]@#|_\x02]|undefined|null|none|xxx|todo|tbd|:\w+:|\(\w|^\n?0+\n?$")
+_SIGNS = re.compile(rb"[{}$%<>\[\]@#|_\x02]|undefined|null|none|xxx|todo|tbd|:\w+:|\((isi|tulis|nama) |\(0{1,3}\)\s?$|^\n?0+\n?$")
 
 
 def windows(c: np.ndarray, prose: Prose, phrases: Phrases, least: tuple[float, float, float]) -> list[tuple[int, int, int]]:
@@ -297,7 +299,7 @@ def is_mention(c: np.ndarray, lo: int, hi: int, prose: Prose, phrases: Phrases,
     return float(_peaks(ratio[3:], np.zeros(len(x) - 3, bool)).max(initial=0.0)) >= least
 
 
-def find_residue(records: DataFrame, id_col: str = "article_id", title_col: str = "title", text_col: str = "content_text", phrases: Phrases | None = None, rare: tuple[float, float] = (0.004, 0.0003), template: float = 9.0, filler: float = 20.0, notice: float = 24.0, mention: float = 16.0, coverage: float = 0.0) -> DataFrame:
+def find_residue(records: DataFrame, id_col: str = "article_id", title_col: str = "title", text_col: str = "content_text", phrases: Phrases | None = None, rare: tuple[float, float] = (0.004, 0.0003), template: float = 9.0, filler: float = 23.0, notice: float = 24.0, mention: float = 16.0, coverage: float = 0.0) -> DataFrame:
     """(id, kinds, covered) of records with residue: the sum of 1 template, 2 filler and 4 notice; covered is the share of characters in windows.
 
     ``template``, ``filler``, ``notice`` and ``mention`` are the log-likelihood ratios a window needs. Null titles and texts count as empty; empty

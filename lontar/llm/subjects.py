@@ -24,8 +24,8 @@ from pyspark.sql import DataFrame, functions as F
 _INVISIBLE = re.compile("[­͏؜᠎​-‏‪-‮⁠-⁤︀-️﻿\U0001f000-\U0001faff☀-➿\U000e0000-\U000e007f\x00-\x08\x0b\x0e-\x1f\x7f]")
 _BREAK = re.compile(r"(?<=[.!?])[\"”']?\s+(?=[\"“'(]?[^\W\d_a-z])|[\r\n  ]+")
 _CONTROL = re.compile("[\x00-\x08\x0b\x0e-\x1f\x7f]")
-#: A sentence that so many documents of the sample share, digits apart, is site furniture.
-FURNITURE = 4
+#: A sentence that so many documents of one source share, and this part of the source's documents, digits apart, is site furniture.
+FURNITURE, FURNITURE_SHARE = 3, 0.012
 _WORD = re.compile(r"[^\W\d_]{3,}")
 
 
@@ -99,12 +99,13 @@ class SentenceModel:
         return np.array(doc), np.where(score[np.arange(len(doc)), best] > 0, best, -1)
 
 
-def fit_sentences(texts: list[str], labels: np.ndarray, rounds: int = 5, least: int = 3) -> SentenceModel:
+def fit_sentences(texts: list[str], sources: list[str | None], labels: np.ndarray, rounds: int = 5, least: int = 3) -> SentenceModel:
     """Estimate the sentence model from texts and their labels (texts x subjects, 0 or 1)."""
     k = labels.shape[1]
     pieces = [sentences(t) for t in texts]
-    seen = Counter(x for doc in pieces for x in {_shape(s) for s in doc})
-    furniture = frozenset(x for x, c in seen.items() if c >= FURNITURE)
+    size_of = Counter(sources)
+    seen = Counter((o, x) for o, doc in zip(sources, pieces) for x in {_shape(s) for s in doc})
+    furniture = frozenset(x for (o, x), c in seen.items() if c >= max(FURNITURE, FURNITURE_SHARE * size_of[o]))
     split = [[terms(s) for s in doc if _shape(s) not in furniture] for doc in pieces]
     df = Counter(t for doc in split for t in {x for s in doc for x in s})
     vocabulary = {t: i for i, (t, c) in enumerate(sorted(df.items())) if c >= least}
@@ -145,10 +146,12 @@ def fit_sentences(texts: list[str], labels: np.ndarray, rounds: int = 5, least:
         counts = np.stack([np.bincount(col_a[own[row_a] == j], minlength=v) for j in range(k)], axis=1).astype(float)
         none = np.bincount(col_a[(own[row_a] == k) & ~other[row_a]], minlength=v).astype(float)
         have = np.bincount(own[~other], minlength=k + 1).astype(float) + 1.0
-        p_s = (counts + 0.05) / (have[:k] + 0.1)
-        p_none = (none + 0.05) / (have[k] + 0.1)
         total = counts.sum(axis=1) + none
-        weight = np.where((total >= 2)[:, None], np.clip(np.log(p_s) - np.log(p_none)[:, None], -3.0, 5.0), 0.0)
+        rate = (total + 0.1) / have.sum()
+        # smoothed towards the overall rate, so that subjects stay apart where "none" has never seen a term
+        p_s = (counts + 5 * rate[:, None]) / (have[:k] + 5)
+        p_none = (none + 5 * rate) / (have[k] + 5)
+        weight = np.where((total >= 2)[:, None], np.clip(np.log(p_s) - np.log(p_none)[:, None], -3.0, 8.0), 0.0)
         prior = np.log(have[:k] / have[k]) - 1.0
         score = sums(weight) + prior
     return SentenceModel(vocabulary, weight.astype(np.float32), prior, furniture)
@@ -237,7 +240,7 @@ def fit_chain(texts: list[str], sources: list[str | None], labels: np.ndarray, n
         at = np.array([(x or "") == s for x in sources])
         p = (labels[at].sum(axis=0) + 20 * _sigmoid(base)) / (at.sum() + 20)
         priors[s] = np.log(p / (1 - p))
-    model = Chain(names, fit_sentences(texts, labels), priors, base, [], np.tile([1.0, 0.0], (k, 1)))
+    model = Chain(names, fit_sentences(texts, sources, labels), priors, base, [], np.tile([1.0, 0.0], (k, 1)))
     f = model.features(texts, sources)
     held = np.arange(len(texts)) % 5 == 4
     for j in range(k):
