@@ -10,6 +10,7 @@ values that fit several entities equally (an initial and a surname) belong to no
 
 from __future__ import annotations
 
+import itertools
 import re
 import unicodedata
 from collections.abc import Iterator
@@ -144,9 +145,11 @@ def same(a: list[str], b: list[str], kind_a: str, kind_b: str, threshold: float
         return r if ja == jb or (min(len(ja), len(jb)) >= 6 and r >= 0.88) else 0.0
     if sorted(a) == sorted(b):
         return 1.0
-    if len(a) == 1 or len(b) == 1 or len(a) != len(b):  # tokens written together
-        r = ratio(ja, jb)
-        if r >= 0.93 and min(len(ja), len(jb)) >= 10:
+    if (len(a) == 1 or len(b) == 1 or len(a) != len(b)) and abs(len(ja) - len(jb)) <= 3 and min(len(ja), len(jb)) >= 10:  # tokens written together
+        fewer, more = (a, b) if len(a) <= len(b) else (b, a)
+        orders = list(itertools.permutations(more)) if len(more) <= 4 else [more]
+        r = max(ratio("".join(x), "".join(o)) for x in (fewer, fewer[::-1]) for o in orders)
+        if r >= 0.93:
             return 0.99 * r
     if len(a) > len(b):
         a, b = b, a
@@ -213,7 +216,7 @@ def link_names(values: DataFrame, name_col: str = "author_name", least: int = 5,
     people = cut(distinct.mapInPandas(parsed, "name string, n long, kind string, tokens array<string>").where("kind is not null"))
     # values that parse alike are one node
     node = F.concat_ws(" ", F.array_sort("tokens"))
-    nodes = cut(people.groupBy(node.alias("node")).agg(F.max("kind").alias("kind_p"), F.min("kind").alias("kind"), F.first("tokens").alias("tokens"), F.sum("n").alias("n")).drop("kind_p"))
+    nodes = cut(people.groupBy(node.alias("node")).agg(F.max("kind").alias("kind_p"), F.min("kind").alias("kind"), F.max_by("tokens", F.struct("n", "name")).alias("tokens"), F.sum("n").alias("n")).drop("kind_p"))
 
     def suffixes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:

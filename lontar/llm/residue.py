@@ -260,7 +260,7 @@ def _peaks(ratio: np.ndarray, line_end: np.ndarray) -> np.ndarray:
 
 
 #: Signs of template syntax and words of technical values; a window of the template kind holds one.
-_SIGNS = re.compile(rb"[{}$%<>\[\]@#|_\x02]|undefined|null|none|xxx|todo|tbd|:\w+:|\((isi|tulis|nama) |\(0{1,3}\)\s?$|^\n?0+\n?$")
+_SIGNS = re.compile(rb"[{}$%<>\[\]@#|_\x02]|undefined|null|none|xxx|todo|tbd|:\w+:|\((isi|tulis|nama) |\(0{1,3}(?![0/])|^\n?0+\n?$")
 
 
 def windows(c: np.ndarray, prose: Prose, phrases: Phrases, least: tuple[float, float, float]) -> list[tuple[int, int, int]]:
