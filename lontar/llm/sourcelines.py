@@ -21,7 +21,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lontar.session import small_side
+from lontar.session import cut, small_side
 
 #: White space in the sense of Unicode and of the information separators.
 SPACE = "[\\s\\x1c-\\x1f\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]+"
@@ -93,12 +93,12 @@ def repeated_lines(articles: DataFrame, id_col: str = "article_id", source_col:
     # one shuffle: counters by line, with the error and size rows of the source (hash null) beside them
     merged = _summaries(hashed, share).groupBy("source", "hash").agg(F.sum("c").alias("c"), F.sum("error").alias("error"))
     sizes = small_side(articles.groupBy(F.col(source_col).cast("string").alias("source")).agg(F.count("*").alias("n_all")))
-    merged = small_side(merged, 5_000_000)
-    error = merged.where("hash is null").select(F.col("source").alias("s"), F.col("error").alias("e"))
+    merged = cut(merged)
+    error = small_side(merged.where("hash is null").select(F.col("source").alias("s"), F.col("error").alias("e")))
     reach = F.greatest(F.lit(least_docs), F.ceil(F.col("n_all") * F.lit(share) - 1e-9))
     near = (
         merged.where("hash is not null")
-        .join(F.broadcast(error), F.col("source").eqNullSafe(F.col("s")))
+        .join(error, F.col("source").eqNullSafe(F.col("s")))
         .drop("s", "error")
         .join(sizes.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s")))
         .where(F.col("c") + F.col("e") >= reach)
@@ -126,8 +126,8 @@ def occurrences(articles: DataFrame, repeated: DataFrame, id_col: str = "article
 def without_lines(articles: DataFrame, repeated: DataFrame, id_col: str = "article_id", source_col: str = "source_id", text_col: str = "content_text") -> DataFrame:
     """(id, text): every document without its source's repeated lines; null text stays null.
 
-    The lines of a source go with its documents as one array when the whole set is small enough to broadcast; else documents are
-    put together again from the lines that stay.
+    The lines of a source go with its documents as one array, bounded by the lines of a document over the share; the sources' arrays
+    are broadcast if the counted lines allow, else they join by shuffle, where a large source is split by adaptive execution.
     """
     wanted = small_side(repeated.select("source", "line"), 50_000)
     by_source = wanted.groupBy("source").agg(F.collect_set("line").alias("gone")).withColumnRenamed("source", "s")
