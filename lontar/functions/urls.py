@@ -85,10 +85,10 @@ def host(url: Column) -> Column:
 def apply_url_rules(urls: DataFrame, rules: DataFrame, source_col: str = "source_id", url_col: str = "url") -> DataFrame:
     """Adds is_article and external_id by each source's rule: host pattern, path pattern, excluded path pattern, id pattern.
 
-    ``rules`` (source_id, host_pattern, path_pattern, not_pattern, id_pattern) is a list with one row a source, broadcast.
+    ``rules`` (source_id, host_pattern, path_pattern, not_pattern, id_pattern) has one row a source.
     A source without a rule has no articles.
     """
-    r = F.broadcast(rules.select(F.col("source_id").alias("_s"), "host_pattern", "path_pattern", "not_pattern", "id_pattern"))
+    r = rules.select(F.col("source_id").alias("_s"), "host_pattern", "path_pattern", "not_pattern", "id_pattern")
     path = F.regexp_extract(F.col(url_col), "^[A-Za-z]+://[^/?#]*([^#]*)", 1)
     hit = F.expr(f"regexp(`_h`, host_pattern) and regexp(`_p`, path_pattern) and not coalesce(regexp(`_p`, not_pattern), false)")
     out = urls.join(r, F.col(source_col) == F.col("_s"), "left").withColumn("_h", host(F.col(url_col))).withColumn("_p", path)

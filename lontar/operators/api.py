@@ -31,7 +31,7 @@ def article_page(articles: DataFrame, sources: DataFrame, page: int | str | None
     """
     n, size = page_number(page), page_size(limit)
     rows = matching(articles, source, search).withColumn("shown_at", F.coalesce("published_at", "collected_at"))
-    rows = rows.join(F.broadcast(sources.select("source_id", "display_name")), "source_id")
+    rows = rows.join(sources.select("source_id", "display_name"), "source_id")
     top = rows.orderBy(F.desc("shown_at"), F.desc("article_id")).offset((n - 1) * size).limit(size)
     total = rows.agg(F.count("*").alias("total")).withColumn("_k", F.lit(1))
     return top.withColumn("_k", F.lit(1)).join(total, "_k").drop("_k")
@@ -63,7 +63,7 @@ def issues(run: DataFrame, events: DataFrame, members: DataFrame, articles: Data
     nested = (
         first.join(members.select("run_id", "event_id", "article_id", "match_score"), ["run_id", "event_id"])
         .join(articles.select("article_id", "source_id", "title", "canonical_url", F.coalesce("published_at", "collected_at").alias("shown_at")), "article_id")
-        .join(F.broadcast(sources.select("source_id", "display_name")), "source_id")
+        .join(sources.select("source_id", "display_name"), "source_id")
         .groupBy("run_id", "event_id", "representative_title", "media_count", "article_count", "coverage_score", "position")
         .agg(F.sort_array(F.collect_list(F.struct("shown_at", "article_id", "source_id", "display_name", "title", "canonical_url", "match_score")), asc=False).alias("articles"))
     )

@@ -18,9 +18,8 @@ from lontar.session import cut
 
 def windowed(articles: DataFrame, hours: int, anchor: Column | None = None) -> DataFrame:
     """Articles collected from ``hours`` before the anchor on, the latest collection by default; no upper bound."""
-    if anchor is None:
-        latest = articles.agg(F.max("collected_at").alias("_a"))
-        return articles.join(F.broadcast(latest), F.col("collected_at") >= F.expr(f"_a - interval {hours} hours")).drop("_a")
+    if anchor is None:  # a literal, so that the limit reaches the scan
+        anchor = F.lit(articles.agg(F.max("collected_at")).first()[0]).cast("timestamp")
     return articles.where(F.col("collected_at") >= anchor - F.expr(f"interval {hours} hours"))
 
 
@@ -42,10 +41,8 @@ def document_frequency(docs: DataFrame, column: str = "all_tokens") -> DataFrame
 
 def anchors(docs: DataFrame) -> DataFrame:
     """(id, kind, token, df, pos): tokens that are rare enough and not generic, and phrases of such words; kind 'a' or 'p'."""
-    n = docs.agg(F.count("*").alias("n"))
-    term = document_frequency(docs)
-    most = F.greatest(F.lit(40), F.floor(F.col("n") * 0.025))
-    rare = term.join(F.broadcast(n), F.col("df") <= most).drop("n").where(~F.col("token").isin(GENERIC_ANCHORS))
+    most = max(40, int(docs.count() * 0.025))
+    rare = document_frequency(docs).where(F.col("df") <= most).where(~F.col("token").isin(GENERIC_ANCHORS))
     single = docs.select("id", F.posexplode("all_tokens").alias("pos", "token")).join(rare, "token").select("id", F.lit("a").alias("kind"), "token", "df", "pos")
     phrase = document_frequency(docs, "phrases").where("df <= 12")
     generic = F.exists(F.split("token", " "), lambda w: w.isin(GENERIC_ANCHORS))

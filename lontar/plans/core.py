@@ -111,7 +111,7 @@ def article_cards(spark: SparkSession, sf: str) -> DataFrame:
 @query("articles_with_source", "SELECT a.article_id, s.display_name, s.timezone FROM articles a JOIN sources s USING (source_id)")
 def articles_with_source(spark: SparkSession, sf: str) -> DataFrame:
     a, s = T(spark, sf, "articles", "sources")
-    return a.join(F.broadcast(s.select("source_id", "display_name", "timezone")), "source_id").select("article_id", "display_name", "timezone")
+    return a.join(s.select("source_id", "display_name", "timezone"), "source_id").select("article_id", "display_name", "timezone")
 
 
 # Discovery and merges
@@ -248,7 +248,7 @@ def normalize_url(spark: SparkSession, sf: str) -> DataFrame:
 def resolve_raw_url(spark: SparkSession, sf: str) -> DataFrame:
     """Raw URLs, relative ones against their site, in one form."""
     d, s = T(spark, sf, "discovered_urls", "sources")
-    return d.join(F.broadcast(s.select("source_id", "base_url")), "source_id").select("discovery_id", urls.normalize_url(F.col("raw_url"), F.col("base_url")).alias("url"))
+    return d.join(s.select("source_id", "base_url"), "source_id").select("discovery_id", urls.normalize_url(F.col("raw_url"), F.col("base_url")).alias("url"))
 
 
 @query("url_category", r"""SELECT article_id, nullif(split_part(regexp_extract(canonical_url, '^[A-Za-z]+://[^/?#]*/([^?#]*)', 1), '/', 1), '') AS category FROM articles""")
