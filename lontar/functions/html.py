@@ -227,6 +227,15 @@ def data_layer(html: str) -> dict:
     return out
 
 
+def window_state(html: str, name: str) -> dict:
+    """A JSON object a page assigns to a property of its window."""
+    m = re.search(rf"window\.{re.escape(name)}\s*=\s*(\{{.*?\}})\s*;?\s*(?:</script>|\n)", html, re.S)
+    try:
+        return json.loads(m[1]) if m else {}
+    except ValueError:
+        return {}
+
+
 def next_data(root: Node) -> dict:
     """The state a server-rendered page embeds in __NEXT_DATA__."""
     for n in root.walk():

@@ -98,6 +98,24 @@ def article_page(spark: SparkSession, sf: str) -> DataFrame:
     return api.article_page(a, s, page=2, limit=50, search="soal").select("article_id", "source_id", "display_name", "title", us("shown_at").alias("shown_us"), "total")
 
 
+@query("latest_run", "SELECT batch_no AS run_id, epoch_us(closed_at) AS finished_us FROM ingest_batches ORDER BY closed_at DESC NULLS LAST, batch_no DESC LIMIT 1")
+def latest_run(spark: SparkSession, sf: str) -> DataFrame:
+    """The last finished run; the batches stand for runs."""
+    runs = table(spark, sf, "ingest_batches").select(F.col("batch_no").alias("run_id"), F.lit("succeeded").alias("status"), F.lit(72).alias("window_hours"), F.col("closed_at").alias("finished_at"))
+    return api.latest_run(runs, 72).select("run_id", us("finished_at").alias("finished_us"))
+
+
+@query("report_one_source", "SELECT source_id, count(*) AS total FROM processing_status WHERE source_id = 'warta_lintang' GROUP BY source_id")
+def report_one_source(spark: SparkSession, sf: str) -> DataFrame:
+    """The funnel's total with the optional source predicate."""
+    return reports.funnel(table(spark, sf, "processing_status"), source="warta_lintang").select("source_id", "total")
+
+
+@query("report_percent", "SELECT source_id, CASE WHEN count(*) = 0 THEN 'n/a' ELSE format('{:.1f}%', floor(1000.0 * count(*) FILTER (status = 'stored') / count(*) + 0.5) / 10) END AS stored_share FROM processing_status GROUP BY source_id")
+def report_percent(spark: SparkSession, sf: str) -> DataFrame:
+    return reports.funnel(table(spark, sf, "processing_status")).select("source_id", reports.percent(F.col("stored"), F.col("total")).alias("stored_share"))
+
+
 @query("article_dto", """SELECT article_id, source_id, external_article_id, title, content_text AS content, thumbnail_url AS featured_image, coalesce(nullif(canonical_url,''), nullif(normalized_url,'')) AS source_url FROM articles""")
 def article_dto(spark: SparkSession, sf: str) -> DataFrame:
     return api.dto(table(spark, sf, "articles")).select("article_id", "source_id", "external_article_id", "title", "content", "featured_image", "source_url")
@@ -294,6 +312,27 @@ def anchors(spark: SparkSession, sf: str) -> DataFrame:
     return clustering.anchors(docs).where("kind = 'a'").select("id", "token", "df")
 
 
+_ANCHORS_SQL = _DOCS_SQL + f""", a AS (SELECT tok.id, tok.token FROM tok JOIN df USING (token) WHERE df <= greatest(40, floor((SELECT count(*) FROM d) * 0.025)) AND token NOT IN ({', '.join(repr(w) for w in text.GENERIC_ANCHORS)})),
+ m AS (SELECT article_id AS id, epoch_us(collected_at) // 1000 AS ms, CAST(article_id AS VARCHAR) AS sid FROM w)"""
+
+
+@query("candidate_pairs", _ANCHORS_SQL + """ SELECT x.id AS later, y.id AS earlier, count(*) AS shared_anchors FROM a x JOIN a y ON x.token = y.token JOIN m mx ON mx.id = x.id JOIN m my ON my.id = y.id
+ WHERE (my.ms < mx.ms OR (my.ms = mx.ms AND my.sid < mx.sid)) AND mx.ms - my.ms <= 36 * 3600000 GROUP BY 1, 2""")
+def candidate_pairs(spark: SparkSession, sf: str) -> DataFrame:
+    """Pairs of articles that share an anchor within 36 hours."""
+    docs = clustering.prepared(clustering.windowed(table(spark, sf, "articles"), 72))
+    return clustering.candidate_pairs(docs, clustering.anchors(docs)).select("later", "earlier", "shared_anchors")
+
+
+@query("weighted_jaccard", _ANCHORS_SQL + """, wt AS (SELECT token, 1.0 / log2(df + 1.0) AS w FROM df), tw AS (SELECT id, token, w FROM tok JOIN wt USING (token)), tot AS (SELECT id, sum(w) AS s FROM tw GROUP BY id),
+ p AS (SELECT DISTINCT x.id AS later, y.id AS earlier FROM a x JOIN a y ON x.token = y.token JOIN m mx ON mx.id = x.id JOIN m my ON my.id = y.id WHERE (my.ms < mx.ms OR (my.ms = mx.ms AND my.sid < mx.sid)) AND mx.ms - my.ms <= 36 * 3600000),
+ c AS (SELECT later, earlier, sum(x.w) AS common FROM p JOIN tw x ON x.id = later JOIN tw y ON y.id = earlier AND y.token = x.token GROUP BY 1, 2)
+ SELECT later, earlier, round(common / (a1.s + a2.s - common), 6) AS wj FROM c JOIN tot a1 ON a1.id = later JOIN tot a2 ON a2.id = earlier""")
+def weighted_jaccard(spark: SparkSession, sf: str) -> DataFrame:
+    docs = clustering.prepared(clustering.windowed(table(spark, sf, "articles"), 72))
+    return clustering.scored_pairs(docs, clustering.anchors(docs)).select("later", "earlier", F.round("wj", 6).alias("wj"))
+
+
 @query("phrase_df")
 def phrase_df(spark: SparkSession, sf: str) -> DataFrame:
     return clustering.document_frequency(clustering.prepared(clustering.windowed(table(spark, sf, "articles"), 72)), "phrases")
