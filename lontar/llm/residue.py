@@ -100,16 +100,28 @@ MENTIONS = [
 _NAN = re.compile(r"\bNaN\b")
 
 
-def encode(title: str | None, text: str | None) -> np.ndarray:
-    """Title and text as a line stream of small codes: lower case, digits alike, a line feed before, between and after."""
-    s = f"\n{title or ''}\n{text or ''}\n"
+def encode(s: str) -> np.ndarray:
+    """Lines as small codes: lower case, digits alike."""
     if "NaN" in s:
         s = _NAN.sub("\x02", s)
-    s = s.lower()
-    cp = np.frombuffer(s.encode("utf-32-le", "surrogatepass"), np.uint32)
+    cp = np.frombuffer(s.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
     return np.where((cp >= 48) & (cp <= 57), 48, np.where(cp < 128, cp, 128 + (cp * 2654435761 >> 8) % 128)).astype(np.uint8)
 
 
+def lines_of(title: str | None, text: str | None, most: int = 1_000_000) -> Iterator[str]:
+    """Title and text with a line feed before, between and after, in pieces of whole lines; nothing that is counted or judged crosses lines."""
+    s = f"\n{title or ''}\n{text or ''}\n"
+    at = 0
+    while len(s) - at > most:
+        stop = s.rfind("\n", at, at + most) + 1
+        if stop <= at + 1:
+            stop = s.find("\n", at + 1) + 1 or len(s)
+        yield s[at:stop]
+        at = stop
+    if at < len(s):
+        yield s[at:]
+
+
 def _slots(c: np.ndarray, sizes: tuple[int, ...]) -> list[np.ndarray]:
     """Slots of the 5-, 4- (context), 3- and 2-grams that end at each code; contexts end one code before."""
     x = c.astype(U64)
@@ -190,17 +202,19 @@ class Prose:
     loose: Model
 
 
-def _streams(titles: list, texts: list, most: int = 1_000_000) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """Blocks of records as one stream of codes, with where each record begins."""
-    at = 0
-    while at < len(texts):
-        parts, size, stop = [], 0, at
-        while stop < len(texts) and (stop == at or size < most):
-            parts.append(encode(titles[stop], texts[stop]))
+def _streams(titles: list, texts: list, most: int = 1_000_000) -> Iterator[tuple[list[int], np.ndarray, np.ndarray]]:
+    """Blocks of records as one stream of codes: the number of the record of each piece, the codes, where each piece begins."""
+    owners, parts, size = [], [], 0
+    for i, (title, text) in enumerate(zip(titles, texts)):
+        for piece in lines_of(title, text, most):
+            owners.append(i)
+            parts.append(encode(piece))
             size += len(parts[-1])
-            stop += 1
-        yield at, stop, np.concatenate(parts), np.cumsum([0] + [len(p) for p in parts])
-        at = stop
+            if size >= most:
+                yield owners, np.concatenate(parts), np.cumsum([0] + [len(p) for p in parts])
+                owners, parts, size = [], [], 0
+    if parts:
+        yield owners, np.concatenate(parts), np.cumsum([0] + [len(p) for p in parts])
 
 
 def count_prose(rows: DataFrame, phrases: Phrases, rare: tuple[float, float]) -> Prose:
@@ -214,7 +228,7 @@ def count_prose(rows: DataFrame, phrases: Phrases, rare: tuple[float, float]) ->
         records = 0
         for b in batches:
             records += len(b)
-            for _, _, c, _ in _streams(b["title"].tolist(), b["text"].tolist()):
+            for _, c, _ in _streams(b["title"].tolist(), b["text"].tolist()):
                 line = np.cumsum(c == 10)
                 seed_slots = _slots(c, SEED_SLOTS)
                 n = np.bincount(line)
@@ -307,27 +321,26 @@ def find_residue(records: DataFrame, id_col: str = "article_id", title_col: str
     columns are ignored, whatever their names.
     """
     phrases = phrases or Phrases()
-    rows = records.select(F.col(id_col).alias("id"), F.col(title_col).cast("string").alias("title"), F.col(text_col).cast("string").alias("text"))
+    kind = records.schema[id_col].dataType.simpleString()
+    rows = records.select(F.col(id_col).cast("string").alias("id"), F.col(title_col).cast("string").alias("title"), F.col(text_col).cast("string").alias("text"))
     prose = rows.sparkSession.sparkContext.broadcast(count_prose(rows, phrases, rare))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = prose.value
         for b in batches:
-            out = []
-            for at, stop, c, begin in _streams(b["title"].tolist(), b["text"].tolist()):
-                hits: dict[int, list[tuple[int, int, int]]] = {}
-                for w in windows(c, model, phrases, (template, filler, notice)):
-                    if not is_mention(c, w[1], w[2], model, phrases, mention):
-                        hits.setdefault(int(np.searchsorted(begin, w[1], side="right")) - 1, []).append(w)
-                for d, own in hits.items():
-                    mark = np.zeros(begin[d + 1] - begin[d], bool)
-                    for _, lo, hi in own:
-                        mark[lo - begin[d] : hi - begin[d]] = True
-                    if mark.mean() > coverage:
-                        out.append((b["id"].iloc[at + d], sum(1 << k for k in {k for k, _, _ in own}), float(mark.mean())))
-            yield pd.DataFrame(out, columns=["id", "kinds", "covered"])
-
-    return rows.mapInPandas(run, f"id {records.schema[id_col].dataType.simpleString()}, kinds int, covered double")
+            kinds, marked, size = np.zeros(len(b), np.int64), np.zeros(len(b), np.int64), np.zeros(len(b), np.int64)
+            for owners, c, begin in _streams(b["title"].tolist(), b["text"].tolist()):
+                np.add.at(size, owners, np.diff(begin))
+                mark = np.zeros(len(c), bool)
+                for k, lo, hi in windows(c, model, phrases, (template, filler, notice)):
+                    if not is_mention(c, lo, hi, model, phrases, mention):
+                        mark[lo:hi] = True
+                        kinds[owners[int(np.searchsorted(begin, lo, side="right")) - 1]] |= 1 << k
+                np.add.at(marked, owners, np.add.reduceat(mark.astype(np.int64), begin[:-1]))
+            at = np.flatnonzero((kinds > 0) & (marked > coverage * size))
+            yield pd.DataFrame({"id": b["id"].to_numpy(object)[at], "kinds": kinds[at], "covered": marked[at] / size[at]})
+
+    return rows.mapInPandas(run, "id string, kinds int, covered double").withColumn("id", F.col("id").cast(kind))
 
 
 def without_residue(records: DataFrame, id_col: str = "article_id", **how) -> DataFrame:

@@ -46,23 +46,39 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _TABLES["pow"], _TABLES["inv"]
 
 
+def _spans(s: str) -> list[tuple[int, int]]:
+    """Spans of at most ``BLOCK`` characters that together are the string and split no word; a longer word makes a longer span."""
+    out, at = [], 0
+    while len(s) - at > BLOCK:
+        stop = max(s.rfind(" ", at, at + BLOCK), s.rfind("\n", at, at + BLOCK))
+        if stop <= at:
+            ahead = [x for x in (s.find(" ", at + BLOCK), s.find("\n", at + BLOCK)) if x >= 0]
+            stop = min(ahead) if ahead else len(s)
+        out.append((at, stop))
+        at = stop
+    return out + [(at, len(s))]
+
+
 def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words of the (already lower-cased) texts in order, and the text number of each word."""
     joined = "\n".join(texts)
-    cp = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-    if not len(cp):
+    if not joined:
         return np.empty(0, U64), np.empty(0, np.int64)
-    is_word = _word_table()[cp]
-    edge = np.diff(is_word.view(np.int8), prepend=np.int8(0), append=np.int8(0))
-    start, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-    pw, inv = _powers(len(cp))
-    with np.errstate(over="ignore"):
-        prefix = np.zeros(len(cp) + 1, dtype=U64)
-        np.cumsum(mix(cp.astype(U64) + U64(0x51ED27)) * pw[: len(cp)], out=prefix[1:])
-        h = mix((prefix[end] - prefix[start]) * inv[start] + (end - start).astype(U64))
+    hashes, starts = [], []
+    for lo, hi in _spans(joined):
+        cp = np.frombuffer(joined[lo:hi].encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+        is_word = _word_table()[cp]
+        edge = np.diff(is_word.view(np.int8), prepend=np.int8(0), append=np.int8(0))
+        start, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+        pw, inv = _powers(len(cp))
+        with np.errstate(over="ignore"):
+            prefix = np.zeros(len(cp) + 1, dtype=U64)
+            np.cumsum(mix(cp.astype(U64) + U64(0x51ED27)) * pw[: len(cp)], out=prefix[1:])
+            hashes.append(mix((prefix[end] - prefix[start]) * inv[start] + (end - start).astype(U64)))
+        starts.append(start + lo)
     lengths = np.fromiter((len(t) + 1 for t in texts), dtype=np.int64, count=len(texts))
-    doc = np.searchsorted(np.cumsum(lengths), start, side="right")
-    return h, doc
+    doc = np.searchsorted(np.cumsum(lengths), np.concatenate(starts), side="right")
+    return np.concatenate(hashes), doc
 
 
 def ngrams(h: np.ndarray, doc: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:

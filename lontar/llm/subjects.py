@@ -309,7 +309,7 @@ def assign(documents: DataFrame, model: Chain) -> DataFrame:
                 d, j = np.nonzero(y)
                 yield pd.DataFrame({"doc_id": part["doc_id"].to_numpy()[d], "source": part["source"].to_numpy()[d], "subject": np.array(m.names, dtype=object)[j]})
 
-    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("source").cast("string").alias("source")).where("text is not null and text != ''")
+    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("source").cast("string").alias("source")).where("doc_id is not null and text is not null and text != ''")
     return rows.mapInPandas(run, "doc_id long, source string, subject string")
 
 

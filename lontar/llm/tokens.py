@@ -157,7 +157,7 @@ def encode_column(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     length are encoded whole. Columns not named are ignored, whatever their names.
     """
     path = path or vocabulary()
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), *[F.col(c) for c in keep])
+    rows = docs.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).cast("string").alias("text"), *[F.col(c) for c in keep])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         enc = encoder(path)
@@ -166,13 +166,13 @@ def encode_column(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
             yield b[["id", "ids", *keep]]
 
     kinds = "".join(f", `{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
-    return rows.mapInPandas(run, f"id {docs.schema[id_col].dataType.simpleString()}, ids array<int>{kinds}")
+    return rows.mapInPandas(run, f"id string, ids array<int>{kinds}").withColumn("id", F.col("id").cast(docs.schema[id_col].dataType))
 
 
 def token_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
     """(id, tokens) of every row; as ``encode_column``, but only the number of ids leaves Python."""
     path = path or vocabulary()
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), *[F.col(c) for c in keep])
+    rows = docs.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).cast("string").alias("text"), *[F.col(c) for c in keep])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         enc = encoder(path)
@@ -181,4 +181,4 @@ def token_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             yield b[["id", "tokens", *keep]]
 
     kinds = "".join(f", `{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
-    return rows.mapInPandas(run, f"id {docs.schema[id_col].dataType.simpleString()}, tokens long{kinds}")
+    return rows.mapInPandas(run, f"id string, tokens long{kinds}").withColumn("id", F.col("id").cast(docs.schema[id_col].dataType))

@@ -98,6 +98,9 @@ def test_residue(spark):
     assert residue.find_residue(d, coverage=0.5).count() < len(bad)
     assert residue.without_residue(d).count() == d.count() - len(bad)
     assert residue.find_residue(d.limit(0)).count() == 0
+    long = prose() * 300
+    pieces = list(residue.lines_of("a", "\n".join([long, "b", long]), 1000))
+    assert "".join(pieces) == "\n".join(["", "a", long, "b", long, ""]) and len(pieces) > 2 and all(p.endswith("\n") for p in pieces)
 
 
 # 4: repeated lines
@@ -169,6 +172,8 @@ def test_ids_equal_a_public_encoder(spark):
         t = "".join(rng.choice("abc de\nÉ漢👍1.' ") for _ in range(rng.randrange(60)))
         assert enc.encode(t) == public.encode_ordinary(t)
     assert tokens.encode_column(d.limit(0)).count() == 0
+    big = spark.createDataFrame([(None, "a"), (2**60 + 1, None)], "doc_id long, text string")
+    assert {r.id for r in tokens.encode_column(big).collect()} == {None, 2**60 + 1}
 
 
 def test_perfect_hash_is_minimal():
