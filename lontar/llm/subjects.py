@@ -176,6 +176,8 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float | np.ndarray = 1.0, roun
     return w
 
 
+#: With fewer labelled documents a subject's model isn't learnt.
+FEW = 30
 #: Features of a subject's own share of the sentences, the first ones of its model.
 OWN = 4
 
@@ -248,12 +250,13 @@ def fit_chain(texts: list[str], sources: list[str | None], labels: np.ndarray, n
         before[:, j:] = 0
         x = np.c_[model._x(f, j), before]
         y = labels[:, j].astype(float)
-        if 0 < y[~held].sum() < (~held).sum():
+        if FEW <= y[~held].sum() < (~held).sum():
             w = logistic(x[~held], y[~held], np.r_[np.full(OWN, ridge), np.full(x.shape[1] - OWN, ridge_context)])
-        else:
-            w = np.r_[np.zeros(x.shape[1]), base[j]]
+        else:  # too few to learn from: the definition, a fifth of the sentences
+            w = np.r_[np.zeros(x.shape[1]), -12.0 + 1e-6]
+            w[0] = 60.0
         model.weights.append(w)
-        if held.any() and 0 < y[held].sum() < held.sum():
+        if FEW <= y[~held].sum() < (~held).sum() and 0 < y[held].sum() < held.sum():
             z = np.c_[x[held], np.ones(held.sum())] @ w
             a, b = logistic(z[:, None], y[held], 1e-3)
             if a > 0.2:
