@@ -23,8 +23,8 @@ def T(spark: SparkSession, sf: str, *names: str) -> list[DataFrame]:
 
 
 def flagship(spark: SparkSession, sf: str) -> DataFrame:
-    """Events of the trailing 72 hours."""
-    return clustering.cluster(table(spark, sf, "articles"), 72)[0]
+    """Articles of the trailing 72 hours with the seed of the event each is in."""
+    return clustering.cluster(table(spark, sf, "articles"), 72)[1]
 
 
 # Reports
