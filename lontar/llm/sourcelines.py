@@ -81,36 +81,54 @@ def _lines(articles: DataFrame, id_col: str, source_col: str, text_col: str) ->
     return articles.select(F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"), F.split(F.col(text_col).cast("string"), "\n", -1).alias("lines")).where("lines is not null")
 
 
-def repeated_lines(articles: DataFrame, id_col: str = "article_id", source_col: str = "source_id", text_col: str = "content_text", least_docs: int = 5, share: float = 0.02) -> DataFrame:
-    """(source, line, n_docs, n_all): normalised lines in at least ``least_docs`` documents and ``share`` of their source's documents.
+def _reach(least_docs: int, share: float) -> Column:
+    return F.greatest(F.lit(least_docs), F.ceil(F.col("n_all") * F.lit(share) - 1e-9))
 
-    A null source counts as one source of its own. Documents with null text have no lines but count as documents of their source.
-    Repeated rows count as often as they occur. An empty table gives no rows. Other columns are ignored, whatever their names.
-    """
-    lines = _lines(articles, id_col, source_col, text_col)
-    distinct = lines.select("source", F.array_distinct(F.filter(F.transform("lines", normal_line), counts)).alias("own"))
-    hashed = distinct.select("source", F.transform("own", lambda x: F.xxhash64(x)).alias("hashes"))
+
+def candidates(hashed: DataFrame, sizes: DataFrame, least_docs: int, share: float) -> DataFrame:
+    """(s, h, n_all), sources and hashes that may reach the threshold, none that does left out, from each document's distinct hashes
+    (source, hashes) and the documents of each source (source, n_all)."""
     # one shuffle: counters by line, with the error and size rows of the source (hash null) beside them
-    merged = _summaries(hashed, share).groupBy("source", "hash").agg(F.sum("c").alias("c"), F.sum("error").alias("error"))
-    sizes = small_side(articles.groupBy(F.col(source_col).cast("string").alias("source")).agg(F.count("*").alias("n_all")))
-    merged = cut(merged)
+    merged = cut(_summaries(hashed, share).groupBy("source", "hash").agg(F.sum("c").alias("c"), F.sum("error").alias("error")))
     error = small_side(merged.where("hash is null").select(F.col("source").alias("s"), F.col("error").alias("e")))
-    reach = F.greatest(F.lit(least_docs), F.ceil(F.col("n_all") * F.lit(share) - 1e-9))
     near = (
         merged.where("hash is not null")
         .join(error, F.col("source").eqNullSafe(F.col("s")))
         .drop("s", "error")
         .join(sizes.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s")))
-        .where(F.col("c") + F.col("e") >= reach)
+        .where(F.col("c") + F.col("e") >= _reach(least_docs, share))
         .select(F.col("source").alias("s"), F.col("hash").alias("h"), "n_all")
     )
-    near = small_side(near)
+    return small_side(near)
+
+
+def repeated_hashes(hashed: DataFrame, least_docs: int, share: float) -> DataFrame:
+    """(source, hash): hashes in at least ``least_docs`` documents and ``share`` of their source's documents, counted over all rows
+    (source, hashes), each document's distinct hashes; a document without any counts for its source."""
+    sizes = small_side(hashed.groupBy("source").agg(F.count("*").alias("n_all")))
+    near = candidates(hashed, sizes, least_docs, share)
+    own = hashed.select("source", F.explode("hashes").alias("hash"))
+    met = own.join(near, F.col("source").eqNullSafe(F.col("s")) & (F.col("hash") == F.col("h")))
+    return met.groupBy("source", "hash", "n_all").agg(F.count("*").alias("n_docs")).where(F.col("n_docs") >= _reach(least_docs, share)).select("source", "hash")
+
+
+def repeated_lines(articles: DataFrame, id_col: str = "article_id", source_col: str = "source_id", text_col: str = "content_text", least_docs: int = 5, share: float = 0.02) -> DataFrame:
+    """(source, line, n_docs, n_all): normalised lines in at least ``least_docs`` documents and ``share`` of their source's documents.
+
+    A null source counts as one source of its own. Documents with null text have no lines but count as documents of their source.
+    Repeated rows count as often as they occur. An empty table gives no rows. Other columns are ignored, whatever their names.
+    """
+    lines = _lines(articles, id_col, source_col, text_col)
+    distinct = lines.select("source", F.array_distinct(F.filter(F.transform("lines", normal_line), counts)).alias("own"))
+    hashed = distinct.select("source", F.transform("own", lambda x: F.xxhash64(x)).alias("hashes"))
+    sizes = small_side(articles.groupBy(F.col(source_col).cast("string").alias("source")).agg(F.count("*").alias("n_all")))
+    near = candidates(hashed, sizes, least_docs, share)
     own = distinct.select("source", F.explode("own").alias("line"))
     exact = (
         own.join(near, F.col("source").eqNullSafe(F.col("s")) & (F.xxhash64("line") == F.col("h")))
         .groupBy("source", "line", "n_all")
         .agg(F.count("*").alias("n_docs"))
-        .where(F.col("n_docs") >= reach)
+        .where(F.col("n_docs") >= _reach(least_docs, share))
     )
     return exact.select("source", "line", "n_docs", "n_all")
 

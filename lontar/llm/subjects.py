@@ -6,7 +6,11 @@ estimating term distributions. Its output, the share of sentences of every subje
 classifier chain: for every subject a logistic model that also sees the decisions on the subjects before it, so that subjects that
 occur together are modelled. The models are calibrated on held-out documents, and a beam search finds the most probable combination.
 
-The model goes to the executors (its size is bounded by the sample); all documents are scored in one pass without a shuffle.
+Site furniture, which isn't a sentence, is a matter of the whole corpus: the sentences that many documents of a source share are
+counted over all documents, labelled or not. The sample is for the models only.
+
+The model goes to the executors (its size is bounded by the sample, the furniture's is checked); all documents are scored in one pass
+without a shuffle.
 """
 
 from __future__ import annotations
@@ -21,11 +25,16 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
+from lontar.llm.sourcelines import repeated_hashes
+from lontar.session import cut
+
 _INVISIBLE = re.compile("[­͏؜᠎​-‏‪-‮⁠-⁤︀-️﻿\U0001f000-\U0001faff☀-➿\U000e0000-\U000e007f\x00-\x08\x0b\x0e-\x1f\x7f]")
 _BREAK = re.compile(r"(?<=[.!?])[\"”']?\s+(?=[\"“'(]?[^\W\d_a-z])|[\r\n  ]+")
 _CONTROL = re.compile("[\x00-\x08\x0b\x0e-\x1f\x7f]")
 #: A sentence that so many documents of one source share, and this part of the source's documents, digits apart, is site furniture.
 FURNITURE, FURNITURE_SHARE = 3, 0.012
+#: The furniture of all sources goes to the driver and the executors, eight bytes each; more is refused.
+MOST_FURNITURE = 4_000_000
 _WORD = re.compile(r"[^\W\d_]{3,}")
 
 
@@ -52,12 +61,40 @@ def sentences(text: str | None) -> list[str]:
     return out
 
 
-_DROP = dict.fromkeys(map(ord, "0123456789* \t\r\n\xa0"))
+def _shape(sentence: str) -> bytes:
+    """A sentence without digits, stars, case and spaces: what site furniture has in common."""
+    return sentence.lower().replace("\xa0", "").encode("utf-8", "surrogatepass").translate(None, b"0123456789* \t\r\n")
+
 
+def _hashes(shapes: list[bytes]) -> np.ndarray:
+    """64-bit hashes that are the same in every process."""
+    return pd.util.hash_array(np.array(shapes, dtype=object), categorize=False).view(np.int64) if shapes else np.empty(0, np.int64)
 
-def _shape(sentence: str) -> str:
-    """A sentence without digits, stars, case and spaces: what site furniture has in common."""
-    return sentence.lower().translate(_DROP)
+
+def _kept(pieces: list[list[str]], sources: list[str | None], furniture: dict[str | None, np.ndarray]) -> list[list[str]]:
+    """The sentences of each document that aren't its source's furniture (sorted hashes)."""
+    h, at, out = _hashes([_shape(s) for doc in pieces for s in doc]), 0, []
+    for doc, source in zip(pieces, sources):
+        own, mine = furniture.get(source), h[at : at + len(doc)]
+        at += len(doc)
+        out.append(doc if own is None else [s for s, gone in zip(doc, own.take(own.searchsorted(mine), mode="clip") == mine) if not gone])
+    return out
+
+
+def find_furniture(documents: DataFrame) -> dict[str | None, np.ndarray]:
+    """The sorted hashes of each source's site furniture, counted over all documents that have a text."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in filter(len, batches):
+            own = [list({_shape(s) for s in sentences(t)}) for t in b["text"]]
+            yield pd.DataFrame({"source": b["source"], "hashes": np.split(_hashes([x for doc in own for x in doc]), np.cumsum([len(doc) for doc in own])[:-1])})
+
+    rows = documents.select(F.col("text").cast("string").alias("text"), F.col("source").cast("string").alias("source")).where("text is not null and text != ''")
+    hashed = cut(rows.mapInPandas(run, "source string, hashes array<long>"))  # read twice; texts are split once
+    found = cut(repeated_hashes(hashed, FURNITURE, FURNITURE_SHARE))
+    if found.count() > MOST_FURNITURE:
+        raise ValueError(f"over {MOST_FURNITURE} sentences of site furniture")
+    return {r["source"]: np.sort(np.array(r["h"], np.int64)) for r in found.groupBy("source").agg(F.collect_list("hash").alias("h")).collect()}
 
 
 def terms(sentence: str) -> list[str]:
@@ -73,15 +110,13 @@ class SentenceModel:
     vocabulary: dict[str, int]
     weight: np.ndarray  # terms x subjects
     prior: np.ndarray
-    furniture: frozenset[str] = frozenset()
+    furniture: dict[str | None, np.ndarray]
 
-    def subjects(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    def subjects(self, texts: list[str | None], sources: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Of every sentence of the texts the text's number and the subject's, -1 for none; site furniture isn't a sentence."""
         get, doc, ids, ends = self.vocabulary.get, [], [], []
-        for d, text in enumerate(texts):
-            for s in sentences(text):
-                if _shape(s) in self.furniture:
-                    continue
+        for d, own in enumerate(_kept([sentences(t) for t in texts], sources, self.furniture)):
+            for s in own:
                 doc.append(d)
                 ids += [i for t in terms(s) if (i := get(t)) is not None]
                 ends.append(len(ids))
@@ -99,14 +134,10 @@ class SentenceModel:
         return np.array(doc), np.where(score[np.arange(len(doc)), best] > 0, best, -1)
 
 
-def fit_sentences(texts: list[str], sources: list[str | None], labels: np.ndarray, rounds: int = 5, least: int = 3) -> SentenceModel:
+def fit_sentences(texts: list[str], sources: list[str | None], labels: np.ndarray, furniture: dict[str | None, np.ndarray], rounds: int = 5, least: int = 3) -> SentenceModel:
     """Estimate the sentence model from texts and their labels (texts x subjects, 0 or 1)."""
     k = labels.shape[1]
-    pieces = [sentences(t) for t in texts]
-    size_of = Counter(sources)
-    seen = Counter((o, x) for o, doc in zip(sources, pieces) for x in {_shape(s) for s in doc})
-    furniture = frozenset(x for (o, x), c in seen.items() if c >= max(FURNITURE, FURNITURE_SHARE * size_of[o]))
-    split = [[terms(s) for s in doc if _shape(s) not in furniture] for doc in pieces]
+    split = [[terms(s) for s in doc] for doc in _kept([sentences(t) for t in texts], sources, furniture)]
     df = Counter(t for doc in split for t in {x for s in doc for x in s})
     vocabulary = {t: i for i, (t, c) in enumerate(sorted(df.items())) if c >= least}
     vocabulary = {t: i for i, t in enumerate(vocabulary)}
@@ -120,7 +151,7 @@ def fit_sentences(texts: list[str], sources: list[str | None], labels: np.ndarra
     row_a, col_a, doc_a = np.array(row, np.int64), np.array(col, np.int64), np.array(doc_of, np.int64)
     v, n = len(vocabulary), len(doc_of)
     if not v or not n:
-        return SentenceModel({}, np.zeros((0, k)), np.full(k, -1.0))
+        return SentenceModel({}, np.zeros((0, k)), np.full(k, -1.0), furniture)
     allowed = labels[doc_a] > 0
 
     def sums(weight: np.ndarray) -> np.ndarray:
@@ -196,7 +227,7 @@ class Chain:
 
     def features(self, texts: list[str | None], sources: list[str | None]) -> np.ndarray:
         """Term evidence, source and structure of documents, a row each."""
-        doc, subject = self.sentence.subjects(texts)
+        doc, subject = self.sentence.subjects(texts, sources)
         k, m = len(self.names), len(texts)
         n = np.bincount(doc, minlength=m)
         count = np.bincount(doc[subject >= 0] * k + subject[subject >= 0], minlength=m * k).reshape(m, k).astype(float)
@@ -230,7 +261,7 @@ class Chain:
         return y[np.arange(m), score.argmax(axis=1)]
 
 
-def fit_chain(texts: list[str], sources: list[str | None], labels: np.ndarray, names: list[str], ridge: float = 0.1, ridge_context: float = 30.0) -> Chain:
+def fit_chain(texts: list[str], sources: list[str | None], labels: np.ndarray, names: list[str], furniture: dict[str | None, np.ndarray], ridge: float = 0.1, ridge_context: float = 30.0) -> Chain:
     """Train on texts, sources and labels (texts x subjects); every fifth text calibrates.
 
     The subject's own evidence is hardly penalised; sources, structure and other subjects are, as labels are few and partly wrong.
@@ -242,7 +273,7 @@ def fit_chain(texts: list[str], sources: list[str | None], labels: np.ndarray, n
         at = np.array([(x or "") == s for x in sources])
         p = (labels[at].sum(axis=0) + 20 * _sigmoid(base)) / (at.sum() + 20)
         priors[s] = np.log(p / (1 - p))
-    model = Chain(names, fit_sentences(texts, sources, labels), priors, base, [], np.tile([1.0, 0.0], (k, 1)))
+    model = Chain(names, fit_sentences(texts, sources, labels, furniture), priors, base, [], np.tile([1.0, 0.0], (k, 1)))
     f = model.features(texts, sources)
     held = np.arange(len(texts)) % 5 == 4
     for j in range(k):
@@ -277,7 +308,7 @@ def gather_labels(labels: DataFrame, areas: DataFrame) -> DataFrame:
 
 
 def train(documents: DataFrame, labels: DataFrame, areas: DataFrame, most_labelled: int = 6000, seed: int = 7) -> Chain:
-    """Train on at most ``most_labelled`` labelled documents, chosen by a seeded hash when there are more.
+    """Train on at most ``most_labelled`` labelled documents, chosen by a seeded hash when there are more; site furniture is counted over all documents.
 
     ``areas`` must be a short list (under 1000 rows). Documents with null or empty text are left out. Without labelled documents the
     model assigns nothing.
@@ -291,7 +322,7 @@ def train(documents: DataFrame, labels: DataFrame, areas: DataFrame, most_labell
     for i, own in enumerate(rows["subjects"]):
         for s in own:
             y[i, where[s]] = 1
-    return fit_chain(rows["text"].tolist(), rows["source"].tolist(), y, names)
+    return fit_chain(rows["text"].tolist(), rows["source"].tolist(), y, names, find_furniture(documents))
 
 
 def assign(documents: DataFrame, model: Chain) -> DataFrame:

@@ -269,3 +269,22 @@ def test_subjects_without_labels(spark):
 def test_sentences_and_initials():
     assert subjects.sentences('Kata W. Mesberitos di Kota. "Jujur saja," tutur A. B. Sawo.\nBaris pen﻿ularan') == ["Kata W. Mesberitos di Kota.", '"Jujur saja," tutur A. B. Sawo.', "Baris penularan"]
     assert subjects.sentences(None) == []
+
+
+def test_furniture_is_counted_over_all_documents_by_source(spark):
+    """Lines that the labelled documents don't reveal are furniture of their source, and of no other."""
+    docs = _documents(400, 8)
+    lines = [f"Lini {w} mengundang pembaca ke saluran pesan." for w in ("satu", "dua", "tiga", "empat", "lima", "enam", "tujuh", "delapan", "sembilan", "sepuluh", "sebelas", "belasan")]
+    body = ["Surat dakwaan dibacakan kemarin sore.", "Jalan menuju kota sempat padat.", "Cuaca dilaporkan berawan."]
+    rows = [r[:3] for r in docs]
+    rows += [(1000 + i, "\n".join([f"Warga {'abcdefgh'[i]}wira menunggu kabar.", *body, *lines]), "kecil") for i in range(8)]
+    rows += [(2000, "\n".join([*body, *lines]), "lain"), (2001, "\n".join(lines[:1]), None)] + [(2010 + i, f"Kabar {'abcdefgh'[i]}tama.", "lain") for i in range(8)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, source string").withColumn("hash", F.lit("clash"))
+    found = subjects.find_furniture(d)
+    held = lambda source, s: subjects._hashes([subjects._shape(s)])[0] in found.get(source, [])
+    assert all(held("kecil", s) for s in lines) and "lain" not in found and None not in found
+    areas = spark.createDataFrame([(s, s + "_en", "") for s in PHRASES], "subject string, name_en string, description string")
+    lab = spark.createDataFrame([(i, o, "a1") for i, _, _, own in docs for o in own], "doc_id long, subject string, annotator string")
+    model = subjects.train(d, lab, areas)
+    kept = subjects._kept([subjects.sentences(rows[400][1]), subjects.sentences(rows[408][1])], ["kecil", "lain"], model.sentence.furniture)
+    assert kept[0] == ["Warga awira menunggu kabar."] and len(kept[1]) == 15
