@@ -184,19 +184,19 @@ def _suffixes(tokens: list[str], least: int) -> set[str]:
     return out
 
 
-def _refined(tokens: list[str], least: int, common: set[str] | None, suffix: str) -> set[str]:
-    """Keys that stand for a common suffix: longer suffixes and the suffix with other tokens of the value."""
+def _refined(tokens: list[str], least: int, suffix: str) -> set[str]:
+    """Keys that stand for a common suffix: longer suffixes (short tokens whole) and the suffix with the beginnings, initials and ends
+    of other tokens of the value."""
     out = set()
     for i, t in enumerate(tokens):
         for v in (t, t[:-1]):
             if len(v) >= least and v[-least:] == suffix:
-                if len(v) >= least + 3:
-                    out.add("+" + v[-least - 3 :])
-                if len(v) > least + 6:
-                    out.add(f"{suffix}<{v[:3]}")  # tokens written together
+                out.add("+" + v[-least - 3 :])
+                if len(v) > least + 6 or len(tokens) == 1:
+                    out |= {f"{suffix}<{v[:3]}", f"{suffix}.{v[0]}"}  # tokens written together
                 for j, o in enumerate(tokens):
                     if j != i:
-                        out |= {f"{suffix}<{o[:3]}", f"{suffix}>{o[-3:]}", f"{suffix}.{o[0]}" if len(o) == 1 or len(tokens) > 2 else f"{suffix}<{o[:3]}"}
+                        out |= {f"{suffix}<{o[:3]}", f"{suffix}>{o[-3:]}", f"{suffix}.{o[0]}"}
     return out
 
 
@@ -228,7 +228,7 @@ def link_names(values: DataFrame, name_col: str = "author_name", least: int = 5,
 
     def refine(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            out = [(x, k) for x, t, s, c in zip(b["node"], b["tokens"], b["suffix"], b["c"]) for k in ({s} if c <= common else _refined(list(t), least, None, s))]
+            out = [(x, k) for x, t, s, c in zip(b["node"], b["tokens"], b["suffix"], b["c"]) for k in ({s} if c <= common else _refined(list(t), least, s))]
             yield pd.DataFrame(out, columns=["node", "key"])
 
     keys = marked.select("node", "tokens", "suffix", "c").mapInPandas(refine, "node string, key string").distinct()

@@ -44,6 +44,20 @@ def test_common_suffixes_are_refined_not_lost(spark):
     assert {tuple(sorted((p, t))) for p, t in typo.items()} <= got
 
 
+def test_refined_suffixes_link_what_the_plain_ones_do(spark):
+    rng = random.Random(5)
+    word = lambda k: "".join(rng.choice("bdgklmnprst") + rng.choice("aeiou") for _ in range(k))
+    rows = ["L. Kogiwejis", "Leonardus Korgiwejis", "M. Rawejis", "Murtini Rawejis", "Kantor Berita Tawejis", "KB Tawwejis"]
+    for _ in range(40):
+        first, middle, last = word(3), word(2), word(rng.choice([1, 1, 2, 3])) + "dulas"
+        k = rng.randrange(1, len(last) - 5)
+        typo = last[:k] + rng.choice("xyz") + last[k + 1 :]
+        rows += [f"{first} {last}", f"{first[0]}. {last}", f"{first[0]}. {typo}", f"{first[1:]} {typo}", f"{first} {middle} {last}", f"{first} {middle[0]}. {typo}", f"{last}, {first}", f"{first}{last}", f"{first[:4]} {typo}"]
+    d = spark.createDataFrame([(x,) for x in rows], "author_name string")
+    plain, refined = ({(r.name_a, r.name_b) for r in names.name_pairs(names.link_names(d, common=c)).collect()} for c in (10**9, 0))
+    assert refined == plain and {("L. Kogiwejis", "Leonardus Korgiwejis"), ("M. Rawejis", "Murtini Rawejis"), ("KB Tawwejis", "Kantor Berita Tawejis")} <= plain
+
+
 def test_no_names(spark):
     assert names.link_names(spark.createDataFrame([], "author_name string")).count() == 0
 
