@@ -13,7 +13,7 @@ U64 = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1
 _TABLES: dict[str, np.ndarray] = {}
 #: Code points handled at once; bounds the working memory of a worker whatever the batch holds.
-BLOCK = 4_000_000
+BLOCK = 500_000
 
 
 def mix(x: np.ndarray) -> np.ndarray:
