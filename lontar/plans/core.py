@@ -333,7 +333,9 @@ def weighted_jaccard(spark: SparkSession, sf: str) -> DataFrame:
     return clustering.scored_pairs(docs, clustering.anchors(docs)).select("later", "earlier", F.round("wj", 6).alias("wj"))
 
 
-@query("phrase_df")
+@query("phrase_df", f"""WITH w AS (SELECT * FROM articles WHERE collected_at >= (SELECT max(collected_at) FROM articles) - INTERVAL 72 HOUR), d AS (SELECT article_id AS id, {_TOK.format("coalesce(title,'')")} AS t0 FROM w),
+ o AS (SELECT id, list_filter(t0, lambda x, i: list_position(t0, x) = i) AS t FROM d), ph AS (SELECT DISTINCT id, unnest(list_transform(list_zip(t[:-2], t[2:]), lambda z: z[1] || ' ' || z[2])) AS token FROM o WHERE len(t) >= 2)
+ SELECT token, count(*) AS df FROM ph GROUP BY token""")
 def phrase_df(spark: SparkSession, sf: str) -> DataFrame:
     return clustering.document_frequency(clustering.prepared(clustering.windowed(table(spark, sf, "articles"), 72)), "phrases")
 
@@ -374,9 +376,16 @@ def event_issues(spark: SparkSession, sf: str) -> DataFrame:
 # Audit
 
 
-@query("audit_unprocessed", "SELECT d.discovery_id FROM discovered_urls d LEFT JOIN processing_status p ON d.source_id = p.source_id AND d.normalized_url = p.normalized_url WHERE p.status IS NULL")
+_WATCHED = "status IN ('stored','duplicate','ignored_by_policy')"
+
+
+@query("audit_unprocessed", f"""WITH n AS (SELECT max(first_discovered_at) AS t FROM discovered_urls) SELECT d.discovery_id FROM discovered_urls d, n WHERE d.first_discovered_at >= n.t - INTERVAL 72 HOUR
+ AND NOT EXISTS (SELECT 1 FROM processing_status p WHERE p.source_id = d.source_id AND p.normalized_url = d.normalized_url AND {_WATCHED})""")
 def audit_unprocessed(spark: SparkSession, sf: str) -> DataFrame:
-    return audit.unprocessed(*T(spark, sf, "discovered_urls", "processing_status")).select("discovery_id")
+    """URLs of the last 72 hours that have come to no good end; every stored URL has a status row, so only final ones count here."""
+    d, p = T(spark, sf, "discovered_urls", "processing_status")
+    now = d.agg(F.max("first_discovered_at")).first()[0]
+    return audit.unprocessed(d, p.where(_WATCHED), F.lit(now)).select("discovery_id")
 
 
 @query("channel_sets", "SELECT source_id, channels, count(*) AS urls FROM (SELECT source_id, normalized_url, array_to_string(list_sort(list(DISTINCT discovery_channel)), '+') AS channels FROM discovered_urls GROUP BY 1, 2) GROUP BY 1, 2")
@@ -390,42 +399,59 @@ def coverage_proxy(spark: SparkSession, sf: str) -> DataFrame:
     return audit.coverage_proxy(*T(spark, sf, "discovered_urls", "processing_status"))
 
 
-@query("validation_issues")
-def validation_issues(spark: SparkSession, sf: str) -> DataFrame:
-    return audit.validation_issues(table(spark, sf, "articles"))
+_LINE = r"trim(regexp_replace(coalesce({0}, ''), '[\s\x{{0B}}\x{{1C}}-\x{{1F}}\x{{85}}\x{{A0}}\x{{1680}}\x{{2000}}-\x{{200A}}\x{{2028}}\x{{2029}}\x{{202F}}\x{{205F}}\x{{3000}}]+', ' ', 'g'))"
 
 
-_SCORE = "(CASE WHEN title <> '' THEN 25 ELSE 0 END + CASE WHEN len(content_text) >= 200 THEN 30 ELSE 0 END + CASE WHEN published_at IS NOT NULL THEN 20 ELSE 0 END + CASE WHEN author_name <> '' THEN 10 ELSE 0 END + CASE WHEN canonical_url <> '' THEN 10 ELSE 0 END + CASE WHEN len(tags) > 0 THEN 5 ELSE 0 END)"
+@query("validation_issues", f"""WITH v AS (SELECT a.article_id, {_LINE.format("a.title")} AS t, {_LINE.format("a.content_text")} AS c, len(list_filter(string_split(coalesce(a.content_text, ''), chr(10)), lambda x: trim(x) <> '')) AS ps, lower({_LINE.format("s.display_name")}) AS site, a.published_at AS p, a.updated_at_source AS u, a.collected_at AS seen
+ FROM articles a LEFT JOIN sources s USING (source_id))
+ SELECT article_id, concat_ws(',', CASE WHEN t = '' THEN 'title_missing' WHEN lower(t) IN ('home', '404', 'access denied') OR lower(t) = site THEN 'title_forbidden' WHEN len(t) < 10 THEN 'title_short' WHEN len(t) > 500 THEN 'title_long' END,
+ CASE WHEN c = '' THEN 'content_missing' WHEN len(c) < 200 THEN 'content_short' END, CASE WHEN c <> '' AND ps < 2 THEN 'few_paragraphs' END, CASE WHEN p IS NULL THEN 'date_missing' WHEN p > seen THEN 'date_in_future' END, CASE WHEN u < p THEN 'updated_before_published' END) AS issues FROM v""")
+def validation_issues(spark: SparkSession, sf: str) -> DataFrame:
+    a, s = T(spark, sf, "articles", "sources")
+    return audit.validation_issues(a, s).select("article_id", F.array_join("issues", ",").alias("issues"))
 
 
-@query("confidence_score", f"SELECT article_id, CAST({_SCORE} AS INTEGER) AS score, CASE WHEN {_SCORE} >= 85 THEN 'high' WHEN {_SCORE} >= 70 THEN 'good' WHEN {_SCORE} >= 50 THEN 'fair' ELSE 'low' END AS band FROM articles")
+@query("confidence_score", """WITH p AS (SELECT article_id, (CASE WHEN trim(title) <> '' THEN 20 ELSE 0 END) + (CASE WHEN length(content_text) > 500 THEN 25 ELSE 0 END) + (CASE WHEN regexp_matches(canonical_url, '^https?://[^/?#\\s]+', 'i') THEN 15 ELSE 0 END)
+ + (CASE WHEN published_at <= collected_at THEN 20 ELSE 0 END) + (CASE WHEN contains(field_provenance, 'json_ld') THEN 10 ELSE 0 END) + (CASE WHEN trim(author_name) <> '' THEN 5 ELSE 0 END) + (CASE WHEN trim(category) <> '' THEN 5 ELSE 0 END) AS score FROM articles)
+ SELECT article_id, CAST(score AS INTEGER) AS score, CASE WHEN score BETWEEN 80 AND 100 THEN 'valid' WHEN score BETWEEN 60 AND 79 THEN 'valid_with_warning' WHEN score BETWEEN 40 AND 59 THEN 'manual_review' ELSE 'invalid' END AS band FROM p""")
 def confidence_score(spark: SparkSession, sf: str) -> DataFrame:
     return audit.confidence(table(spark, sf, "articles"))
 
 
 @query("duplicate_hashes", "SELECT count(*) AS keys, CAST(sum(n) AS BIGINT) AS articles FROM (SELECT count(*) AS n FROM articles GROUP BY content_hash HAVING count(*) > 1)")
 def duplicate_hashes(spark: SparkSession, sf: str) -> DataFrame:
-    return audit.duplicate_keys(table(spark, sf, "articles")).where("level = 'content_hash'").select("keys", "articles")
+    return audit.duplicate_keys(table(spark, sf, "articles")).where("level = '5_content_hash'").select("keys", "articles")
+
+
+_LEVELS = {"1_normalized_url": "normalized_url", "2_canonical_url": "canonical_url", "3_external_id": "CASE WHEN external_article_id <> '' THEN source_id || '|' || external_article_id END", "4_final_url": "final_url", "5_content_hash": "content_hash"}
 
 
-@query("duplicate_keys")
+@query("duplicate_keys", "SELECT level, count(*) AS keys, CAST(sum(n) AS BIGINT) AS articles FROM (" + " UNION ALL ".join(f"SELECT '{k}' AS level, count(*) AS n FROM articles WHERE ({v}) <> '' GROUP BY {v} HAVING count(*) > 1" for k, v in _LEVELS.items()) + ") GROUP BY level")
 def duplicate_keys(spark: SparkSession, sf: str) -> DataFrame:
     return audit.duplicate_keys(table(spark, sf, "articles"))
 
 
-@query("url_aliases")
+@query("url_aliases", """WITH f AS (SELECT source_id, external_article_id, canonical_url, first_value(canonical_url) OVER (PARTITION BY source_id, external_article_id ORDER BY collected_at, article_id) AS alias_of FROM articles WHERE external_article_id IS NOT NULL)
+ SELECT DISTINCT source_id, external_article_id, canonical_url, alias_of FROM f WHERE canonical_url <> alias_of""")
 def url_aliases(spark: SparkSession, sf: str) -> DataFrame:
     return audit.url_aliases(table(spark, sf, "articles"))
 
 
-@query("hourly_baseline", """WITH hours_of AS (SELECT source_id, date_trunc('hour', collected_at AT TIME ZONE 'UTC') AS h, count(*) AS n FROM articles GROUP BY 1, 2)
- SELECT source_id, CAST(dayofweek(h) + 1 AS INTEGER) AS weekday, CAST(hour(h) AS INTEGER) AS hour, count(*) AS hours, CAST(sum(n) AS BIGINT) AS n, median(n) AS median FROM hours_of GROUP BY 1, 2, 3""")
+@query("hourly_baseline", """WITH h AS (SELECT source_id, epoch(date_trunc('hour', collected_at AT TIME ZONE 'UTC'))::BIGINT AS s, count(*) AS n FROM articles GROUP BY 1, 2)
+ SELECT x.source_id, x.s AS at_s, x.n, CAST(count(y.n) AS INTEGER) AS weeks, CAST(median(y.n) AS DOUBLE) AS median, x.n < median(y.n) * 0.5 AS low FROM h x LEFT JOIN h y ON y.source_id = x.source_id AND x.s - y.s IN (604800, 2 * 604800, 3 * 604800, 4 * 604800) GROUP BY x.source_id, x.s, x.n""")
 def hourly_baseline(spark: SparkSession, sf: str) -> DataFrame:
-    return audit.hourly_baseline(table(spark, sf, "articles"))
+    out = audit.hourly_baseline(table(spark, sf, "articles"))
+    return out.select("source_id", F.unix_timestamp("at").alias("at_s"), "n", "weeks", "median", "low")
 
 
-@query("circuit_states")
+@query("circuit_states", """WITH n AS (SELECT max(status_updated_at) AS t FROM processing_status), a AS (SELECT source_id, status_updated_at AS tm, status IN ('stored','duplicate') AS fine FROM processing_status WHERE status IN ('stored','duplicate','invalid','dead_letter','blocked')),
+ g AS (SELECT source_id, count(*) AS attempts, max(tm) FILTER (fine) AS good, max(tm) FILTER (NOT fine) AS bad FROM a GROUP BY source_id),
+ r AS (SELECT a.source_id, count(*) FILTER (NOT fine AND (good IS NULL OR tm >= good)) AS failures_in_row, count(*) FILTER (NOT fine AND tm > bad - INTERVAL 10 MINUTE AND tm <= bad) AS f, count(*) FILTER (tm > bad - INTERVAL 10 MINUTE AND tm <= bad) AS m FROM a JOIN g USING (source_id) GROUP BY a.source_id),
+ c AS (SELECT g.source_id, attempts, failures_in_row, CASE WHEN m > 0 THEN round(f::DOUBLE / m, 6) END AS error_rate, bad FROM g JOIN r USING (source_id)),
+ s AS (SELECT *, CASE WHEN NOT coalesce(failures_in_row >= 20 OR (failures_in_row > 0 AND error_rate >= 0.7), false) THEN 'closed' WHEN bad <= n.t - INTERVAL 15 MINUTE THEN 'half_open' ELSE 'open' END AS state FROM c, n)
+ SELECT source_id, attempts, failures_in_row, error_rate, state, CASE state WHEN 'half_open' THEN 3 WHEN 'open' THEN 0 END AS probes FROM s""")
 def circuit_states(spark: SparkSession, sf: str) -> DataFrame:
-    """Circuit breaker state of each source from its processing outcomes."""
-    s = table(spark, sf, "processing_status").select("source_id", F.col("status_updated_at").alias("at"), "status")
-    return audit.circuit_states(s, F.col("status").isin("stored", "duplicate"))
+    """Circuit breaker state of each source from its processing outcomes, at the last of them."""
+    s = table(spark, sf, "processing_status").where(F.col("status").isin("stored", "duplicate", "invalid", "dead_letter", "blocked"))
+    now = table(spark, sf, "processing_status").agg(F.max("status_updated_at")).first()[0]
+    return audit.circuit_states(s.select("source_id", F.col("status_updated_at").alias("at"), "status"), F.col("status").isin("stored", "duplicate"), F.lit(now))
