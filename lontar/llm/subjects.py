@@ -19,7 +19,7 @@ import re
 import unicodedata
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
@@ -112,8 +112,8 @@ class SentenceModel:
     prior: np.ndarray
     furniture: dict[str | None, np.ndarray]
 
-    def subjects(self, texts: list[str | None], sources: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        """Of every sentence of the texts the text's number and the subject's, -1 for none; site furniture isn't a sentence."""
+    def scores(self, texts: list[str | None], sources: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """Of every sentence of the texts the text's number and the log-odds of each subject against none; site furniture isn't a sentence."""
         get, doc, ids, ends = self.vocabulary.get, [], [], []
         for d, own in enumerate(_kept([sentences(t) for t in texts], sources, self.furniture)):
             for s in own:
@@ -121,7 +121,7 @@ class SentenceModel:
                 ids += [i for t in terms(s) if (i := get(t)) is not None]
                 ends.append(len(ids))
         if not doc:
-            return np.empty(0, np.int64), np.empty(0, np.int64)
+            return np.empty(0, np.int64), np.empty((0, len(self.prior)))
         score = np.tile(self.prior, (len(doc), 1))
         end = np.array(ends)
         start = np.r_[0, end[:-1]]
@@ -130,8 +130,7 @@ class SentenceModel:
             at = some[lo : lo + 2_000]
             rows = self.weight[np.array(ids[start[at[0]] : end[at[-1]]], np.int64)]
             score[at] += np.add.reduceat(rows, start[at] - start[at[0]], axis=0)
-        best = score.argmax(axis=1)
-        return np.array(doc), np.where(score[np.arange(len(doc)), best] > 0, best, -1)
+        return np.array(doc), score
 
 
 def fit_sentences(texts: list[str], sources: list[str | None], labels: np.ndarray, furniture: dict[str | None, np.ndarray], rounds: int = 5, least: int = 3) -> SentenceModel:
@@ -192,25 +191,37 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
-def logistic(x: np.ndarray, y: np.ndarray, ridge: float | np.ndarray = 1.0, rounds: int = 25) -> np.ndarray:
-    """Weights of a logistic regression with ridge penalty (the last one is the intercept, unpenalised), by Newton steps."""
-    penalty = np.r_[np.broadcast_to(ridge, x.shape[1]), 1e-6]
+def logistic(x: np.ndarray, y: np.ndarray, ridge: float | np.ndarray = 1.0, centre: np.ndarray | None = None, ridge_intercept: float = 1e-3, rounds: int = 25) -> np.ndarray:
+    """Weights of a logistic regression, the last one the intercept, by Newton steps; the ridges draw them to ``centre``."""
+    penalty = np.r_[np.broadcast_to(ridge, x.shape[1]), ridge_intercept]
     x = np.c_[x, np.ones(len(x))]
-    w = np.zeros(x.shape[1])
+    centre = np.zeros(x.shape[1]) if centre is None else centre
+    w = centre.copy()
+
+    def loss(w: np.ndarray) -> float:
+        z = x @ w
+        return float((np.logaddexp(0, z) - y * z).sum() + (penalty * (w - centre) ** 2).sum() / 2)
+
+    now = loss(w)
     for _ in range(rounds):
         p = _sigmoid(x @ w)
         h = (x * (p * (1 - p))[:, None]).T @ x + np.diag(penalty)
-        step = np.linalg.solve(h + 1e-9 * np.eye(len(w)), x.T @ (y - p) - penalty * w)
-        w = w + step
-        if np.abs(step).max() < 1e-6:
+        step = np.linalg.solve(h + 1e-9 * np.eye(len(w)), x.T @ (y - p) - penalty * (w - centre))
+        size = 1.0
+        while (then := loss(w + size * step)) > now and size > 1e-4:  # a full step may overshoot
+            size /= 2
+        if then > now:
+            break
+        w, done, now = w + size * step, now - then < 1e-7 * (1 + abs(now)), then
+        if done:
             break
     return w
 
 
-#: With fewer labelled documents a subject's model isn't learnt.
-FEW = 30
-#: Features of a subject's own share of the sentences, the first ones of its model.
-OWN = 4
+#: A subject's share of the sentences is binned: a step at each of these.
+STEPS = np.arange(1, 31) / 50
+#: The log-odds of a subject before anything is learnt: without a sentence, and by share of the sentences.
+BEFORE, BY_SHARE = -4.0, 20.0
 
 
 @dataclass
@@ -226,22 +237,28 @@ class Chain:
     beam: int = 8
 
     def features(self, texts: list[str | None], sources: list[str | None]) -> np.ndarray:
-        """Term evidence, source and structure of documents, a row each."""
-        doc, subject = self.sentence.subjects(texts, sources)
+        """Term, source and structure features of documents, a row each: by subject the share of sentences, the mean probability of a
+        sentence, the mean evidence of terms, the number of sentences, the share of those about anything and the source's prior; then
+        the number of sentences, the share about nothing and the number of subjects met."""
+        doc, score = self.sentence.scores(texts, sources)
         k, m = len(self.names), len(texts)
         n = np.bincount(doc, minlength=m)
+        best = score.argmax(axis=1) if len(score) else np.empty(0, np.int64)
+        subject = np.where(score[np.arange(len(score)), best] > 0, best, -1)
+        some = np.maximum(1, n)[:, None]
+        mean = lambda x: np.stack([np.bincount(doc, weights=x[:, j], minlength=m) for j in range(k)], axis=1).reshape(m, k) / some
         count = np.bincount(doc[subject >= 0] * k + subject[subject >= 0], minlength=m * k).reshape(m, k).astype(float)
-        share = count / np.maximum(1, n)[:, None]
         about = count.sum(axis=1)
         prior = np.array([self.source_prior.get(s or "", self.base) for s in sources]).reshape(m, k)
         none = np.where(n > 0, 1 - about / np.maximum(1, n), 1.0)
-        return np.c_[share, np.minimum(share, 0.25) * 4, np.minimum(count, 4) / 4, count / np.maximum(1, about)[:, None], prior, np.log1p(n), none, (count > 0).sum(axis=1) / k]
+        return np.c_[count / some, mean(_sigmoid(score)), mean(np.clip(score - self.sentence.prior, 0, 10)) / 10, np.minimum(count, 4) / 4, count / np.maximum(1, about)[:, None], prior, np.log1p(n), none, (count > 0).sum(axis=1) / k]
 
     def _x(self, f: np.ndarray, j: int) -> np.ndarray:
-        """What subject j's model sees of the documents; the decisions before it follow."""
+        """What subject j's model sees of the documents, its share of the sentences first; the decisions before it follow."""
         k = len(self.names)
         others = np.delete(f[:, :k], j, axis=1).max(axis=1, initial=0.0)
-        return np.c_[f[:, j], f[:, k + j], f[:, k + j] ** 2, f[:, j] >= 0.2 - 1e-9, f[:, 2 * k + j], f[:, 3 * k + j], f[:, 4 * k + j], others, f[:, 5 * k :]]
+        share = np.c_[f[:, j], f[:, j, None] >= STEPS - 1e-9]
+        return np.c_[share, *[f[:, i * k + j] for i in range(1, 6)], others, f[:, 6 * k :]]
 
     def decode(self, f: np.ndarray) -> np.ndarray:
         """The most probable combination of subjects of each document (documents x subjects, 0 or 1), by beam search along the chain."""
@@ -261,10 +278,12 @@ class Chain:
         return y[np.arange(m), score.argmax(axis=1)]
 
 
-def fit_chain(texts: list[str], sources: list[str | None], labels: np.ndarray, names: list[str], furniture: dict[str | None, np.ndarray], ridge: float = 0.1, ridge_context: float = 30.0) -> Chain:
+def fit_chain(texts: list[str], sources: list[str | None], labels: np.ndarray, names: list[str], furniture: dict[str | None, np.ndarray], ridge: float = 0.5, ridge_context: float = 30.0, towards: float = 3.0) -> Chain:
     """Train on texts, sources and labels (texts x subjects); every fifth text calibrates.
 
-    The subject's own evidence is hardly penalised; sources, structure and other subjects are, as labels are few and partly wrong.
+    What all subjects have in common is learnt first, from all of them together; each subject's model is drawn towards it by
+    ``towards``, so that few labels leave it there and many move it. The subject's own evidence is hardly penalised; sources,
+    structure and other subjects are, as labels are few and partly wrong.
     """
     k = len(names)
     base = np.log((labels.sum(axis=0) + 1) / (len(labels) - labels.sum(axis=0) + 1)) if len(labels) else np.full(k, -2.0)
@@ -274,24 +293,35 @@ def fit_chain(texts: list[str], sources: list[str | None], labels: np.ndarray, n
         p = (labels[at].sum(axis=0) + 20 * _sigmoid(base)) / (at.sum() + 20)
         priors[s] = np.log(p / (1 - p))
     model = Chain(names, fit_sentences(texts, sources, labels, furniture), priors, base, [], np.tile([1.0, 0.0], (k, 1)))
-    f = model.features(texts, sources)
+    # a sentence model knows the texts it is fitted to too well: each half is described by the other half's
+    f = np.zeros((len(texts), 6 * k + 3))
+    for half in (0, 1):
+        at = [i for i in range(len(texts)) if i % 2 == half]
+        rest = [i for i in range(len(texts)) if i % 2 != half]
+        if at:
+            other = fit_sentences([texts[i] for i in rest], [sources[i] for i in rest], labels[rest], furniture)
+            f[at] = replace(model, sentence=other).features([texts[i] for i in at], [sources[i] for i in at])
     held = np.arange(len(texts)) % 5 == 4
+    x, y = [model._x(f, j) for j in range(k)], labels.astype(float)
+    if not k:
+        return model
+    width = x[0].shape[1]
+    own = len(STEPS) + 5
+    penalty = np.r_[np.full(own, ridge), np.full(width - own, ridge_context)]
+    stack = lambda at: (np.concatenate([a[at] for a in x]), np.concatenate([y[at, j] for j in range(k)]))
+    common = logistic(*stack(~held), penalty, np.r_[BY_SHARE, np.zeros(width - 1), BEFORE])
+    calibrated = lambda z, t, centre, r: logistic(z[:, None], t, r, centre, r)
+    xs, ys = stack(held)
+    scale = calibrated(np.c_[xs, np.ones(len(xs))] @ common, ys, np.array([1.0, 0.0]), 1.0)
+    scale = scale if scale[0] > 0.2 else np.array([1.0, 0.0])
     for j in range(k):
-        before = labels.astype(float).copy()
+        before = y.copy()
         before[:, j:] = 0
-        x = np.c_[model._x(f, j), before]
-        y = labels[:, j].astype(float)
-        if FEW <= y[~held].sum() < (~held).sum():
-            w = logistic(x[~held], y[~held], np.r_[np.full(OWN, ridge), np.full(x.shape[1] - OWN, ridge_context)])
-        else:  # too few to learn from: the definition, a fifth of the sentences
-            w = np.r_[np.zeros(x.shape[1]), -12.0 + 1e-6]
-            w[0] = 60.0
+        own_x = np.c_[x[j], before]
+        w = logistic(own_x[~held], y[~held, j], np.r_[np.maximum(penalty, towards), np.full(k, ridge_context)], np.r_[common[:-1], np.zeros(k), common[-1]])
         model.weights.append(w)
-        if FEW <= y[~held].sum() < (~held).sum() and 0 < y[held].sum() < held.sum():
-            z = np.c_[x[held], np.ones(held.sum())] @ w
-            a, b = logistic(z[:, None], y[held], 1e-3)
-            if a > 0.2:
-                model.scale[j] = a, b
+        s = calibrated(np.c_[own_x[held], np.ones(held.sum())] @ w, y[held, j], scale, 10.0)
+        model.scale[j] = s if s[0] > 0.2 else scale
     return model
 
 
@@ -307,16 +337,17 @@ def gather_labels(labels: DataFrame, areas: DataFrame) -> DataFrame:
     return votes.join(people, "doc_id").where("votes * 2 >= `all`").select("doc_id", "subject")
 
 
-def train(documents: DataFrame, labels: DataFrame, areas: DataFrame, most_labelled: int = 6000, seed: int = 7) -> Chain:
+def train(documents: DataFrame, labels: DataFrame, areas: DataFrame, most_labelled: int = 6000, longest: int = 20_000, seed: int = 7) -> Chain:
     """Train on at most ``most_labelled`` labelled documents, chosen by a seeded hash when there are more; site furniture is counted over all documents.
 
-    ``areas`` must be a short list (under 1000 rows). Documents with null or empty text are left out. Without labelled documents the
+    What is brought to the driver is bounded by both parameters: labelled documents of over ``longest`` characters aren't trained on
+    (they are assigned subjects like all others). ``areas`` must be a short list (under 1000 rows). Documents with null or empty text are left out. Without labelled documents the
     model assigns nothing.
     """
     names = sorted(r[0] for r in areas.select("subject").where("subject is not null").distinct().limit(1000).collect())
     agreed = gather_labels(labels, areas).groupBy("doc_id").agg(F.array_sort(F.collect_set("subject")).alias("subjects"))  # at most as many as there are areas
     chosen = agreed.orderBy(F.xxhash64(F.lit(seed), "doc_id"), "doc_id").limit(most_labelled)
-    rows = documents.select("doc_id", F.col("text").cast("string").alias("text"), F.col("source").cast("string").alias("source")).where("text is not null and text != ''").join(chosen, "doc_id").toPandas().sort_values("doc_id")
+    rows = documents.select("doc_id", F.col("text").cast("string").alias("text"), F.col("source").cast("string").alias("source")).where("text is not null and text != ''").where(F.length("text") <= longest).join(chosen, "doc_id").toPandas().sort_values("doc_id")
     y = np.zeros((len(rows), len(names)), np.int64)
     where = {s: j for j, s in enumerate(names)}
     for i, own in enumerate(rows["subjects"]):
@@ -339,8 +370,7 @@ def assign(documents: DataFrame, model: Chain) -> DataFrame:
             for lo in range(0, len(b), 2000):
                 part = b.iloc[lo : lo + 2000]
                 f = m.features(part["text"].tolist(), part["source"].tolist())
-                y = m.decode(f) * f[:, : len(m.names)].any(axis=1)[:, None]
-                d, j = np.nonzero(y)
+                d, j = np.nonzero(m.decode(f))
                 yield pd.DataFrame({"doc_id": part["doc_id"].to_numpy()[d], "source": part["source"].to_numpy()[d], "subject": np.array(m.names, dtype=object)[j]})
 
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("source").cast("string").alias("source")).where("doc_id is not null and text is not null and text != ''")
