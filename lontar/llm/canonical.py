@@ -23,6 +23,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
+from lontar.llm.names import near
 from lontar.session import cut, small_side
 
 #: Synonyms of Indonesian and English news sections, by canonical name.
@@ -69,21 +70,6 @@ JOINERS = {"dan", "and", "n", "amp"}
 _DIGITS = str.maketrans("013457@$", "oieastas")
 
 
-def near(a: str, b: str) -> bool:
-    """Whether two words differ by at most one edit or swap of neighbours."""
-    if a == b:
-        return True
-    if abs(len(a) - len(b)) > 1:
-        return False
-    i = 0
-    while i < min(len(a), len(b)) and a[i] == b[i]:
-        i += 1
-    if len(a) == len(b):
-        return a[i + 1 :] == b[i + 1 :] or (i + 1 < len(a) and a[i] == b[i + 1] and a[i + 1] == b[i] and a[i + 2 :] == b[i + 2 :])
-    long, short = (a, b) if len(a) > len(b) else (b, a)
-    return long[i + 1 :] == short[i:]
-
-
 def words(part: str) -> list[str]:
     """The words of one part: look-alike digits inside words read as letters, words without a letter and joining words left out."""
     out = []
@@ -251,7 +237,7 @@ def map_records(records: DataFrame, reference: DataFrame, id_col: str = "article
     The mapping of distinct values is broadcast only if its counted rows allow; else values are joined by shuffle, where a value that
     very many records hold is split by the skew handling of adaptive execution.
     """
-    ids = {r.name: r.category_id for r in reference.where("name is not null").select("name", "category_id").limit(100_000).collect()}
+    ids = {r.name: r.category_id for r in reference.where(F.col("name").isin([*SECTION_PARENTS, *SECTION_PARENTS.values()])).groupBy("name").agg(F.min("category_id").alias("category_id")).collect()}
     how.setdefault("parents", {ids[a]: ids[b] for a, b in SECTION_PARENTS.items() if a in ids and b in ids})
     mapped = small_side(map_values(records, reference, value_col, **how).select("value", "category_id"))
     return records.select(F.col(id_col).alias("id"), F.col(value_col).cast("string").alias("value")).join(mapped, "value").select("id", "value", "category_id")

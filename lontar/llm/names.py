@@ -1,9 +1,10 @@
 """Problem 1: variant spellings of names typed by people.
 
 Distinct values are parsed (titles, degrees, byline words, places and codes are set aside; roles, blanks and lists of several people
-are left out) into tokens. Candidates come from suffix blocking: every token is indexed by its suffix of a minimum length; suffixes
-that very many values share are replaced by longer suffixes and by the suffix refined with the other tokens of the value, and only
-after that the common suffix itself is given up. Candidate pairs are compared by the longest-common-subsequence ratio of their
+are left out) into tokens. Candidates come from suffix blocking: every token is indexed by its suffix of a minimum length, shorter ones
+whole; suffixes that very many values share are replaced by longer suffixes and by the suffix refined with the other tokens of the
+value, what is common still by keys with more of both, and only after that the common key itself is given up; values that share even
+the narrowest keys are compared by pairs of blocks. Candidate pairs are compared by the longest-common-subsequence ratio of their
 aligned tokens. Every value points to its best fuller or more frequent neighbour, and the trees of these pointers are the entities;
 values that fit several entities equally (an initial and a surname) belong to none of them.
 """
@@ -13,11 +14,13 @@ from __future__ import annotations
 import itertools
 import re
 import unicodedata
-from collections.abc import Iterator
+import zlib
+from collections.abc import Callable, Iterable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
+from lontar.functions.lcs import lcs_length, lcs_ratio_of
 from lontar.session import cut
 
 #: Words that name a role or a desk and not who holds it.
@@ -101,24 +104,6 @@ def parse(value: str | None) -> tuple[str, list[str]] | None:
     return "person", words
 
 
-def lcs(a: str, b: str) -> int:
-    """Length of the longest common subsequence, bit-parallel."""
-    where: dict[str, int] = {}
-    for i, c in enumerate(a):
-        where[c] = where.get(c, 0) | 1 << i
-    full = (1 << len(a)) - 1
-    v = full
-    for c in b:
-        u = v & where.get(c, 0)
-        v = ((v + u) | (v - u)) & full
-    return len(a) - v.bit_count()
-
-
-def ratio(a: str, b: str) -> float:
-    """LCS ratio: twice the common subsequence over both lengths; 0 where both are empty."""
-    return 2 * lcs(a, b) / (len(a) + len(b)) if a or b else 0.0
-
-
 def _token_score(a: str, b: str) -> float:
     """How well two tokens name the same: 1 equal, else by LCS ratio, initials and short forms; 0 no."""
     if a == b:
@@ -127,12 +112,12 @@ def _token_score(a: str, b: str) -> float:
         a, b = b, a
     if len(a) == 1:
         return 0.6 if b[0] == a else 0.0
-    r = ratio(a, b)
+    r = lcs_ratio_of(a, b)
     if len(a) >= 5 and len(b) - len(a) <= 2 and r >= (0.85 if len(b) >= 8 else 0.8):
         return r
     if len(a) <= 6 and len(b) >= 6 and (a in b or (len(a) >= 4 and a[:3] == b[:3])):
         return 0.7  # a nickname
-    if 3 <= len(a) <= 6 < len(b) and lcs(a, b) >= max(2, len(a) - 1):
+    if 3 <= len(a) <= 6 < len(b) and lcs_length(a, b) >= max(2, len(a) - 1):
         return 0.65
     return 0.0
 
@@ -141,14 +126,14 @@ def same(a: list[str], b: list[str], kind_a: str, kind_b: str, threshold: float
     """Score of two parsed values naming the same, 0 if they don't; at most 1. Under 0.75 it is weak: other entities may fit as well."""
     ja, jb = "".join(a), "".join(b)
     if "org" in (kind_a, kind_b):
-        r = ratio(ja, jb)
+        r = lcs_ratio_of(ja, jb)
         return r if ja == jb or (min(len(ja), len(jb)) >= 6 and r >= 0.88) else 0.0
     if sorted(a) == sorted(b):
         return 1.0
     if (len(a) == 1 or len(b) == 1 or len(a) != len(b)) and abs(len(ja) - len(jb)) <= 3 and min(len(ja), len(jb)) >= 10:  # tokens written together
         fewer, more = (a, b) if len(a) <= len(b) else (b, a)
         orders = list(itertools.permutations(more)) if len(more) <= 4 else [more]
-        r = max(ratio("".join(x), "".join(o)) for x in (fewer, fewer[::-1]) for o in orders)
+        r = max(lcs_ratio_of("".join(x), "".join(o)) for x in (fewer, fewer[::-1]) for o in orders)
         if r >= 0.93:
             return 0.99 * r
     if len(a) > len(b):
@@ -167,7 +152,7 @@ def same(a: list[str], b: list[str], kind_a: str, kind_b: str, threshold: float
     if not whole:
         return 0.0
     aligned_a, aligned_b = "".join(x for _, _, x, _ in got), "".join(y for _, _, _, y in got)
-    if len(whole) == len(got) and ratio(aligned_a, aligned_b) < threshold:
+    if len(whole) == len(got) and lcs_ratio_of(aligned_a, aligned_b) < threshold:
         return 0.0
     mean = sum(s for s, *_ in got) / len(got)
     if len(whole) == 1 and len(got) == 2:
@@ -175,34 +160,70 @@ def same(a: list[str], b: list[str], kind_a: str, kind_b: str, threshold: float
     return mean - 0.02 * len(free)
 
 
+def _ends(tokens: list[str], least: int) -> Iterator[tuple[int, str, str]]:
+    """(token's number, its suffix, the token): by the suffix of ``least`` letters, also without the last letter; shorter tokens count
+    whole, and where the last token is short so does the suffix of the tokens written together (their number is -1)."""
+    for i, t in enumerate(tokens):
+        if len(t) >= least:
+            for v in (t, t[:-1]):
+                if len(v) >= least:
+                    yield i, v[-least:], v
+        elif len(t) > 1:
+            yield i, "=" + t, t
+    whole = "".join(tokens)
+    if len(tokens) > 1 and len(tokens[-1]) < least <= len(whole):
+        yield -1, whole[-least:], whole
+
+
 def _suffixes(tokens: list[str], least: int) -> set[str]:
-    out = set()
-    for t in tokens:
-        for v in (t, t[:-1]):
-            if len(v) >= least:
-                out.add(v[-least:])
-    return out
+    return {s for _, s, _ in _ends(tokens, least)}
+
+
+def _others(tokens: list[str], i: int, t: str, least: int) -> list[str]:
+    """What a token is refined with: the other tokens, or itself where nothing else is there or tokens may be written together."""
+    own = [t] if len(t) > least + 6 or len(tokens) == 1 or i < 0 else []
+    return own + [o for j, o in enumerate(tokens) if j != i and i >= 0]
 
 
 def _refined(tokens: list[str], least: int, suffix: str) -> set[str]:
-    """Keys that stand for a common suffix: longer suffixes (short tokens whole) and the suffix with the beginnings, initials and ends
-    of other tokens of the value."""
+    """Keys that stand for a common suffix: longer suffixes and the suffix with the beginnings, initials and ends of other tokens."""
     out = set()
-    for i, t in enumerate(tokens):
-        for v in (t, t[:-1]):
-            if len(v) >= least and v[-least:] == suffix:
-                out.add("+" + v[-least - 3 :])
-                if len(v) > least + 6 or len(tokens) == 1:
-                    out |= {f"{suffix}<{v[:3]}", f"{suffix}.{v[0]}"}  # tokens written together
-                for j, o in enumerate(tokens):
-                    if j != i:
-                        out |= {f"{suffix}<{o[:3]}", f"{suffix}>{o[-3:]}", f"{suffix}.{o[0]}"}
+    for i, s, t in _ends(tokens, least):
+        if s == suffix:
+            if s[0] != "=":
+                out.add("+" + t[-least - 3 :])
+            for o in _others(tokens, i, t, least):
+                out |= {f"{s}<{o[:3]}", f"{s}>{o[-3:]}", f"{s}.{o[0]}"}
     return out
 
 
-def link_names(values: DataFrame, name_col: str = "author_name", least: int = 5, common: int = 200) -> DataFrame:
+def _narrowed(tokens: list[str], least: int, key: str) -> set[str]:
+    """Keys that stand for a refined key that is common still: with the rest of what was refined with and the token's own beginning,
+    one of which a single slip leaves as it is, and with every third token."""
+    out = set()
+    for i, s, t in _ends(tokens, least):
+        if key == "+" + t[-least - 3 :]:
+            out |= {f"{key}^{t[:3]}"} | {f"{key}<{o[:3]}" for o in _others(tokens, i, t, least)} | {f"{key}>{o[-3:]}" for o in _others(tokens, i, t, least)}
+        for o in _others(tokens, i, t, least):
+            if key in (f"{s}<{o[:3]}", f"{s}>{o[-3:]}", f"{s}.{o[0]}"):
+                out |= {f"{key}^{t[:3]}", f"{key}~{o[3:6]}", f"{key}~{o[:3]}{o[-3:]}"}
+                out |= {f"{key}&{x[:3]}" for k, x in enumerate(tokens) if k != i and x != o}
+    return out or {key}
+
+
+def _spread(node: str, key: str, count: int, most: int) -> list[str]:
+    """A key that over ``most`` values share, as one key for each pair of blocks that the value's block is in."""
+    k = -(-count // max(1, most))
+    mine = zlib.crc32(node.encode("utf-8", "surrogatepass")) % k
+    return [f"{key}#{min(mine, o)},{max(mine, o)}" for o in range(k)]
+
+
+def link_names(values: DataFrame, name_col: str = "author_name", least: int = 5, common: int = 200, crowded: int = 1000) -> DataFrame:
     """(name, entity): values, byte for byte as stored, with the value that stands for their entity.
 
+    A suffix that over ``common`` values share is refined, a refined key that over ``crowded`` share is narrowed, and what is crowded
+    still is compared by pairs of blocks.
+
     Blank and null values, bare roles and several names are in no entity. Repeated rows count for frequency only. A value that very
     many rows hold is counted before anything is shuffled. An empty table gives no rows; other columns are ignored.
     """
@@ -220,19 +241,23 @@ def link_names(values: DataFrame, name_col: str = "author_name", least: int = 5,
 
     def suffixes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            yield pd.DataFrame([(x, k) for x, t in zip(b["node"], b["tokens"]) for k in _suffixes(list(t), least)], columns=["node", "suffix"])
+            yield pd.DataFrame([(x, k) for x, t in zip(b["node"], b["tokens"]) for k in _suffixes(list(t), least)], columns=["node", "key"])
 
-    plain = nodes.select("node", "tokens").mapInPandas(suffixes, "node string, suffix string")
-    frequent = plain.groupBy("suffix").agg(F.count("*").alias("c"))
-    marked = plain.join(frequent, "suffix").join(nodes.select("node", "tokens"), "node")
+    def again(keyed: DataFrame, most: int, grow: Callable[[str, list[str], str, int], Iterable[str]]) -> DataFrame:
+        """(node, key): with the keys that ``grow`` gives in the place of those that over ``most`` values share."""
+        counted = keyed.join(keyed.groupBy("key").agg(F.count("*").alias("c")).where(F.col("c") > most), "key", "left")
+        kept, many = counted.where("c is null").select("node", "key"), counted.where("c is not null").join(nodes.select("node", "tokens"), "node")
 
-    def refine(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            out = [(x, k) for x, t, s, c in zip(b["node"], b["tokens"], b["suffix"], b["c"]) for k in ({s} if c <= common else _refined(list(t), least, s))]
-            yield pd.DataFrame(out, columns=["node", "key"])
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for b in batches:
+                yield pd.DataFrame([(x, g) for x, t, k, c in zip(b["node"], b["tokens"], b["key"], b["c"]) for g in grow(x, list(t), k, c)], columns=["node", "key"])
+
+        return cut(kept.unionByName(many.select("node", "tokens", "key", "c").mapInPandas(run, "node string, key string")).distinct())
 
-    keys = marked.select("node", "tokens", "suffix", "c").mapInPandas(refine, "node string, key string").distinct()
-    keys = cut(keys)
+    keys = cut(nodes.select("node", "tokens").mapInPandas(suffixes, "node string, key string"))
+    keys = again(keys, common, lambda x, t, k, c: _refined(t, least, k))
+    keys = again(keys, crowded, lambda x, t, k, c: _narrowed(t, least, k))
+    keys = again(keys, crowded, lambda x, t, k, c: _spread(x, k, c, crowded))
     pairs = keys.select(F.col("node").alias("a"), "key").join(keys.select(F.col("node").alias("b"), "key"), "key").where("a < b").select("a", "b").distinct()
     full = nodes.select("node", "kind", "tokens", "n")
     both = pairs.join(full.select(F.col("node").alias("a"), F.col("kind").alias("ka"), F.col("tokens").alias("ta"), F.col("n").alias("na")), "a").join(full.select(F.col("node").alias("b"), F.col("kind").alias("kb"), F.col("tokens").alias("tb"), F.col("n").alias("nb")), "b")
@@ -244,6 +269,8 @@ def link_names(values: DataFrame, name_col: str = "author_name", least: int = 5,
             out = pd.DataFrame({"a": b["a"], "b": b["b"], "na": b["na"], "nb": b["nb"], "fa": whole("ta"), "fb": whole("tb"), "score": s})
             yield out[out["score"] > 0]
 
+    # an exchange of so few bytes would be merged into a task or two
+    both = both.repartition(max(8, values.sparkSession.sparkContext.defaultParallelism))
     scored = cut(both.mapInPandas(compare, "a string, b string, na long, nb long, fa int, fb int, score double"))
     ends = scored.selectExpr("a as x", "b as y", "na as nx", "nb as ny", "fa as fx", "fb as fy", "score").unionByName(scored.selectExpr("b as x", "a as y", "nb as nx", "na as ny", "fb as fx", "fa as fy", "score"))
     rank_x = F.struct(F.expr("least(3, fx div 100)").alias("w"), F.col("nx").alias("n"), F.col("fx").alias("f"), F.col("x").alias("v"))

@@ -58,6 +58,34 @@ def test_refined_suffixes_link_what_the_plain_ones_do(spark):
     assert refined == plain and {("L. Kogiwejis", "Leonardus Korgiwejis"), ("M. Rawejis", "Murtini Rawejis"), ("KB Tawwejis", "Kantor Berita Tawejis")} <= plain
 
 
+def test_short_tokens_and_single_tokens_are_indexed(spark):
+    """Names of short tokens only, tokens written together, and short agency names under a suffix that is common."""
+    rows = ["Dewi Ayu", "Dewi Ayu Sri", "DEWI AYU", "dewiayusri", "Kantor Berita Abcwita", "KB Abcwitaa"] + [f"Kantor Berita {a}{b}wita" for a in "defghijk" for b in "mnopqrst"]
+    d = spark.createDataFrame([(x,) for x in rows], "author_name string")
+    for common in (200, 3):
+        got = {(r.name_a, r.name_b) for r in names.name_pairs(names.link_names(d, common=common)).collect()}
+        assert {("Dewi Ayu", "Dewi Ayu Sri"), ("DEWI AYU", "Dewi Ayu Sri"), ("Dewi Ayu Sri", "dewiayusri"), ("KB Abcwitaa", "Kantor Berita Abcwita")} <= got
+
+
+def test_a_crowded_block_is_narrowed_and_spread(spark):
+    """Thousands of values that share a suffix and the beginning of another token; slips are linked, and no block stays crowded."""
+    rng = random.Random(12)
+    word = lambda k: "".join(rng.choice("bdgklmnprst") + rng.choice("aeiou") for _ in range(k))
+    people = sorted({f"Bud{word(2)} {word(2)}santoso" for _ in range(3000)})
+    slips = {p: p[:4] + p[5:] for p in people[::100]}
+    d = spark.createDataFrame([(x,) for x in people + list(slips.values())], "author_name string")
+    got = {(r.name_a, r.name_b) for r in names.name_pairs(names.link_names(d, common=50, crowded=100)).collect()}
+    assert {tuple(sorted(x)) for x in slips.items()} <= got
+    tokens = [names.parse(p)[1] for p in people]
+    blocks = {}
+    for t in tokens:
+        for k in names._narrowed(t, 5, "ntoso<bud"):
+            blocks[k] = blocks.get(k, 0) + 1
+    assert max(blocks.values()) < len(people) / 2
+    pairs = [set(names._spread(str(i), "k", 500, 100)) for i in range(500)]
+    assert all(a & b for a in pairs[:50] for b in pairs) and max(sum(k in p for p in pairs) for k in pairs[0]) < 350
+
+
 def test_no_names(spark):
     assert names.link_names(spark.createDataFrame([], "author_name string")).count() == 0
 
@@ -73,7 +101,7 @@ def test_lcs_against_table():
     rng = random.Random(1)
     for _ in range(200):
         a, b = ("".join(rng.choice("abcd") for _ in range(rng.randrange(12))) for _ in range(2))
-        assert names.lcs(a, b) == slow(a, b)
+        assert names.lcs_length(a, b) == slow(a, b)
 
 
 # 2: canonical values
