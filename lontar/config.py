@@ -13,8 +13,13 @@ DELAY_LEAST, DELAY_MOST, DELAY_DEFAULT, BATCH = 500, 5000, 2000, 8
 
 
 def flag(value: str | None, default: bool = False) -> bool:
-    """1, true, yes and on mean true, any other text false, none the default."""
-    return default if value is None or value == "" else value.strip().lower() in {"1", "true", "yes", "on"}
+    """1, true, yes and on mean true, 0, false, no and off false, none the default; ValueError for anything else."""
+    if value is None or value.strip() == "":
+        return default
+    v = value.strip().lower()
+    if v not in {"1", "true", "yes", "on", "0", "false", "no", "off"}:
+        raise ValueError(f"not a flag: {value}")
+    return v in {"1", "true", "yes", "on"}
 
 
 def whole(value: str | None, default: int) -> int:

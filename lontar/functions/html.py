@@ -17,10 +17,20 @@ RAW = {"script", "style"}
 class Node:
     """An element with its children, which are elements and strings."""
 
-    __slots__ = ("tag", "attrs", "children", "parent")
+    __slots__ = ("tag", "attrs", "children", "parent", "index")
 
     def __init__(self, tag: str, attrs: dict[str, str], parent: Node | None = None) -> None:
-        self.tag, self.attrs, self.children, self.parent = tag, attrs, [], parent
+        self.tag, self.attrs, self.children, self.parent, self.index = tag, attrs, [], parent, None
+
+    def named(self, kind: str, name: str) -> list[tuple[int, Node]]:
+        """Elements below by tag (kind 't'), class ('.') or id ('#'), with their place in the document; the tree is walked once."""
+        if self.index is None:
+            self.index = {}
+            for i, n in enumerate(self.walk()):
+                keys = {("t", n.tag), ("t", "*"), ("#", n.attrs.get("id", "")), *((".", c) for c in n.attrs.get("class", "").split())}
+                for k in keys:
+                    self.index.setdefault(k, []).append((i, n))
+        return self.index.get((kind, name), [])
 
     def walk(self):
         """Elements below in document order, without recursion."""
@@ -78,6 +88,9 @@ class _Builder(HTMLParser):
     def handle_data(self, data):
         self.at.children.append(data)
 
+    def handle_comment(self, data):
+        self.at.children.append(Node("!--", {"text": data.strip()}, self.at))
+
 
 def parse(html: str | None) -> Node:
     """The tree of a page; unclosed elements end with their parents, whatever else is wrong is kept as it comes."""
@@ -143,14 +156,22 @@ def _under(n: Node, steps: tuple) -> bool:
 
 def select(root: Node, selector: str) -> list[Node]:
     """Elements that fit a selector: tags, .classes, #ids, [attributes], descendants, > children, comma lists; document order."""
-    alternatives = _compiled(selector)
-    return [n for n in root.walk() if any(_under(n, steps) for steps in alternatives)]
+    found: dict[int, Node] = {}
+    for steps in _compiled(selector):
+        kind, name = next(((k, v) for k, v, *_ in sorted(steps[-1][1], key=lambda t: "#.t".find(t[0]) % 9) if k in "#.t"), ("t", "*"))
+        found |= {i: n for i, n in root.named(kind, name) if n.tag != "!--" and _under(n, steps)}
+    return [found[i] for i in sorted(found)]
+
+
+def comments(node: Node) -> list[str]:
+    """The texts of the comments below an element."""
+    return [n.attrs["text"] for n in node.walk() if n.tag == "!--" and n.attrs["text"]]
 
 
 def meta(root: Node, name: str) -> str | None:
     """The content of a meta element by name, property or itemprop."""
-    for n in root.walk():
-        if n.tag == "meta" and name in (n.attrs.get("name"), n.attrs.get("property"), n.attrs.get("itemprop")) and n.attrs.get("content", "").strip():
+    for _, n in root.named("t", "meta"):
+        if name in (n.attrs.get("name"), n.attrs.get("property"), n.attrs.get("itemprop")) and n.attrs.get("content", "").strip():
             return n.attrs["content"].strip()
     return None
 
@@ -158,8 +179,8 @@ def meta(root: Node, name: str) -> str | None:
 def json_ld(root: Node) -> list[dict]:
     """All objects of the page's JSON-LD blocks, lists and @graph flattened; malformed blocks are skipped."""
     out: list[dict] = []
-    for n in root.walk():
-        if n.tag == "script" and "ld+json" in n.attrs.get("type", ""):
+    for _, n in root.named("t", "script"):
+        if "ld+json" in n.attrs.get("type", ""):
             try:
                 stack = [json.loads(n.raw())]
             except ValueError:
@@ -238,8 +259,8 @@ def window_state(html: str, name: str) -> dict:
 
 def next_data(root: Node) -> dict:
     """The state a server-rendered page embeds in __NEXT_DATA__."""
-    for n in root.walk():
-        if n.tag == "script" and n.attrs.get("id") == "__NEXT_DATA__":
+    for _, n in root.named("t", "script"):
+        if n.attrs.get("id") == "__NEXT_DATA__":
             try:
                 return json.loads(n.raw())
             except ValueError:
@@ -250,22 +271,33 @@ def next_data(root: Node) -> dict:
 def revive(payload: list, deepest: int = 40):
     """Decode an index-encoded payload: a flat list whose first element is the root and whose whole numbers point to elements.
 
-    Wrapped values ([\"ShallowReactive\", n] and the like) are unwrapped; cycles and too deep values become null.
+    A number that points to no element stays as it is. Wrapped values ([\"ShallowReactive\", n] and the like) are unwrapped; an element
+    is decoded once however many point to it; where one points back to what it is part of, or lies too deep, there is null.
     """
-
-    def value(i, path):
-        if isinstance(i, bool) or not isinstance(i, int) or i < 0 or i >= len(payload) or i in path or len(path) > deepest:
+    done: dict[int, object] = {}
+    within: set[int] = set()
+
+    def value(i, depth):
+        if isinstance(i, bool) or not isinstance(i, int) or not 0 <= i < len(payload):
+            return i
+        if i in done:
+            return done[i]
+        if i in within or depth > deepest:
             return None
-        x, path = payload[i], path | {i}
+        x = payload[i]
+        within.add(i)
         if isinstance(x, dict):
-            return {k: value(v, path) for k, v in x.items()}
-        if isinstance(x, list):
-            if len(x) == 2 and isinstance(x[0], str) and isinstance(x[1], int):
-                return value(x[1], path)
-            return [value(v, path) for v in x]
-        return x
+            out = {k: value(v, depth + 1) for k, v in x.items()}
+        elif isinstance(x, list):
+            wrapped = len(x) == 2 and isinstance(x[0], str) and isinstance(x[1], int)
+            out = value(x[1], depth + 1) if wrapped else [value(v, depth + 1) for v in x]
+        else:
+            out = x
+        within.discard(i)
+        done[i] = out
+        return out
 
-    return value(0, frozenset()) if payload else None
+    return value(0, 0) if payload else None
 
 
 def find_key(x, key: str):
@@ -286,10 +318,15 @@ def find_key(x, key: str):
 LEADS_AWAY = re.compile(r"^\s*(baca juga|pilihan editor|cek berita dan artikel|ringkasan berita|simak (juga|video)|lihat juga)\b", re.I)
 
 
+# Fixed value: characters of a dateline at most.
+DATELINE = 40
+
+
 def paragraphs(root: Node, containers: str, noise: str = "", inner: str = "p, h2, h3") -> list[str]:
     """Paragraphs of the first container that has any: noise removed, lines that lead elsewhere dropped, a dateline joined to its text.
 
-    A container without such elements is split at line breaks.
+    A dateline is a short bold element that comes first in the container, before any paragraph; it isn't put before a text that begins
+    with it already. A container without paragraphs is split at line breaks.
     """
     gone = {id(n) for n in select(root, noise)} if noise else set()
     for box in select(root, containers):
@@ -302,6 +339,10 @@ def paragraphs(root: Node, containers: str, noise: str = "", inner: str = "p, h2
             t = n.text()
             if not skip and t and not LEADS_AWAY.match(t):
                 out.append(t)
+        first = next((c for c in box.children if isinstance(c, Node) and c.tag != "!--" and id(c) not in gone), None)
+        place = first.text() if first is not None and first.tag in {"strong", "b"} else ""
+        if out and 0 < len(place) <= DATELINE and not out[0].lower().startswith(place.lower()):
+            out[0] = f"{place} - {out[0]}"
         if not out:
             lines, stack = [""], list(reversed(box.children))
             while stack:
@@ -318,6 +359,15 @@ def paragraphs(root: Node, containers: str, noise: str = "", inner: str = "p, h2
     return []
 
 
-def premium(root: Node, text: str, marks: str = ".premium-badge, .artikel-premium, .locked-content, [data-premium=true]", least: int = 400) -> bool:
-    """Whether a page shows a teaser only: a mark, a call to subscribe, or a short text."""
-    return bool(select(root, marks)) or bool(re.search(r"berlangganan untuk (membaca|melanjutkan)|baca selengkapnya di e-?paper|konten premium|khusus pelanggan", text, re.I)) or 0 < len(text) < least
+#: Classes and attributes by which pages mark what only subscribers may read.
+LOCKED = "[class*=paywall], [class*=subscriber-only], [data-paywall], [data-locked=true]"
+#: How a teaser ends.
+CALLS = re.compile(r"\b(langganan|berlangganan|pelanggan|subscribe|subscribers?|subscription|log ?in|masuk)\b.{0,60}\b(lanjut\w*|selengkapnya|penuh|continue|full|unlock|read on)\b", re.I)
+
+
+def premium(root: Node, text: str, marks: str = LOCKED) -> bool:
+    """Whether a page shows a teaser only: structured data says it isn't free, an element is marked, or its last lines ask to subscribe."""
+    free = [o.get("isAccessibleForFree") for o in json_ld(root)]
+    if any(str(x).lower() in {"false", "no"} for x in free if x is not None) or (meta(root, "article:content_tier") or "").lower() in {"locked", "metered"}:
+        return True
+    return bool(select(root, marks)) or bool(CALLS.search(text[-400:]))

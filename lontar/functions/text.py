@@ -27,12 +27,6 @@ def fold(s: Column) -> Column:
     return F.lower(F.regexp_replace(plain, "[\\u0300-\\u036f]", ""))
 
 
-@F.pandas_udf(T.StringType())
-def fold_any(s: pd.Series) -> pd.Series:
-    """Lower case without accents for any script, by compatibility decomposition."""
-    return s.map(lambda x: "".join(c for c in unicodedata.normalize("NFKD", x or "") if not 0x300 <= ord(c) <= 0x36F).lower())
-
-
 def tokens(s: Column) -> Column:
     """Words of three letters or digits and more that aren't stopwords, in order, repeats kept."""
     words = F.split(F.trim(F.regexp_replace(fold(s), "[^a-z0-9]+", " ")), " ")
@@ -62,6 +56,11 @@ def job_id(*parts: Column) -> Column:
     return F.sha1(F.array_join(F.filter(F.array(*[p.cast("string") for p in parts]), lambda p: p.isNotNull() & (p != "")), "|"))
 
 
+def query_hash(query: Column) -> Column:
+    """SHA-256 of a GraphQL query's text: by it a server knows a persisted query."""
+    return F.sha2(query, 256)
+
+
 def presence(s: Column) -> Column:
     """Empty strings become null, as in optional fields at store time."""
     return F.nullif(s, F.lit(""))

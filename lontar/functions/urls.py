@@ -9,25 +9,44 @@ TRACKING_PREFIX = "utm_"
 TRACKING = ["fbclid", "gclid", "gclsrc", "dclid", "msclkid", "yclid", "igshid", "mc_cid", "mc_eid", "ref", "ref_src", "refsrc", "spm"]
 
 
+def _without_dots(path: Column) -> Column:
+    """A path without its . and .. segments."""
+    parts = F.split(path, "/")
+    step = lambda acc, s: F.when(s == ".", acc).when(s == "..", F.slice(acc, F.lit(1), F.greatest(F.lit(1), F.size(acc) - 1))).otherwise(F.concat(acc, F.array(s)))
+    kept = F.aggregate(F.slice(parts, F.lit(2), F.greatest(F.lit(0), F.size(parts) - 1)), F.array(F.lit("")), step)
+    last = F.element_at(parts, -1)
+    return F.when(path.rlike("/\\.\\.?(/|$)"), F.concat(F.array_join(kept, "/"), F.when(last.isin(".", ".."), "/").otherwise(""))).otherwise(path)
+
+
+def resolve(raw: Column, base: Column) -> Column:
+    """A reference as an absolute URL: against the scheme, the host, the path's folder or the whole path of ``base``, by how it begins."""
+    u = F.trim(raw)
+    whole = F.regexp_extract(base, "^(https?://[^?#]+)", 1)
+    origin = F.regexp_extract(base, "^(https?://[^/?#]+)", 1)
+    folder = F.when(F.length(F.regexp_extract(base, "^https?://[^/?#]+(/[^?#]*)", 1)) > 0, F.regexp_extract(base, "^(https?://[^/?#]+[^?#]*/)", 1)).otherwise(F.concat(origin, F.lit("/")))
+    return (
+        F.when(u.rlike("^[A-Za-z][A-Za-z0-9+.-]*:"), u)
+        .when(u.startswith("//"), F.concat(F.regexp_extract(base, "^(https?:)", 1), u))
+        .when(u.startswith("/"), F.concat(origin, u))
+        .when(u.startswith("?"), F.concat(whole, u))
+        .when(u.startswith("#") | (u == ""), F.regexp_replace(base, "#.*$", ""))
+        .otherwise(F.concat(folder, u))
+    )
+
+
 def normalize_url(raw: Column, base: Column | None = None, keep: list[str] | None = None, extra: list[str] | None = None, trailing_slash: bool = False, force_https: bool = False) -> Column:
     """One form for URLs of a page: resolved against ``base``, scheme and host in lower case, default port, fragment and tracking
     parameters dropped, parameters sorted by name, final slash stripped (the root stays). Null where it is no absolute http(s) URL.
     """
     u = F.trim(raw)
     if base is not None:
-        origin = F.regexp_extract(base, "^(https?://[^/?#]+)", 1)
-        u = (
-            F.when(u.rlike("^[A-Za-z][A-Za-z0-9+.-]*:"), u)
-            .when(u.startswith("//"), F.concat(F.regexp_extract(base, "^(https?:)", 1), u))
-            .when(u.startswith("/"), F.concat(origin, u))
-            .otherwise(F.concat(origin, F.lit("/"), u))
-        )
+        u = resolve(raw, base)
     ok = u.rlike("^(?i)https?://[^/?#\\s]+")
     scheme = F.lower(F.regexp_extract(u, "^([A-Za-z]+)://", 1))
     host = F.lower(F.regexp_extract(u, "^[A-Za-z]+://([^/?#]*)", 1))
     host = F.when(scheme == "https", F.regexp_replace(host, ":443$", "")).otherwise(F.regexp_replace(host, ":80$", ""))
     path = F.regexp_extract(u, "^[A-Za-z]+://[^/?#]*([^?#]*)", 1)
-    path = F.when(path == "", F.lit("/")).otherwise(path)
+    path = F.when(path == "", F.lit("/")).otherwise(_without_dots(path))
     if not trailing_slash:
         path = F.when(F.length(path) > 1, F.regexp_replace(path, "/+$", "")).otherwise(path)
         path = F.when(path == "", F.lit("/")).otherwise(path)
@@ -64,11 +83,20 @@ def without_query_fragment(url: Column) -> Column:
     return F.regexp_replace(url, "#.*$", "")
 
 
-def index_url(base: Column, page: Column, day: Column | None = None) -> Column:
-    """An index listing's URL by page and day."""
-    u = F.concat(F.regexp_replace(base, "/+$", ""), F.lit("/indeks"))
-    u = u if day is None else F.concat(u, F.lit("/"), F.date_format(day, "yyyy/MM/dd"))
-    return F.when(page > 1, F.concat(u, F.lit("?page="), page.cast("string"))).otherwise(u)
+def index_url(base: Column, page: Column, day: Column | None = None, path: str = "indeks", step: int = 1, name: str = "page", by_date: str | None = None) -> Column:
+    """An index listing's URL: by page number, or by offset with ``step`` entries a page; the day in the path, or in a parameter ``by_date``."""
+    u = F.concat(F.regexp_replace(base, "/+$", ""), F.lit(f"/{path}"))
+    if day is not None and by_date is None:
+        u = F.concat(u, F.lit("/"), F.date_format(day, "yyyy/MM/dd"))
+    if day is not None and by_date is not None:
+        u = with_param(u, by_date, F.date_format(day, "yyyy-MM-dd"))
+    number = page if step == 1 else (page - 1) * step
+    return F.when(page > 1, with_param(u, name, number)).otherwise(u)
+
+
+def sitemap_url(base: Column, name: str = "sitemap-news.xml") -> Column:
+    """A site's sitemap."""
+    return F.concat(F.regexp_replace(base, "/+$", ""), F.lit(f"/{name}"))
 
 
 def segment(url: Column, n: int) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from lontar.config import limit as page_size, page as page_number, window
 from lontar.functions.text import presence
@@ -76,6 +76,12 @@ def envelope(data: object, code: int = 200, message: str = "ok") -> dict:
     return {"success": code < 400, "data": data, "message": message, "code": code}
 
 
-def shown_order() -> list[Column]:
-    """The order of article listings."""
-    return [F.coalesce(F.col("published_at"), F.col("collected_at")).desc(), F.col("article_id").desc()]
+def service_health(spark: SparkSession, tables: dict[str, DataFrame]) -> dict:
+    """The answer of the health endpoint: ok where every table can be read, else degraded with the tables that can't."""
+    broken = []
+    for name, df in tables.items():
+        try:
+            df.limit(1).collect()
+        except Exception as e:  # noqa: BLE001 - whatever a source throws, it can't be read
+            broken.append(f"{name}: {type(e).__name__}")
+    return envelope({"status": "degraded" if broken else "ok", "spark": spark.version, "broken": broken}, 503 if broken else 200, "ok" if not broken else "degraded")

@@ -90,7 +90,7 @@ def scored_pairs(docs: DataFrame, marks: DataFrame, c: Clustering | None = None)
     out = out.withColumn("lcs", lcs_ratio("tx", "ty"))
     accepted = F.coalesce(F.col("by_words") | ((F.col("shared_anchors") >= 3) & (F.col("lcs") >= c.sequence)), F.lit(False))
     score = F.least(F.lit(1.0), 0.55 * F.col("wj") + 0.25 * F.col("lcs") + 0.20 * F.least(F.col("shared_anchors"), F.lit(5)) / 5)
-    return out.withColumn("accepted", accepted).withColumn("score", F.when(F.col("accepted"), F.round(score, 10))).drop("by_words", "tx", "ty")
+    return out.withColumn("accepted", accepted).withColumn("score", F.when(F.col("accepted"), F.round(score, 10))).drop("tx", "ty")
 
 
 def assign(docs: DataFrame, scored: DataFrame, small: int = 500_000) -> DataFrame:

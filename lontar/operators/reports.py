@@ -10,7 +10,6 @@ from lontar.config import Health
 
 OPTIONAL_FIELDS = ["published_at", "subtitle", "author_name", "category", "tags", "thumbnail_url", "updated_at_source", "summary", "content_html", "language", "external_article_id", "field_provenance", "validation_warnings"]
 STATUSES = ["discovered", "queued", "fetching", "retry_scheduled", "fetched", "parsed", "valid", "stored", "duplicate", "invalid", "blocked", "ignored_by_policy", "dead_letter"]
-TERMINAL = STATUSES[7:]
 
 
 def within(df: DataFrame, column: str, since: datetime | None, source: str | None = None) -> DataFrame:
@@ -102,5 +101,22 @@ def markdown(title: str, table: DataFrame, most: int = 1000) -> str:
     rows = table.limit(most + 1).collect()
     if len(rows) > most:
         raise ValueError(f"over {most} rows")
+    if not rows:
+        return f"## {title}\n\n| " + " | ".join(table.columns) + " |\n|" + " - |" * len(table.columns) + "\n\n_(no rows)_\n"
     lines = [f"## {title}", "", "| " + " | ".join(table.columns) + " |", "|" + " - |" * len(table.columns)]
     return "\n".join(lines + ["| " + " | ".join("" if v is None else str(v) for v in r) + " |" for r in rows]) + "\n"
+
+
+def window_report(since: datetime, status: DataFrame, articles: DataFrame, discovered: DataFrame, source: str | None = None, t: Health | None = None, now: datetime | None = None) -> str:
+    """The report of a window as Markdown: what it covers, funnel with totals and success shares, field fill in percent, sitemap
+    reconciliation, and the health rules. Its tables have a row for each source; each is one aggregate."""
+    counts, fill, maps = funnel(status, since, source), field_fill(articles, since, source), only_in_sitemap(discovered, since, source)
+    head = [f"# Crawl report since {since.isoformat()}", ""] + ([f"Generated {now.isoformat()}", ""] if now else []) + ([f"Source: {source}", ""] if source else [])
+    order = lambda df: df.orderBy("source_id")
+    shares = order(counts).withColumn("success", percent(F.col("stored") + F.col("duplicate"), F.col("stored") + F.col("duplicate") + F.col("parse_fail")))
+    filled = order(fill).select("source_id", "total", *[percent(F.col(f"{f}_filled"), F.col("total")).alias(f) for f in OPTIONAL_FIELDS])
+    sitemaps = order(maps).withColumn("only_in_sitemap_share", percent(F.col("only_in_sitemap"), F.col("total_urls")))
+    whole = totals(counts, "stored", "duplicate", "parse_fail", "blocked", "ignored_by_policy", "in_progress_or_other", "total")
+    line, _ = health_summary(health(counts, maps, t).first().asDict())
+    parts = [("Funnel", shares), ("All sources", whole), ("Field fill", filled), ("Sitemap reconciliation", sitemaps)]
+    return "\n".join(head) + "\n" + "\n".join(markdown(title, df) for title, df in parts) + f"\n## Health\n\n{line}\n"

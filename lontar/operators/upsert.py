@@ -6,7 +6,9 @@ on the map side.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+import uuid
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 
 def last_per_key(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
@@ -82,11 +84,13 @@ def upsert_articles(stored: DataFrame, incoming: DataFrame) -> tuple[DataFrame,
     """
     keys = ["source_id", "canonical_url"]
     old = stored.select(*keys, F.col("content_hash").alias("_old_hash"), F.col("first_discovered_at").alias("_old_first"))
-    versions = incoming.join(old, keys, "left")
+    # versions are ranked by their hashes alone; texts join only the versions that are kept
+    versions = incoming.select(*keys, "content_hash", "collected_at").join(old, keys, "left")
     before = F.lag("content_hash").over(Window.partitionBy(*keys).orderBy("collected_at", "content_hash"))
     versions = versions.withColumn("_before", F.coalesce(before, "_old_hash"))
     outcome = versions.withColumn("status", F.when(F.col("_before").isNull() | (F.col("_before") != F.col("content_hash")), F.lit("stored")).otherwise("duplicate")).withColumn("reason", F.when(F.col("_before").isNull(), F.lit("new_article")).when(F.col("_before") != F.col("content_hash"), F.lit("content_updated")).otherwise("duplicate_content"))
-    revisions = outcome.where("status = 'stored'").select(*keys, "content_hash", "title", "content_text", F.col("collected_at").alias("captured_at"), "parser_version")
+    texts = incoming.select(*keys, "content_hash", "collected_at", "title", "content_text", "parser_version").dropDuplicates([*keys, "content_hash", "collected_at"])
+    revisions = outcome.where("status = 'stored'").select(*keys, "content_hash", "collected_at").join(texts, [*keys, "content_hash", "collected_at"]).withColumnRenamed("collected_at", "captured_at")
     last = last_per_key(incoming, keys, ["collected_at", "content_hash"])
     both, _ = _full(stored, last, keys)
     firsts = F.coalesce("o_first_discovered_at", "n_first_discovered_at")
@@ -110,7 +114,48 @@ def upsert_status(stored: DataFrame, changes: DataFrame) -> DataFrame:
     )
 
 
+RUN_TABLES = ("news_events", "news_event_articles", "event_runs")
+
+
+def _files(spark: SparkSession, path: str):
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
 def replace_run(path: str, run_key: str, events: DataFrame, members: DataFrame, run: DataFrame) -> None:
-    """Write a run's snapshot so that writing it again replaces it: one partition per run key, swapped whole."""
-    for name, df in (("news_events", events), ("news_event_articles", members), ("event_runs", run)):
-        df.withColumn("run_key", F.lit(run_key)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_key").parquet(f"{path}/{name}")
+    """Write a run's snapshot so that writing it again replaces it as a whole: events, members and the run together, or none of them.
+
+    The snapshot goes to a folder of its own; then one file, the run's pointer, is swapped to name it. Readers follow the pointer, so
+    they see the old snapshot or the new one, also where the new one has no events. A run that fails half-way leaves the old one. The
+    snapshot before the last is removed. The run's row gets status ``succeeded`` and ``finished_at``.
+    """
+    spark = events.sparkSession
+    version = f"{run_key}-{uuid.uuid4().hex}"
+    done = run.withColumn("status", F.lit("succeeded")).withColumn("finished_at", F.current_timestamp())
+    for name, df in zip(RUN_TABLES, (events, members, done)):
+        df.withColumn("run_key", F.lit(run_key)).write.parquet(f"{path}/versions/{version}/{name}")
+    before = current_version(spark, path, run_key)
+    fs, part = _files(spark, f"{path}/current/{run_key}.{uuid.uuid4().hex}.part")
+    out = fs.create(part, False)
+    out.write(bytearray(version.encode()))
+    out.close()
+    # the one step that readers see
+    where = [part.toUri()] if part.toUri().getScheme() else []
+    context = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(*where, spark._jsc.hadoopConfiguration())
+    overwrite = spark.sparkContext._gateway.new_array(spark._jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    overwrite[0] = getattr(spark._jvm, "org.apache.hadoop.fs.Options$Rename").OVERWRITE
+    context.rename(part, _files(spark, f"{path}/current/{run_key}")[1], overwrite)
+    if before:
+        fs.delete(_files(spark, f"{path}/versions/{before}")[1], True)
+
+
+def current_version(spark: SparkSession, path: str, run_key: str) -> str | None:
+    """The folder of a run's snapshot, None if it has none."""
+    fs, at = _files(spark, f"{path}/current/{run_key}")
+    return spark.read.text(f"{path}/current/{run_key}", wholetext=True).first()[0] if fs.exists(at) else None
+
+
+def read_run(spark: SparkSession, path: str, run_key: str) -> tuple[DataFrame, DataFrame, DataFrame] | None:
+    """Events, members and run of a run's snapshot, None if it has none."""
+    version = current_version(spark, path, run_key)
+    return None if version is None else tuple(spark.read.parquet(f"{path}/versions/{version}/{t}") for t in RUN_TABLES)

@@ -262,7 +262,10 @@ def normalize_url(spark: SparkSession, sf: str) -> DataFrame:
     return d.where("url is not null")
 
 
-@query("resolve_raw_url")
+_RESOLVED = _NORM.replace("FROM discovered_urls WHERE", "FROM (SELECT d.discovery_id, CASE WHEN regexp_matches(d.raw_url, '^[A-Za-z][A-Za-z0-9+.-]*:') THEN d.raw_url WHEN starts_with(d.raw_url, '//') THEN 'https:' || d.raw_url WHEN starts_with(d.raw_url, '/') THEN s.base_url || d.raw_url ELSE s.base_url || '/' || d.raw_url END AS normalized_url FROM discovered_urls d JOIN sources s USING (source_id)) WHERE")
+
+
+@query("resolve_raw_url", _RESOLVED)
 def resolve_raw_url(spark: SparkSession, sf: str) -> DataFrame:
     """Raw URLs, relative ones against their site, in one form."""
     d, s = T(spark, sf, "discovered_urls", "sources")
@@ -340,6 +343,24 @@ def phrase_df(spark: SparkSession, sf: str) -> DataFrame:
     return clustering.document_frequency(clustering.prepared(clustering.windowed(table(spark, sf, "articles"), 72)), "phrases")
 
 
+_BY_WORDS = _ANCHORS_SQL.replace("WITH w AS", "WITH w AS", 1) + f""", o AS (SELECT article_id AS id, {_TOK.format("coalesce(title,'')")} AS t0 FROM w), u AS (SELECT id, list_filter(t0, lambda x, i: list_position(t0, x) = i) AS t FROM o),
+ ph AS (SELECT DISTINCT id, unnest(list_transform(list_zip(t[:-2], t[2:]), lambda z: z[1] || ' ' || z[2])) AS token FROM u WHERE len(t) >= 2), pf AS (SELECT token FROM ph GROUP BY token HAVING count(*) <= 12),
+ pa AS (SELECT id, token FROM ph JOIN pf USING (token) WHERE len(list_filter(string_split(token, ' '), lambda x: x IN ({', '.join(repr(w) for w in text.GENERIC_ANCHORS)}))) = 0),
+ wt AS (SELECT token, 1.0 / log2(df + 1.0) AS w FROM df), tw AS (SELECT id, token, w FROM tok JOIN wt USING (token)), tot AS (SELECT id, sum(w) AS s FROM tw GROUP BY id),
+ p AS (SELECT x.id AS later, y.id AS earlier, count(*) AS shared_anchors FROM a x JOIN a y ON x.token = y.token JOIN m mx ON mx.id = x.id JOIN m my ON my.id = y.id WHERE (my.ms < mx.ms OR (my.ms = mx.ms AND my.sid < mx.sid)) AND mx.ms - my.ms <= 36 * 3600000 GROUP BY 1, 2),
+ sp AS (SELECT x.id AS later, y.id AS earlier, count(*) AS shared_phrases FROM pa x JOIN pa y ON x.token = y.token AND x.id <> y.id GROUP BY 1, 2),
+ c AS (SELECT later, earlier, sum(x.w) AS common FROM p JOIN tw x ON x.id = later JOIN tw y ON y.id = earlier AND y.token = x.token GROUP BY 1, 2),
+ j AS (SELECT p.later, p.earlier, shared_anchors, coalesce(shared_phrases, 0) AS shared_phrases, common / (t1.s + t2.s - common) AS wj FROM p JOIN c ON c.later = p.later AND c.earlier = p.earlier LEFT JOIN sp ON sp.later = p.later AND sp.earlier = p.earlier JOIN tot t1 ON t1.id = p.later JOIN tot t2 ON t2.id = p.earlier)
+ SELECT later, earlier, shared_anchors, shared_phrases, round(wj, 6) AS wj FROM j WHERE (shared_anchors >= 2 AND round(wj, 12) >= 0.35) OR (shared_phrases >= 1 AND round(wj, 12) >= 0.22)"""
+
+
+@query("event_pairs_by_words", _BY_WORDS)
+def event_pairs_by_words(spark: SparkSession, sf: str) -> DataFrame:
+    """Pairs of the trailing 72 hours that are accepted by their words and phrases alone."""
+    docs = clustering.prepared(clustering.windowed(table(spark, sf, "articles"), 72))
+    return clustering.scored_pairs(docs, clustering.anchors(docs)).where("by_words").select("later", "earlier", "shared_anchors", "shared_phrases", F.round("wj", 6).alias("wj"))
+
+
 @query("event_pairs")
 def event_pairs(spark: SparkSession, sf: str) -> DataFrame:
     """Scored candidate pairs of the trailing 72 hours."""

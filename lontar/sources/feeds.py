@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import json
-import re
 from collections.abc import Iterator
 
 import pandas as pd
@@ -47,10 +46,19 @@ def rss_items(pages: DataFrame, channel: str = "rss") -> DataFrame:
     return block.select("source_id", _inside(F.col("b"), "link").alias("url"), F.lit(channel).alias("channel"), _inside(F.col("b"), "title").alias("title_hint"), _inside(F.col("b"), "pubDate").alias("published_hint"), categories.alias("keywords"), "position").where("url is not null")
 
 
-def read_xml(spark: SparkSession, path: str, row_tag: str = "url", schema: str | None = None) -> DataFrame:
-    """XML files as rows, by the built-in source."""
-    reader = spark.read.format("xml").option("rowTag", row_tag)
-    return (reader.schema(schema) if schema else reader).load(path)
+SITEMAP = "loc string, lastmod string, `news:news` struct<`news:publication_date`:string,`news:title`:string,`news:keywords`:string>"
+
+
+def read_sitemaps(spark: SparkSession, path: str, channel: str = "sitemap") -> DataFrame:
+    """Items of news-sitemap files, read by the built-in XML source, which splits large files; keywords as they stand."""
+    rows = spark.read.format("xml").option("rowTag", "url").schema(SITEMAP).load(path)
+    news = F.col("`news:news`")
+    return rows.select(F.trim("loc").alias("url"), F.lit(channel).alias("channel"), news["news:title"].alias("title_hint"), F.coalesce(news["news:publication_date"], "lastmod").alias("published_hint"), news["news:keywords"].alias("keywords")).where("url is not null")
+
+
+def write_json(rows: DataFrame, path: str) -> None:
+    """Rows as JSON lines, a file a partition; an earlier result is replaced."""
+    rows.write.mode("overwrite").json(path)
 
 
 def read_articles_json(spark: SparkSession, path: str) -> DataFrame:
@@ -75,13 +83,14 @@ def _rows(pages: DataFrame, extract, channel: str) -> DataFrame:
 
 
 def html_listing(pages: DataFrame, link: str = "article a[href], li a[href], h2 a[href], h3 a[href]", date: str = "time, .date", channel: str = "indeks") -> DataFrame:
-    """Items of HTML indexes: each address once with its first non-empty text and the date beside it, also one in a comment."""
+    """Items of HTML indexes: each address once with its first non-empty text and the date beside it: a datetime, else a moment that a
+    comment keeps beside a relative label, else the label."""
 
     def extract(body: str) -> list[tuple]:
         root, seen = H.parse(body), {}
         for a in H.select(root, link):
             u, box = a.attrs["href"].strip(), a.parent or a
-            when = [n.attrs.get("datetime") or n.text() for n in H.select(box, date)]
+            when = [w for n in H.select(box, date) for w in (n.attrs.get("datetime"), *H.comments(n)) if w] + H.comments(a) + [n.text() for n in H.select(box, date)]
             old = seen.get(u)
             seen[u] = (u, (old and old[1]) or a.text() or None, (old and old[2]) or next((w for w in when if w), None), None, None)
         return list(seen.values())
@@ -106,12 +115,24 @@ def next_listing(pages: DataFrame, channel: str = "indeks") -> DataFrame:
     return _rows(pages, extract, channel)
 
 
-def graphql_feed(pages: DataFrame, channel: str = "graphql_content_feed") -> DataFrame:
-    """Items of a GraphQL connection, by built-in JSON expressions; pageInfo aside, each edge is an item."""
-    node = "struct<id:string,title:string,slug:string,shortId:string,url:string,publishedAt:string,channel:struct<slug:string,name:string>>"
-    schema = f"struct<data:struct<findContentFeed:struct<edges:array<struct<cursor:string,node:{node}>>>>>"
-    edges = pages.select("source_id", F.posexplode(F.from_json("body", schema)["data"]["findContentFeed"]["edges"]).alias("position", "e"))
-    return edges.select("source_id", F.col("e.node.url").alias("url"), F.lit(channel).alias("channel"), F.col("e.node.title").alias("title_hint"), F.col("e.node.publishedAt").alias("published_hint"), F.array_compact(F.array("e.node.channel.slug")).alias("keywords"), "position").where("url is not null")
+_NODE = "struct<id:string,title:string,slug:string,shortId:string,url:string,publishedAt:string,channel:struct<slug:string,name:string>,account:struct<username:string>>"
+_FEED = f"struct<data:struct<findContentFeed:struct<edges:array<struct<cursor:string,node:{_NODE}>>,pageInfo:struct<hasNextPage:boolean,endCursor:string>>>>"
+
+
+def graphql_feed(pages: DataFrame, channel: str = "graphql_content_feed", base_url: str = "") -> DataFrame:
+    """Items of a GraphQL connection, by built-in JSON expressions: each edge is an item. A node without an address gets one from its
+    account, slug and short id under ``base_url``; one that lacks these too is left out."""
+    edges = pages.select("source_id", F.posexplode(F.from_json("body", _FEED)["data"]["findContentFeed"]["edges"]).alias("position", "e"))
+    built = F.concat(F.lit(base_url.rstrip("/") + "/"), F.nullif(F.col("e.node.account.username"), F.lit("")), F.lit("/"), F.nullif(F.col("e.node.slug"), F.lit("")), F.lit("-"), F.nullif(F.col("e.node.shortId"), F.lit("")))
+    url = F.coalesce(F.nullif(F.col("e.node.url"), F.lit("")), built)
+    return edges.select("source_id", url.alias("url"), F.lit(channel).alias("channel"), F.col("e.node.title").alias("title_hint"), F.col("e.node.publishedAt").alias("published_hint"), F.array_compact(F.array("e.node.channel.slug")).alias("keywords"), "position").where("url is not null")
+
+
+def graphql_next(pages: DataFrame) -> DataFrame:
+    """(source_id, cursor): where the next page of each feed begins, null at its end: what pageInfo says, else the last edge's cursor."""
+    feed = F.from_json("body", _FEED)["data"]["findContentFeed"]
+    ends = F.coalesce(feed["pageInfo"]["endCursor"], F.element_at(feed["edges"], -1)["cursor"])
+    return pages.select("source_id", F.when(F.coalesce(feed["pageInfo"]["hasNextPage"], F.size(feed["edges"]) > 0), ends).alias("cursor"))
 
 
 def payload_listing(pages: DataFrame, key: str = "latest", channel: str = "rubric_payload") -> DataFrame:
@@ -128,16 +149,3 @@ def page_count(body: Column) -> Column:
     """The number of pages a multi-page article names, 1 by default."""
     n = F.array_max(F.transform(F.regexp_extract_all(body, F.lit("[?&]page=(\\d+)"), 1), lambda x: x.try_cast("int")))
     return F.coalesce(n, F.lit(1))
-
-
-def listing_channels() -> dict:
-    """Readers by the kind of listing."""
-    return {"html": html_listing, "next": next_listing, "graphql": graphql_feed, "payload": payload_listing, "sitemap": sitemap_items, "rss": rss_items}
-
-
-_TAG = re.compile(r"<[^>]+>")
-
-
-def plain(html: str) -> str:
-    """Text without tags."""
-    return _TAG.sub("", html)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 # Host, article path, excluded path, external id in the path, body containers, title, author of each site.
 SITES = {
@@ -32,6 +32,18 @@ def site_rules(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([(k, *v) for k, v in SITES.items()], ", ".join(f"{c} string" for c in COLUMNS))
 
 
+def selectors() -> dict[str, dict[str, str]]:
+    """Where body, title and author stand on the pages of each site."""
+    return {k: dict(zip(COLUMNS[5:], v[4:])) for k, v in SITES.items()}
+
+
+def check_known(rows: DataFrame, known: DataFrame, column: str = "source_id") -> DataFrame:
+    """``rows``, failing when run with an error that names a source which ``known`` (a short list) doesn't have."""
+    listed = known.select(F.col(column).alias("_known")).distinct()
+    joined = rows.join(listed, F.col(column) == F.col("_known"), "left")
+    return joined.withColumn(column, F.when(F.col("_known").isNotNull(), F.col(column)).otherwise(F.raise_error(F.concat(F.lit("unknown source: "), F.coalesce(F.col(column), F.lit("null")))))).drop("_known")
+
+
 # Minutes between crawls and hours of overlap of the sites' profiles.
 PROFILES = {
     (15, 2): ["detik", "suara"],

@@ -23,6 +23,8 @@ def test_hashes(spark):
     import hashlib
 
     assert one(spark, text.content_hash(F.lit(" a   b"), F.lit(None).cast("string"))) == hashlib.sha256(b"a b\n").hexdigest()
+    assert one(spark, text.query_hash(F.lit("query {a}"))) == hashlib.sha256(b"query {a}").hexdigest()
+    assert one(spark, text.masked_connection(F.lit("postgres://u:p@h/d"))) == "postgres://u:***@h/d"
     assert one(spark, text.job_id(F.lit("a"), F.lit(""), F.lit("b"))) == hashlib.sha1(b"a|b").hexdigest()
 
 
@@ -48,6 +50,12 @@ def test_normalize_url(spark, raw, want):
 
 def test_url_parts(spark):
     assert one(spark, urls.normalize_url(F.lit("/a?x=1"), F.lit("https://s.example/z"))) == "https://s.example/a?x=1"
+    base = "https://s.example/z/y?k=1#f"
+    for raw, want in (("b", "z/b"), ("./b/../c", "z/c"), ("../../b", "b"), ("?q=2", "z/y?q=2"), ("//t.example/x", None), ("..", "")):
+        assert one(spark, urls.normalize_url(F.lit(raw), F.lit(base))) == ("https://t.example/x" if want is None else f"https://s.example/{want}")
+    assert one(spark, urls.index_url(F.lit("https://a/"), F.lit(3))) == "https://a/indeks?page=3" and one(spark, urls.index_url(F.lit("https://a"), F.lit(1))) == "https://a/indeks"
+    assert one(spark, urls.index_url(F.lit("https://a"), F.lit(3), F.lit("2031-03-05").cast("date"), "kanal", 20, "offset", "date")) == "https://a/kanal?date=2031-03-05&offset=40"
+    assert one(spark, urls.index_url(F.lit("https://a"), F.lit(2), F.lit("2031-03-05").cast("date"))) == "https://a/indeks/2031/03/05?page=2" and one(spark, urls.sitemap_url(F.lit("https://a/"))) == "https://a/sitemap-news.xml"
     assert one(spark, urls.without_params(F.lit("https://a/b?page=2&x=1"), "page")) == "https://a/b?x=1"
     assert one(spark, urls.with_param(F.lit("https://a/b?x=1#f"), "page", F.lit("all"))) == "https://a/b?x=1&page=all"
     assert one(spark, urls.segment(F.lit("https://a/b/c"), 2)) == "c"
@@ -57,13 +65,13 @@ def test_url_parts(spark):
 @pytest.mark.parametrize(
     "shown, want",
     [
-        ("Kamis, 23 Jul 2026 14:35 WIB", "2026-07-23T07:35:00"),
-        ("Jum'at, 24 Juli 2026 | 07:08 WIB", "2026-07-24T00:08:00"),
-        ("24 Juli 2026 | 11.32 WIB", "2026-07-24T04:32:00"),
-        ("2026-07-24T07:08:59+07:00", "2026-07-24T00:08:59"),
-        ("2026-07-24 07:08:59", "2026-07-24T00:08:59"),
-        ("07:08", None),
-        ("31 Februari 2026 10:00", None),
+        ("Rabu, 5 Mar 2031 21:05 WIB", "2031-03-05T14:05:00"),
+        ("Jum'at, 7 Maret 2031 | 09:41 WIB", "2031-03-07T02:41:00"),
+        ("17 November 2030 | 00.15 WIB", "2030-11-16T17:15:00"),
+        ("2031-03-07T09:41:13+07:00", "2031-03-07T02:41:13"),
+        ("2031-03-07 09:41:13", "2031-03-07T02:41:13"),
+        ("21:05", None),
+        ("31 Februari 2031 10:00", None),
     ],
 )
 def test_listing_dates(spark, shown, want):
@@ -84,6 +92,9 @@ def test_windows_and_cutoffs(spark):
 
 def test_settings(spark):
     assert config.windows("24,72,72,168,5") == [24, 72, 168] and config.window(None) == 72
+    assert config.flag("Yes") and not config.flag("off") and config.flag("", True)
+    with pytest.raises(ValueError):
+        config.flag("perhaps")
     with pytest.raises(ValueError):
         config.window(25)
     with pytest.raises(ValueError):

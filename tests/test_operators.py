@@ -1,13 +1,22 @@
+import io
+import json
+import logging
+import math
 import random
+import re
+from collections import Counter
 from datetime import datetime, timedelta
 
+import pytest
 from pyspark.sql import functions as F
 
-from lontar.config import Health
+from lontar.config import Clustering, Health
+from lontar.functions import html
+from lontar.functions.text import GENERIC_ANCHORS, STOPWORDS
 from lontar.functions.urls import apply_url_rules
 from lontar.operators import api, audit, clustering, discovery, pipeline, reports, upsert
-from lontar.sources import feeds, sites
-from lontar.streaming import jobs
+from lontar.sources import feeds, fetch, sites
+from lontar.streaming import jobs, logs
 
 T0 = datetime(2026, 7, 28, 8, 0)
 
@@ -17,25 +26,43 @@ def articles(spark, rows):
 
 
 GOLD = [
-    (1, "a", "KPK Tangkap Arman dalam Kasus Korupsi Cakra", T0),
-    (2, "b", "Arman Ditangkap KPK Terkait Korupsi Cakra", T0 + timedelta(minutes=10)),
-    (3, "c", "Tarif Trump Naikkan Harga Impor Asia", T0 + timedelta(minutes=20)),
-    (4, "d", "Perang Negara X dan Y Pecah di Perbatasan", T0 + timedelta(minutes=30)),
-    (5, "a", "KPK Tangkap Arman dalam Kasus Korupsi Cakra", T0 + timedelta(minutes=40)),
+    (1, "a", "Polda Periksa Wirawan soal Dana Gempita", T0),
+    (2, "b", "Wirawan Diperiksa Polda terkait Dana Gempita", T0 + timedelta(minutes=10)),
+    (3, "c", "Panen Cabai Turunkan Harga Pasar Induk", T0 + timedelta(minutes=20)),
+    (4, "d", "Kapal Riset Berlayar ke Laut Sembada", T0 + timedelta(minutes=30)),
+    (5, "a", "Polda Periksa Wirawan soal Dana Gempita", T0 + timedelta(minutes=40)),
 ]
 
 
+def expected_score(rows, x, y):
+    """A pair's weighted Jaccard and score, from the definitions."""
+    words = {i: [w for w in dict.fromkeys(re.findall("[a-z0-9]{3,}", t.lower())) if w not in STOPWORDS] for i, _, t, _ in rows}
+    df = Counter(w for ws in words.values() for w in ws)
+    weigh = lambda ws: sum(1 / math.log2(df[w] + 1) for w in ws)
+    a, b = words[x], words[y]
+    wj = weigh(set(a) & set(b)) / weigh(set(a) | set(b))
+    s, t = " ".join(a), " ".join(b)
+    best = [[0] * (len(t) + 1) for _ in range(len(s) + 1)]
+    for i, c in enumerate(s):
+        for j, d in enumerate(t):
+            best[i + 1][j + 1] = best[i][j] + 1 if c == d else max(best[i][j + 1], best[i + 1][j])
+    shared = len({w for w in set(a) & set(b) if w not in GENERIC_ANCHORS})
+    return wj, min(1.0, 0.55 * wj + 0.25 * 2 * best[-1][-1] / (len(s) + len(t)) + 0.2 * min(5, shared) / 5)
+
+
 def test_clustering_golden(spark):
     events, assigned, metrics = clustering.cluster(articles(spark, GOLD), 24)
     e = events.collect()
-    assert [(x.seed, x.article_count, x.media_count, x.anchor_terms, x.coverage_score) for x in e] == [(1, 3, 2, ["kpk", "arman", "cakra"], 21.585)]
-    s = {r.id: (r.seed, round(r.score, 5)) for r in assigned.collect()}
-    assert s == {1: (1, 1.0), 2: (1, 0.60264), 3: (3, 1.0), 4: (4, 1.0), 5: (1, 0.92)}
+    assert [(x.seed, x.article_count, x.media_count, x.coverage_score) for x in e] == [(1, 3, 2, round(20 + math.log2(3), 4))]
+    assert {"polda", "wirawan", "gempita"} <= set(e[0].anchor_terms) and e[0].representative_title == GOLD[0][2]
+    s = {r.id: (r.seed, round(r.score, 6)) for r in assigned.collect()}
+    want = {i: (1, round(expected_score(GOLD, 1, i)[1], 6)) for i in (2, 5)}
+    assert s == {1: (1, 1.0), 3: (3, 1.0), 4: (4, 1.0)} | want
     assert metrics.first().asDict() == {"article_count": 5, "candidate_count": 2, "accepted_edges": 2, "event_count": 1}
 
 
 def test_clustering_window_is_inclusive_and_needs_two_sources(spark):
-    rows = [(1, "a", "Kpk Arman Cakra", T0 - timedelta(hours=24)), (2, "b", "Kpk Arman Cakra", T0 - timedelta(hours=24, seconds=1)), (3, "a", "Kpk Arman Cakra", T0)]
+    rows = [(1, "a", "Polda Wirawan Gempita", T0 - timedelta(hours=24)), (2, "b", "Polda Wirawan Gempita", T0 - timedelta(hours=24, seconds=1)), (3, "a", "Polda Wirawan Gempita", T0)]
     events, _, metrics = clustering.cluster(articles(spark, rows), 24)
     assert metrics.first().article_count == 2 and events.count() == 0
 
@@ -96,10 +123,19 @@ def test_upserts(spark):
 
 
 def test_run_snapshots_are_replaced(spark, tmp_path):
+    """A rerun replaces the whole snapshot, also by one without events; other runs stay; the old files go."""
     e, m, r = (spark.range(n) for n in (2, 3, 1))
+    assert upsert.read_run(spark, str(tmp_path), "k") is None
     for _ in range(2):
         upsert.replace_run(str(tmp_path), "k", e, m, r)
-    assert spark.read.parquet(f"{tmp_path}/news_events").count() == 2 and spark.read.parquet(f"{tmp_path}/news_event_articles").count() == 3
+    upsert.replace_run(str(tmp_path), "other", e, m, r)
+    assert [t.count() for t in upsert.read_run(spark, str(tmp_path), "k")] == [2, 3, 1]
+    run = upsert.read_run(spark, str(tmp_path), "k")[2].first()
+    assert run.status == "succeeded" and run.finished_at and run.run_key == "k"
+    upsert.replace_run(str(tmp_path), "k", e.limit(0), m.limit(0), r)
+    assert [t.count() for t in upsert.read_run(spark, str(tmp_path), "k")] == [0, 0, 1]
+    assert [t.count() for t in upsert.read_run(spark, str(tmp_path), "other")] == [2, 3, 1]
+    assert len(list((tmp_path / "versions").iterdir())) == 2
 
 
 def test_overlap_is_a_prefix(spark):
@@ -113,8 +149,10 @@ def test_channel_union_and_pages(spark):
     d = spark.createDataFrame([("s", "u", "b", "1"), ("s", "u", "a", "2"), ("s", "v", "b", "3")], "source_id string, normalized_url string, discovery_channel string, raw_url string")
     assert {(r.normalized_url, r.discovery_channel) for r in discovery.channel_union(d, F.col("discovery_channel")).collect()} == {("u", "a"), ("v", "b")}
     assert discovery.channel_union(d, F.col("discovery_channel"), 1).count() == 1
-    p = spark.createDataFrame([("x", 1, "c", ["a"]), ("x", 2, "c", ["b"]), ("x", 4, "c", ["d"]), ("y", 1, "c", ["a"]), ("y", 2, "other", ["b"])], "article_url string, page_no int, canonical_url string, paragraphs array<string>")
-    assert {r.article_url: r.paragraphs for r in discovery.merge_pages(p).collect()} == {"x": ["a", "b"], "y": ["a"]}
+    p = spark.createDataFrame([("x", 1, "c", ["a"]), ("x", 2, "c", ["b"]), ("x", 4, "c", ["d"]), ("y", 1, "https://a/y", ["a"]), ("y", 2, "https://a/other", ["b"]), ("z", 1, "https://a/z", ["a"]), ("z", 2, None, ["b"]), ("z", 3, "https://a/z/?page=3", ["c"]), ("n", 2, None, ["b"])], "article_url string, page_no int, canonical_url string, paragraphs array<string>")
+    assert {r.article_url: r.paragraphs for r in discovery.merge_pages(p).collect()} == {"x": ["a", "b"], "y": ["a"], "z": ["a", "b", "c"]}
+    blocks = spark.createDataFrame([([(2, ["c"]), (None, ["a"]), (1, ["b"])],)], "b array<struct<page:int,paragraphs:array<string>>>")
+    assert blocks.select(discovery.in_page_order(F.col("b")).alias("x")).first().x == ["a", "b", "c"]
 
 
 def test_site_rules(spark):
@@ -139,7 +177,7 @@ def test_pipeline_gives_every_page_one_outcome(spark):
 
 def test_field_chains_prefer_structured_data():
     p = pipeline.parse_page('<title>T</title><meta property="og:title" content="O"><script type="application/ld+json">[{"@type":["Thing","NewsArticle"],"headline":"L","author":[{"name":"A"},{"name":"B"}],"keywords":"x, X,y","image":{"url":"i"}}]</script><h1>H</h1>', {})
-    assert (p["title"], p["author_name"], p["tags"], p["thumbnail_url"], p["provenance"]["title"]) == ("L", "A, B", ["x", "y"], "i", "json_ld")
+    assert (p["title"], p["author_name"], p["tags"], p["thumbnail_url"], p["provenance"]["title"]["source"]) == ("L", "A, B", ["x", "y"], "i", "json_ld")
     assert pipeline.parse_page("<title>T</title>", {})["title"] == "T" and pipeline.parse_page(" ", {}) is None
 
 
@@ -170,9 +208,153 @@ def test_api_pages(spark):
 
 
 def test_circuit(spark):
-    rows = [("a", i, i < 2) for i in range(8)] + [("b", 1, True)]
-    d = spark.createDataFrame([(s, T0 + timedelta(hours=h), ok) for s, h, ok in rows], "source_id string, at timestamp, ok boolean")
-    assert {r.source_id: r.state for r in audit.circuit_states(d, F.col("ok")).collect()} == {"a": "open", "b": "closed"}
+    rows = [("a", i, i < 2) for i in range(8)] + [("b", 1, True)] + [("c", i, False) for i in range(5)] + [("c", 6, True)] + [("d", i, i % 10 == 0) for i in range(10)]
+    d = spark.createDataFrame([(s, T0 + timedelta(minutes=h), ok) for s, h, ok in rows], "source_id string, at timestamp, ok boolean")
+    at = lambda minutes, **how: {r.source_id: (r.state, r.probes) for r in audit.circuit_states(d, F.col("ok"), F.lit(T0 + timedelta(minutes=minutes)), **how).collect()}
+    assert at(9, in_a_row=6) == {"a": ("open", 0), "b": ("closed", None), "c": ("closed", None), "d": ("open", 0)}  # d by its error rate
+    assert at(9, in_a_row=6, rate=2.0)["a"] == ("open", 0) and at(9, in_a_row=7, rate=2.0)["a"] == ("closed", None)
+    assert at(22, in_a_row=6)["a"] == ("half_open", 3) and at(21, in_a_row=6)["a"] == ("open", 0)
+
+
+def test_audit_rules(spark):
+    cols = "article_id long, source_id string, title string, content_text string, canonical_url string, published_at timestamp, updated_at_source timestamp, collected_at timestamp, field_provenance string, author_name string, category string"
+    prov = '{"title":{"source":"json_ld"}}'
+    rows = [
+        (1, "s", "Judul yang cukup panjang", "x" * 300 + "\n" + "y" * 300, "https://a.example/1", T0, T0, T0, prov, "A", "B"), (2, "s", "Home", "x" * 300, "oops", T0 + timedelta(hours=1), T0, T0, None, " ", None),
+        (3, "s", "WARTA  uji", None, None, None, None, T0, None, None, None), (4, "s", "z" * 501, "pendek", "https://a.example/4", T0, T0 - timedelta(hours=1), T0, None, None, None),
+    ]
+    a = spark.createDataFrame(rows, cols)
+    s = spark.createDataFrame([("s", "Warta Uji")], "source_id string, display_name string")
+    got = {r.article_id: r.issues for r in audit.validation_issues(a, s).collect()}
+    assert got == {1: [], 2: ["title_forbidden", "few_paragraphs", "date_in_future", "updated_before_published"], 3: ["title_forbidden", "content_missing", "date_missing"], 4: ["title_long", "content_short", "few_paragraphs", "updated_before_published"]}
+    assert {r.article_id: (r.score, r.band) for r in audit.confidence(a).collect()} == {1: (100, "valid"), 2: (20, "invalid"), 3: (20, "invalid"), 4: (55, "manual_review")}
+
+
+def test_baseline_is_the_median_of_the_weeks_before(spark):
+    day = timedelta(days=7)
+    rows = [(k * 100 + i, "s", T0 + k * day) for k, n in enumerate((4, 2, 9, 1)) for i in range(n)] + [(999, "s", T0 + timedelta(hours=1))]
+    got = {r.at: (r.n, r.weeks, r.median, r.low) for r in audit.hourly_baseline(spark.createDataFrame(rows, "article_id long, source_id string, collected_at timestamp")).collect()}
+    assert got == {T0: (4, 0, None, None), T0 + day: (2, 1, 4.0, False), T0 + 2 * day: (9, 2, 3.0, False), T0 + 3 * day: (1, 3, 4.0, True), T0 + timedelta(hours=1): (1, 0, None, None)}
+
+
+def test_fetch_takes_what_is_stored_first(spark):
+    wanted = spark.createDataFrame([("s", "https://a.example/1"), ("s", "https://a.example/2"), ("s", "https://a.example/2"), ("t", None), ("t", "ftp://x"), ("t", "https://a.example/bad")], "source_id string, url string")
+    stored = spark.createDataFrame([("https://a.example/1", "<p>1</p>"), ("https://a.example/9", "x")], "url string, body string")
+    shown = lambda df: {r.url: (r.http_status, r.body, r.from_cache, r.error) for r in df.collect()}
+    assert shown(fetch.fetch_pages(wanted, stored)) == {"https://a.example/1": (200, "<p>1</p>", True, None)} | {u: (None, None, False, "not_stored") for u in ("https://a.example/2", None, "ftp://x", "https://a.example/bad")}
+
+    def get(url, agent):
+        if url.endswith("bad"):
+            raise TimeoutError
+        return 404, url + "/", f"no {agent}", "text/plain"
+
+    live = fetch.fetch_pages(wanted, stored, live=True, delay_ms=1, get=get, by_source=2)
+    assert shown(live) == {"https://a.example/1": (200, "<p>1</p>", True, None), "https://a.example/2": (404, "no lontar", False, None), None: (None, None, False, "not_http"), "ftp://x": (None, None, False, "not_http"), "https://a.example/bad": (None, None, False, "TimeoutError")}
+
+
+def test_retries_and_schedules(spark):
+    d = spark.createDataFrame([(0, T0), (1, T0), (2, T0), (3, T0)], "attempts_made int, failed_at timestamp")
+    assert [r.retry_at for r in discovery.retries(d).orderBy("attempts_made").collect()] == [None, T0 + timedelta(seconds=5), T0 + timedelta(seconds=10), None]
+    src = spark.createDataFrame([("a", True, 15), ("b", False, 15), ("c", True, 0)], "source_id string, enabled boolean, crawl_interval_minutes int")
+    have = spark.createDataFrame([("b",), ("gone",)], "source_id string")
+    assert {r.source_id: r.action for r in discovery.prune_schedules(have, src).collect()} == {"a": "upsert", "b": "prune", "gone": "prune"}
+    assert {r.source_id: r.action for r in discovery.prune_schedules(have, src, live=True, bounded=False).collect()} == {"b": "prune", "gone": "prune"}
+
+
+def test_unknown_sources_are_an_error(spark):
+    known = spark.createDataFrame([("a",)], "source_id string")
+    assert sites.check_known(known, known).count() == 1
+    with pytest.raises(Exception, match="unknown source: b"):
+        sites.check_known(spark.createDataFrame([("b",)], "source_id string"), known).collect()
+
+
+def test_report_and_health_line(spark):
+    st = spark.createDataFrame([("a", "stored", T0), ("a", "invalid", T0), ("b", "stored", T0 - timedelta(days=9))], "source_id string, status string, status_updated_at timestamp")
+    art = spark.createDataFrame([("a", T0)], "source_id string, collected_at timestamp").select("*", *[F.lit("x").alias(f) for f in reports.OPTIONAL_FIELDS])
+    found = spark.createDataFrame([("a", "u", "sitemap-news", T0), ("a", "v", "indeks", T0)], "source_id string, normalized_url string, discovery_channel string, last_discovered_at timestamp")
+    md = reports.window_report(T0 - timedelta(days=1), st, art, found)
+    assert "| a | 1 | 0 | 1 | 0 | 0 | 0 | 2 | 50.0% |" in md and "| a | 2 | 1 | 1 | 0 | 50.0% |" in md and "OK: 1 of 2" in md and "| b |" not in md
+    assert "_(no rows)_" in reports.window_report(T0 - timedelta(days=1), st, art, found, source="zzz")
+    assert reports.health_summary({"ok": False, "failures": ["no_success"], "parse_fail": 2, "terminal": 2, "success": 0}) == ("FAILED: no_success (2 of 2 finished rows failed)", 2)
+    assert Health.from_env({"HEALTH_MAX_PARSE_FAIL": "3", "HEALTH_REQUIRE_STORED": "yes"}) == Health(max_parse_fail=3, require_stored=True)
+    assert Clustering.from_env({"EVENT_ENABLED": "on", "EVENT_WINDOWS": "24,5"}).windows == [24]
+    with pytest.raises(ValueError):
+        Clustering.from_env({"EVENT_ENABLED": "maybe"})
+    assert api.service_health(spark, {"x": st})["code"] == 200
+    broken = st.select(F.raise_error(F.lit("x")).alias("y"))
+    assert api.service_health(spark, {"x": broken})["data"]["status"] == "degraded"
+
+
+def test_files_in_and_out(spark, tmp_path):
+    (tmp_path / "m.xml").write_text("<urlset xmlns:news='n'><url><loc> u1 </loc><lastmod>d0</lastmod><news:news><news:publication_date>d1</news:publication_date><news:title>T</news:title></news:news></url><url><loc>u2</loc><lastmod>d2</lastmod></url></urlset>")
+    got = feeds.read_sitemaps(spark, str(tmp_path / "m.xml")).collect()
+    assert [(r.url, r.title_hint, r.published_hint) for r in got] == [("u1", "T", "d1"), ("u2", None, "d2")]
+    for body in ('[{"article_id":1},{"article_id":2}]', '{"articles":[{"article_id":1},{"article_id":2}],"anchor":"x"}'):
+        (tmp_path / "a.json").write_text(body)
+        assert feeds.read_articles_json(spark, str(tmp_path / "a.json")).count() == 2
+    feeds.write_json(spark.range(3), str(tmp_path / "out"))
+    assert spark.read.json(str(tmp_path / "out")).count() == 3
+    out = io.StringIO()
+    log = logs.logger("lontar.test", logging.StreamHandler(out))
+    log.info("hello", extra={"fields": {"n": 1}})
+    said = json.loads(out.getvalue())
+    assert (said["message"], said["n"], said["level"]) == ("hello", 1, "info")
+
+
+def test_feeds_build_addresses_and_page_on(spark):
+    d = lambda body: spark.createDataFrame([("s", body)], "source_id string, body string")
+    body = '{"data":{"findContentFeed":{"edges":[{"cursor":"1","node":{"slug":"judul","shortId":"9","title":"T","account":{"username":"akun"}}},{"cursor":"2","node":{"slug":"x"}}],"pageInfo":{"hasNextPage":true,"endCursor":"2"}}}}'
+    assert [(r.url, r.title_hint) for r in feeds.graphql_feed(d(body), base_url="https://k.example/").collect()] == [("https://k.example/akun/judul-9", "T")]
+    assert feeds.graphql_next(d(body)).first().cursor == "2" and feeds.graphql_next(d(body.replace("true", "false"))).first().cursor is None
+    item = feeds.html_listing(d('<article><a href="/a">Satu<span class="date"><!-- 2031-03-05 07:00:00 -->baru saja</span></a></article>')).first()
+    assert item.published_hint == "2031-03-05 07:00:00"
+
+
+def test_site_selectors_are_used(spark):
+    page = '<main><p>Bukan isi</p></main><h1>Bukan judul</h1><h1 class="detail__title">Judul</h1><div class="detail__author">A - detikNews</div><div class="detail__body-text"><strong>Jakarta</strong><p>Isi satu.</p><strong>(abc)</strong></div>'
+    got = pipeline.parse_pages(spark.createDataFrame([(1, "detik", page)], "page_id long, source_id string, body string")).first()
+    assert (got.title, got.author_name, got.content_text, got.page_count) == ("Judul", "A", "Jakarta - Isi satu.", 1)
+    assert got.provenance["title"].source == "dom" and got.provenance["content_text"].confidence == "medium"
+    locked = page + '<div class="article-paywall"></div><a href="?page=3">3</a>'
+    got = pipeline.parse_page(locked, {})
+    assert got["premium"] and got["provenance"]["content_text"]["confidence"] == "low" and got["page_count"] == 3
+    state = pipeline.parse_page('<script>window.__STATE__ = {"x":{"article":{"published_at":"2031","content":"<p>Dari JSON</p>"}}};</script>', {"state": "__STATE__"})
+    assert (state["content_text"], state["published"]) == ("Dari JSON", "2031")
+
+
+def test_pipeline_ends_in_the_store(spark):
+    page = '<link rel=canonical href="https://a.example/read/1/x"><h1>Judul panjang</h1><article><p>Isi</p></article>'
+    rows = [(1, "https://a.example/read/1/x", 200, page), (None, "https://a.example/read/2/x", 200, page.replace("/1/", "/2/")), (3, "https://a.example/read/3/x", 503, None), (3, "oops", 200, page)]
+    d = spark.createDataFrame([(i, "s", u, u, h, b, T0) for i, u, h, b in rows], "page_id long, source_id string, requested_url string, final_url string, http_status int, body string, fetched_at timestamp")
+    rules = spark.createDataFrame([("s", ".", "/read/", None, "/read/(\\d+)")], "source_id string, host_pattern string, path_pattern string, not_pattern string, id_pattern string")
+    out = pipeline.run_pipeline(d, rules)
+    assert out.count() == 4
+    none = out.select("source_id", "canonical_url", "content_hash", "title", "content_text", "parser_version", F.col("fetched_at").alias("collected_at"), F.col("fetched_at").alias("first_discovered_at"), F.lit(None).cast("array<string>").alias("validation_warnings")).limit(0)
+    status = spark.createDataFrame([], "source_id string, normalized_url string, status string, reason string, article_id long, attempts int, first_seen_at timestamp, status_updated_at timestamp")
+    merged, revisions, after = pipeline.store(out, none, status)
+    assert merged.count() == revisions.count() == 2 and [r.validation_warnings for r in merged.collect()] == [["missing_published_at"]] * 2
+    assert {(r.normalized_url, r.status) for r in after.collect()} == {("https://a.example/read/1/x", "stored"), ("https://a.example/read/2/x", "stored"), ("https://a.example/read/3/x", "retry_scheduled"), ("oops", "invalid")}
+    again = pipeline.store(out, merged, after)
+    assert {r.status for r in again[2].collect()} == {"duplicate", "retry_scheduled", "invalid"} and again[1].count() == 0
+
+
+def test_shared_and_circular_payloads():
+    deep = [[i + 1, i + 1] for i in range(30)] + ["x"]  # 2**30 paths
+    x, steps = html.revive(deep), 0
+    while isinstance(x, list):
+        assert x[0] is x[1] or x[0] == "x"
+        x, steps = x[0], steps + 1
+    assert (x, steps) == ("x", 30)
+    assert html.revive([{"a": 1, "n": 99, "neg": -3, "f": 0.5}, "v"]) == {"a": "v", "n": 99, "neg": -3, "f": 0.5}
+    assert html.revive([]) is None
+
+
+def test_reaggregation_runs_every_window(spark, tmp_path):
+    spark.range(3).write.parquet(f"{tmp_path}/in")
+    seen = []
+    stream = jobs.stream_of(spark, f"{tmp_path}/in", spark.range(1))
+    jobs.reaggregate(stream, lambda df, hours: seen.append((df.count(), hours)), lambda: spark.range(5), f"{tmp_path}/c", (24, 72)).awaitTermination()
+    assert seen == [(5, 24), (5, 72)]
 
 
 def test_streams(spark, tmp_path):
