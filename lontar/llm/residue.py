@@ -74,27 +74,58 @@ TEMPLATE = _template_seeds()
 FILLER = _filler_seeds()
 #: Examples of keys struck at random.
 KEYS = _key_seeds()
-_PATHS = ["/read/000000x000000", "/baca/000000x000000", "/artikel/000000x000000"]
+# Reason phrases of HTTP.
+_REASONS = {400: "bad request", 401: "unauthorized", 403: "forbidden", 404: "not found", 408: "request timeout", 410: "gone", 429: "too many requests", 500: "internal server error", 502: "bad gateway", 503: "service unavailable", 504: "gateway timeout"}
+
+
+def _notice_seeds() -> list[str]:
+    """Titles and sentences of error, block and maintenance pages and of script notices, from what pages of that kind say: what is
+    missing or wrong, what the reader is asked to do, and which technical reference follows."""
+    out = [x for k, v in _REASONS.items() for x in (v, v, f"{k} {v}", f"{k} {v}", f"error {k} {v}", f"error {k}", f"{k}: {v}", f"galat {k}", f"kesalahan {k}", f"http error {k} - {v}")]
+    what = ["halaman", "artikel", "berita", "alamat", "konten", "berkas", "dokumen"]
+    out += [f"{a} {b}" for a in what for b in ("tidak ditemukan", "tidak tersedia", "sudah dipindahkan", "sudah dihapus", "tidak dapat ditampilkan", "tidak dapat dimuat", "tidak dapat dibuka", "yang anda cari tidak ditemukan", "ini tidak tersedia di negara anda", "ini tidak tersedia di wilayah anda", "ini hanya tersedia di wilayah tertentu")]
+    out += [f"anda tidak {a} {b} untuk {v} {x}" for a, b in (("memiliki", "izin"), ("punya", "hak"), ("memiliki", "hak akses"), ("diberi", "izin")) for v in ("membuka", "melihat", "mengakses", "membaca") for x in ("halaman ini", "artikel ini", "/news/00000000/00", "/artikel/00000000")]
+    out += [f"{a} {b}" for a in ("this page", "this site", "this article", "the content") for b in ("works only with scripts on", "works only with javascript switched on", "needs scripting to be on", "requires scripting", "is loaded by scripts, which are switched off", "cannot be shown without javascript")]
+    site = ["situs", "laman", "layanan", "server", "peladen", "sistem", "aplikasi", "basis data"]
+    out += [f"{a} {b}" for a in site for b in ("sedang dalam pemeliharaan", "sedang diperbaiki", "dalam perbaikan rutin", "tidak dapat dihubungi", "sedang sibuk", "sedang tidak tersedia", "mengalami gangguan", "kami sedang kami perbarui")]
+    doing = ["aktifkan", "nyalakan", "hidupkan", "izinkan", "matikan", "nonaktifkan", "mohon aktifkan", "silakan aktifkan", "harap nyalakan"]
+    things = ["javascript", "skrip", "kuki", "cookie", "javascript dan kuki", "pemblokir iklan", "mode penyamaran"]
+    ends = ["pada peramban anda", "di browser anda", "untuk membuka halaman ini", "untuk melanjutkan", "untuk membaca artikel ini", "lalu muat ulang halaman", "terlebih dahulu", "agar situs ini berfungsi"]
+    out += [f"{d} {t} {e}" for i, d in enumerate(doing) for j, t in enumerate(things) for e in (ends[(i + j) % len(ends)], ends[(i + 3 * j + 1) % len(ends)])]
+    out += [f"{a} {t} {b}" for t in ("javascript", "skrip", "kuki", "cookie") for a, b in (("situs ini memerlukan", "agar dapat berjalan"), ("situs ini membutuhkan", "untuk berfungsi"), ("peramban anda tidak mendukung", "atau fitur itu dimatikan"), ("isi halaman dimuat dengan", "yang harus dinyalakan"))]
+    out += [
+        "terjadi kesalahan pada server", "maaf, terjadi kesalahan", "silakan coba beberapa saat lagi", "silakan coba lagi nanti", "kami akan segera kembali", "mohon tunggu sebentar", "waktu koneksi habis", "waktu tunggu habis saat menghubungi server", "sambungan ke basis data gagal",
+        "sesi anda telah berakhir", "sesi berakhir, silakan masuk kembali", "silakan masuk kembali untuk melanjutkan", "anda tidak memiliki izin untuk mengakses halaman ini", "anda tidak memiliki hak akses", "akses ditolak", "akses anda diblokir", "permintaan terlalu banyak dari alamat anda", "terlalu banyak permintaan dari jaringan anda",
+        "buktikan bahwa anda bukan robot", "selesaikan captcha berikut", "selesaikan tantangan untuk melanjutkan", "kami sedang memeriksa peramban anda", "proses ini otomatis", "kode rujukan: 0a0b0c", "kode galat 0a0b", "id permintaan: 0a0b", "nomor tiket 0a0b",
+        "page not found", "this page could not be found", "the page you requested was not found", "the requested resource was not found on this server", "the requested url was not found on this server", "it may have been moved or deleted", "under maintenance", "we are performing scheduled maintenance", "we will be back soon", "please try again later", "please come back in a few minutes",
+        "something went wrong", "oops! something went wrong", "an unexpected error occurred", "access denied", "you do not have permission to view this page", "your access has been blocked", "your session has expired", "please log in again", "this content is not available in your region", "this content is not available in your country",
+        "just a moment", "just a moment...", "one moment, please", "attention required", "attention required!", "checking your browser before accessing the site", "this process is automatic", "verify that you are human", "please complete the captcha", "prove you are not a robot", "unusual traffic from your network", "too many requests from your network", "ray id: 0a0b0c", "request id: 0a0b0c", "reference #0a0b",
+        "you need to enable javascript to run this app", "please enable javascript", "please enable javascript and cookies to continue", "please turn on javascript and reload the page", "javascript is disabled in your browser", "this site requires javascript", "this page requires scripts to be switched on", "scripts are turned off", "please enable cookies", "please disable your ad blocker", "turn off your ad blocker to continue reading", "your browser is not supported",
+        "fatal error", "uncaught typeerror: cannot read properties of undefined", "cannot read property of null", "cannot read property of undefined", "exception in thread main", "stack trace", "traceback (most recent call last)", "warning: undefined variable", "warning: mysqli_connect(): connection refused", "connection timed out", "connection to the database failed", "sql error", "trace id 0a0b", "proxy error", "noscript", "nginx", "cloudflare",
+    ]
+    return out
+
+
 #: Examples of error, block and maintenance pages and of notices asking for scripts and the like.
-NOTICES = [
-    "404 not found", "not found", "error 404", "error 503", "error 500", "500 internal error", "500 internal server error", "502 bad gateway", "bad gateway", "503 service unavailable", "service unavailable", "504 gateway timeout", "gateway timeout",
-    "403 forbidden", "forbidden", "401 unauthorized", "access denied", "akses ditolak", "just a moment", "just a moment...", "attention required", "attention required!", "oops!", "oops! something went wrong", "terjadi kesalahan", "terjadi kesalahan pada server", "halaman tidak ditemukan", "layanan tidak tersedia",
-    "sesi berakhir", "sedang dalam pemeliharaan", "situs dalam perbaikan", "page not found", "under maintenance", "galat", "galat 503", "situs dalam pemeliharaan rutin. kami segera kembali. (tiket 0a0b)", "we are down for maintenance and will be back soon.", "konten ini tidak tersedia di wilayah anda. rujukan 0a0b",
-    "this content is not available in your region.", "terlalu banyak permintaan dari jaringan anda. selesaikan tantangan berikut untuk membuktikan anda bukan robot. id 0a0b", "too many requests from your network. please complete the captcha to prove you are not a robot.",
-    "fatal error: cannot read property of null in article view, trace 0a0b", "uncaught typeerror: cannot read property of undefined", "exception in thread main: stack trace", "waktu tunggu habis saat menghubungi basis data artikel (0a0b).", "connection to the article database timed out.", "peladen sedang sibuk. silakan coba beberapa saat lagi. kode kejadian 0a0b", "server sedang sibuk, coba lagi nanti.",
-    "kode rujukan: 0a0b", "kode kejadian 0a0b", "proxy-0a0b", "anda tidak memiliki izin untuk membuka halaman ini.", "you do not have permission to access this page.", "maaf, halaman yang anda cari tidak ditemukan atau sudah dipindahkan.", "sorry, the page you are looking for was not found or has moved.",
-    "checking your browser before accessing the site. this process is automatic. ray 0a0b", "please wait while we verify your browser. ray id: 0a0b", "you need to enable javascript to run this app.", "please enable javascript and cookies to continue.", "this page works only with scripting switched on.", "please turn on scripts and reload the page to continue.",
-    "situs ini memerlukan javascript dan kuki agar berfungsi dengan baik.", "aktifkan javascript pada peramban anda untuk membuka halaman ini.", "noscript: isi dimuat dengan skrip, nyalakan skrip terlebih dahulu", "peramban anda tidak mendukung skrip; isi artikel tidak dapat ditampilkan.", "mohon aktifkan kuki untuk melanjutkan membaca.", "mohon aktifkan kuki.", "matikan pemblokir iklan lalu muat ulang untuk melanjutkan membaca.",
-    "please disable your ad blocker and reload the page.", "sesi anda telah berakhir, silakan masuk kembali untuk membaca.", "your session has expired, please log in again.", "warning: mysql_connect(): too many connections", "the requested url was not found on this server.",
-    *[f"{a} {p}{z}" for p in _PATHS for a in ("aktifkan javascript pada peramban anda untuk membuka", "anda tidak memiliki izin untuk membuka", "alamat:", "sesi anda telah berakhir, silakan masuk kembali untuk membaca") for z in ("", " #0a0b", " (0a0b)")],
-    *[f"the requested url {p} was not found on this server.{z}" for p in _PATHS for z in ("", " (0a0b)", " #0a0b")], *[f"matikan pemblokir iklan lalu muat ulang {p} untuk melanjutkan membaca" for p in _PATHS], *[f"please turn on scripts and reload {p} to continue." for p in _PATHS],
-]
+NOTICES = _notice_seeds()
+_THINGS = ["istilah", "kata", "tulisan", "pesan", "tanda", "kode", "kolom", "contoh", "peringatan", "galat", "teks", "judul", "the word", "the words", "the term", "the message", "the error", "the text", "the placeholder", "the column", "the warning", "the title"]
+_DONE = ["dibahas", "muncul", "tampil", "berbunyi", "ditulis", "dijelaskan", "berarti", "tertulis", "disebut", "dipakai", "terbaca", "appears", "appeared", "is shown", "was shown", "means", "reads", "is explained", "is called", "was written", "kept popping up"]
+_SAID = ["menulis", "menampilkan", "memuat", "menjelaskan", "menceritakan", "membaca", "melihat", "membahas", "menyebut", "menerima", "mencari", "menandai", "berisi", "bernama", "shows", "showed", "wrote", "explains", "explained", "recalled", "saw", "reads", "discusses", "quotes", "looking for", "contains"]
+_WHERE = ["pada halaman", "di layar", "dalam buku panduan", "di kelas", "dalam pelatihan", "pada formulir", "dalam program", "saat mendaftar", "di peramban", "dalam surel", "on page", "on the screen", "in the manual", "in class", "in a training course", "on the form", "in the program", "when registering", "in the browser", "in an email"]
+_ASKED = ["mengapa muncul", "apa arti", "arti kode", "bagaimana cara kerja", "begitu bunyi", "cara kerja", "selama 00 menit", "00 kali", "why does", "what is the meaning of", "how does", "for 00 minutes", "00 times", "kisah", "catatan tentang", "the story of", "a note on"]
+
+
+def _mention_seeds() -> list[str]:
+    """What is said around such things, from what is spoken of, what is said of it, by whom and where."""
+    out = [*_WHERE, *_ASKED]
+    for x in _THINGS:
+        out += [f"{v} {x}" for v in _SAID if x.startswith("the ") == v.isascii() and (x.startswith("the ") == (v in _SAID[14:]))]
+        out += [f"{x} {v}" for v in _DONE if x.startswith("the ") == (v in _DONE[11:])]
+    return out
+
+
 #: Phrases around such things when a text writes about or quotes them.
-MENTIONS = [
-    "memuat contoh", "buku panduan karya", "pada halaman 00", "menulis tanda", "untuk menjelaskan cara kerja templat surel", "dalam pelatihan di", "istilah", "dibahas", "pada kelas desain di", "kolom yang berisi kata", "berasal dari kesalahan program loket", "itu, ujar",
-    "layar loket di", "hanya menampilkan tulisan \"", "\" selama 00 menit, kata", "menceritakan bahwa pesan \"", "\" muncul 00 kali saat mendaftar", ",\" begitu bunyi peringatan yang dibaca", "peramban perlu mengaktifkan javascript agar peta jalan", "agar peta jalan di desa tampil utuh", "kisah", ": kisah", "mencari arsip", "mengapa muncul pesan", "? ini kata",
-    "layanan daring", "tampilkan galat", "selama 00 jam", ": catatan", "sidang tanpa judul", "tanpa judul: catatan", "apa arti pesan", "arti kode galat", "menjelaskan istilah", "yang disebut", "pesan galat itu", "kata itu berarti", "the term", "the words", "the message reads", "explained why the message", "a sign saying", "users saw the message", "wrote the placeholder", "the manual by", "shows the example", "the column that holds the word", "in a training course", "in a design class", "the counter screen showed only the words", "recalled that the message", "appeared 00 times when registering", "the story of", "looking for the archive of", "why does the message",
-]
+MENTIONS = _mention_seeds()
 
 
 _NAN = re.compile(r"\bNaN\b")
@@ -277,6 +308,10 @@ def _peaks(ratio: np.ndarray, line_end: np.ndarray) -> np.ndarray:
 _SIGNS = re.compile(rb"[{}$%<>\[\]@#|_\x02]|undefined|null|none|xxx|todo|tbd|:\w+:|\((isi|tulis|nama) |\(0{1,3}(?![0/])|^\n?0+\n?$")
 
 
+#: The part of the likelihood ratio that is enough for a whole line.
+WHOLE_LINE = 0.75
+
+
 def windows(c: np.ndarray, prose: Prose, phrases: Phrases, least: tuple[float, float, float]) -> list[tuple[int, int, int]]:
     """(kind, from, to) of residue windows in a stream of codes: kind 0 template, 1 filler, 2 notice."""
     seed_slots, slots = _slots(c, SEED_SLOTS), _slots(c, SLOTS)
@@ -285,6 +320,12 @@ def windows(c: np.ndarray, prose: Prose, phrases: Phrases, least: tuple[float, f
     for kind, seeds, p, order, need in ((0, phrases.template, strict, 3, least[0]), (1, phrases.filler, loose, 5, least[1]), (1, phrases.keys, loose, 3, 2 * least[1]), (2, phrases.notices, loose, 3, least[2])):
         s = _peaks(seeded(seeds).ratio(seed_slots, p, order), c == 10)
         over = s >= need
+        if kind == 2:  # a line that is a notice from its begin to its end needs less
+            feeds = np.flatnonzero(c == 10)
+            rose = np.maximum.accumulate(np.where(s <= 0, np.arange(len(s)), -1))
+            for lo, hi in zip(feeds[:-1], feeds[1:]):
+                if s[hi - 1] >= WHOLE_LINE * need and rose[hi - 1] <= lo + 1:
+                    over[hi - 1] = True
         edge = np.flatnonzero(np.diff(np.r_[False, over, False].astype(np.int8)))
         for lo, hi in zip(edge[::2], edge[1::2]):
             zero = np.flatnonzero(s[max(0, lo - 400) : lo] <= 0)
@@ -303,17 +344,35 @@ def _sentence(c: np.ndarray, lo: int, hi: int) -> tuple[int, int]:
     return lo, hi
 
 
-def is_mention(c: np.ndarray, lo: int, hi: int, prose: Prose, phrases: Phrases, least: float) -> bool:
-    """Whether the sentence around a window writes about or quotes what is in it, judged by the sentence without the window."""
+#: A noun of language right before a window (which may begin within a word), and a demonstrative about its end.
+_NAMED = re.compile((r"\b(" + "|".join(_THINGS) + r")( (yang|berupa|called))? ?[\"'(]?\w{0,3}$").encode())
+_POINTED = re.compile(rb"^[^.!?\n]{0,8}?(^| |\")(itu|ini|tersebut|tadi|there|itself)\b")
+
+
+def is_mention(c: np.ndarray, kind: int, lo: int, hi: int, prose: Prose, phrases: Phrases, least: float) -> bool:
+    """Whether the sentence around a window writes about or quotes what is in it.
+
+    It does where a noun of language comes right before it and a demonstrative after it. Filler and notices are quoted where quotation marks enclose them within a longer sentence, and are a headline's theme where a colon
+    and a clause of their own follow; else the sentence without the window is judged by the model of mentions.
+    """
     a, b = _sentence(c, lo, hi)
     x = np.r_[c[a:lo], np.uint8(32), c[hi:b]]
     if len(x) < 8:
         return False
+    if _NAMED.search(c[a:lo].tobytes()) and _POINTED.search(c[max(lo, hi - 6) : b].tobytes()):
+        return True
+    if kind:
+        before, after = c[a:lo].tobytes(), c[max(lo, hi - 4) : b].tobytes()  # a window may hold the closing mark
+        if before.count(b'"') % 2 and b'"' in after and len(before.split()) + len(after.split()) >= 5:
+            return True
+        theme = c[a:b].tobytes().partition(b": ")
+        if theme[2] and a + len(theme[0]) >= hi - 2 and len(theme[2].split()) >= 3 and float(_peaks(seeded(phrases.notices).ratio(_slots(c[a + len(theme[0]) + 2 : b], SEED_SLOTS), prose.loose.log(_slots(c[a + len(theme[0]) + 2 : b], SLOTS)), 3), np.zeros(b - a - len(theme[0]) - 2, bool)).max(initial=0.0)) < 20:
+            return True
     ratio = seeded(phrases.mentions).ratio(_slots(x, SEED_SLOTS), prose.strict.log(_slots(x, SLOTS)), 5)
     return float(_peaks(ratio[3:], np.zeros(len(x) - 3, bool)).max(initial=0.0)) >= least
 
 
-def find_residue(records: DataFrame, id_col: str = "article_id", title_col: str = "title", text_col: str = "content_text", phrases: Phrases | None = None, rare: tuple[float, float] = (0.004, 0.0003), template: float = 9.0, filler: float = 23.0, notice: float = 24.0, mention: float = 16.0, coverage: float = 0.0) -> DataFrame:
+def find_residue(records: DataFrame, id_col: str = "article_id", title_col: str = "title", text_col: str = "content_text", phrases: Phrases | None = None, rare: tuple[float, float] = (0.004, 0.0003), template: float = 9.0, filler: float = 23.0, notice: float = 24.0, mention: float = 11.0, coverage: float = 0.0) -> DataFrame:
     """(id, kinds, covered) of records with residue: the sum of 1 template, 2 filler and 4 notice; covered is the share of characters in windows.
 
     ``template``, ``filler``, ``notice`` and ``mention`` are the log-likelihood ratios a window needs. Null titles and texts count as empty; empty
@@ -333,7 +392,7 @@ def find_residue(records: DataFrame, id_col: str = "article_id", title_col: str
                 np.add.at(size, owners, np.diff(begin))
                 mark = np.zeros(len(c), bool)
                 for k, lo, hi in windows(c, model, phrases, (template, filler, notice)):
-                    if not is_mention(c, lo, hi, model, phrases, mention):
+                    if not is_mention(c, k, lo, hi, model, phrases, mention):
                         mark[lo:hi] = True
                         kinds[owners[int(np.searchsorted(begin, lo, side="right")) - 1]] |= 1 << k
                 np.add.at(marked, owners, np.add.reduceat(mark.astype(np.int64), begin[:-1]))
