@@ -7,7 +7,7 @@ import tempfile
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 
 def local_session(cpus: int | str = "*", app: str = "lontar", **conf: str) -> SparkSession:
@@ -48,7 +48,8 @@ def ship(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share, from ``spark.checkpoint.dir``; a temporary one only where that is unset (tests, local mode)."""
+    """The folder all executors share, from ``spark.checkpoint.dir``. Where that is unset a local session gets a temporary one; on a
+    cluster it is an error, as no executor could read another machine's folder."""
     have = spark.conf.get("spark.checkpoint.dir", None)
     sc = spark.sparkContext
     if have:
@@ -57,6 +58,8 @@ def shared_dir(spark: SparkSession) -> str:
         return have
     current = sc._jsc.sc().getCheckpointDir()
     if current.isEmpty():
+        if sc.master != "local" and not sc.master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         sc.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="lontar-checkpoint-"))
         current = sc._jsc.sc().getCheckpointDir()
     return current.get()
@@ -68,7 +71,22 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def small_side(df: DataFrame, max_rows: int = 200_000) -> DataFrame:
-    """``df``, materialised, with a broadcast hint only if its counted rows are at most ``max_rows``; else it joins by shuffle."""
+def _bytes(df: DataFrame) -> Column:
+    """About the bytes of a row: eight for each value, and the lengths of strings, binaries and lists."""
+    size = F.lit(8 * len(df.columns)).cast("long")
+    for f in df.schema.fields:
+        kind, c = f.dataType.simpleString(), F.col(f"`{f.name}`")
+        if kind in ("string", "binary"):
+            size = size + F.coalesce(F.octet_length(c), F.lit(0))
+        elif kind in ("array<string>", "array<binary>"):
+            size = size + F.coalesce(F.aggregate(c, F.lit(0), lambda n, x: n + 8 + F.coalesce(F.octet_length(x), F.lit(0))), F.lit(0))
+        elif kind.startswith("array"):
+            size = size + 8 * F.coalesce(F.size(c), F.lit(0))
+    return size
+
+
+def small_side(df: DataFrame, max_rows: int = 200_000, max_bytes: int = 64 << 20) -> DataFrame:
+    """``df``, materialised, with a broadcast hint only if its counted rows and bytes are at most these; else it joins by shuffle."""
     kept = cut(df)
-    return F.broadcast(kept) if kept.count() <= max_rows else kept
+    rows, size = kept.agg(F.count("*"), F.coalesce(F.sum(_bytes(kept)), F.lit(0))).first()
+    return F.broadcast(kept) if rows <= max_rows and size <= max_bytes else kept

@@ -10,6 +10,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from lontar import session
 from lontar.config import Clustering, Health
 from lontar.functions import html
 from lontar.functions.text import GENERIC_ANCHORS, STOPWORDS
@@ -338,6 +339,13 @@ def test_pipeline_ends_in_the_store(spark):
     assert {r.status for r in again[2].collect()} == {"duplicate", "retry_scheduled", "invalid"} and again[1].count() == 0
 
 
+def test_broadcasts_are_bounded_by_rows_and_bytes(spark):
+    d = spark.createDataFrame([(i, "x" * 100, ["y" * 50], None) for i in range(10)], "a long, b string, c array<string>, d binary")
+    hinted = lambda df: "ResolvedHint" in df._jdf.queryExecution().analyzed().toString()
+    assert hinted(session.small_side(d)) and not hinted(session.small_side(d, 9)) and not hinted(session.small_side(d, max_bytes=1500))
+    assert hinted(session.small_side(d.limit(0), 0, 0))
+
+
 def test_shared_and_circular_payloads():
     deep = [[i + 1, i + 1] for i in range(30)] + ["x"]  # 2**30 paths
     x, steps = html.revive(deep), 0
