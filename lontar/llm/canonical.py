@@ -201,7 +201,7 @@ def resolve(value: str, index: Index, threshold: float, margin: float) -> tuple[
     return (below or found)[-1]
 
 
-def map_values(values: DataFrame, reference: DataFrame, value_col: str = "category", threshold: float = 0.5, margin: float = 0.01, synonyms: dict[str, list[str]] | None = None, none: list[str] | None = None, parents: dict[int, int] | None = None, max_reference: int = 100_000) -> DataFrame:
+def map_values(values: DataFrame, reference: DataFrame, value_col: str = "category", threshold: float = 0.5, margin: float = 0.05, synonyms: dict[str, list[str]] | None = None, none: list[str] | None = None, parents: dict[int, int] | None = None, max_reference: int = 100_000) -> DataFrame:
     """(value, category_id, score) of every distinct value that is neither null nor blank.
 
     ``reference`` has category_id, name and name_en; rows with a null id or name are left out, of a repeated name the smallest id
@@ -223,8 +223,10 @@ def map_values(values: DataFrame, reference: DataFrame, value_col: str = "catego
             out = [(exact[v], 1.0) if v in exact else resolve(v, ix, threshold, margin) if ix is not None else (0, 0.0) for v in b["value"]]
             yield pd.DataFrame({"value": b["value"], "category_id": [e for e, _ in out], "score": [s for _, s in out]})
 
+    # so few bytes would be merged into a task or two
+    tasks = max(8, spark.sparkContext.defaultParallelism)
     distinct = values.select(F.col(value_col).cast("string").alias("value")).where(F.col("value").rlike("[^\\s\\xa0\\u2000-\\u200a\\u202f\\u205f\\u3000]")).distinct()
-    return distinct.mapInPandas(match, "value string, category_id int, score double")
+    return distinct.repartition(tasks, "value").mapInPandas(match, "value string, category_id int, score double")
 
 
 #: Parents among the canonical news sections: the more specific section counts when both are named.
