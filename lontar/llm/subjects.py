@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from lontar.llm.sourcelines import repeated_hashes
-from lontar.session import cut
+from lontar.session import cut, small_side
 
 _INVISIBLE = re.compile("[­͏؜᠎​-‏‪-‮⁠-⁤︀-️﻿\U0001f000-\U0001faff☀-➿\U000e0000-\U000e007f\x00-\x08\x0b\x0e-\x1f\x7f]")
 _BREAK = re.compile(r"(?<=[.!?])[\"”']?\s+(?=[\"“'(]?[^\W\d_a-z])|[\r\n  ]+")
@@ -331,7 +331,7 @@ def gather_labels(labels: DataFrame, areas: DataFrame) -> DataFrame:
     Labels that name no area, and null ids, are left out; repeated rows count once.
     """
     known = areas.select(F.lower(F.trim(F.col("subject"))).alias("as"), F.col("subject").alias("to")).unionByName(areas.select(F.lower(F.trim(F.col("name_en"))).alias("as"), F.col("subject").alias("to"))).where("`as` is not null and to is not null").dropDuplicates(["as"])
-    named = labels.select("doc_id", F.lower(F.trim(F.col("subject"))).alias("as"), F.coalesce(F.col("annotator"), F.lit("")).alias("who")).join(F.broadcast(known), "as").where("doc_id is not null").select("doc_id", F.col("to").alias("subject"), "who").distinct()
+    named = labels.select("doc_id", F.lower(F.trim(F.col("subject"))).alias("as"), F.coalesce(F.col("annotator"), F.lit("")).alias("who")).join(small_side(known), "as").where("doc_id is not null").select("doc_id", F.col("to").alias("subject"), "who").distinct()
     people = named.groupBy("doc_id").agg(F.count_distinct("who").alias("all"))
     votes = named.groupBy("doc_id", "subject").agg(F.count("*").alias("votes"))
     return votes.join(people, "doc_id").where("votes * 2 >= `all`").select("doc_id", "subject")
