@@ -19,8 +19,8 @@ from pyspark.sql import DataFrame, Window, functions as F
 from lontar.llm.tokens import token_counts
 from lontar.session import cut, small_side
 
-#: Hash buckets within one length of one source.
-BUCKETS = 64
+#: Documents of one length of one source that one hash bucket should hold; a length has ``LEAST_BUCKETS`` at least.
+IN_BUCKET, LEAST_BUCKETS = 50_000, 64
 #: The programme closes a gap of at most so many tokens.
 REACH = 1 << 16
 
@@ -114,6 +114,7 @@ def mix(sized: DataFrame, targets: DataFrame, total: int | None = None, seed: in
     listed = small_side(goals, 100_000)
     kept = cut(sized.where("tokens > 0 and source is not null").join(listed.select("source"), "source", "left_semi").select("id", "source", "tokens"))
     hist = cut(kept.groupBy("source", "tokens").agg(F.count("*").alias("n")))
+    buckets = max(LEAST_BUCKETS, -(-(hist.agg(F.max("n")).first()[0] or 0) // IN_BUCKET))
     have = listed.join(hist.groupBy("source").agg(F.sum(F.col("tokens") * F.col("n")).alias("available"), F.sum("n").alias("docs")), "source", "left").na.fill(0, ["available", "docs"])
     may = (F.col("target_share") > 0) & (F.col("max_repeats") >= 1)
     if total is None:
@@ -133,7 +134,7 @@ def mix(sized: DataFrame, targets: DataFrame, total: int | None = None, seed: in
 
     more = cut(hist.join(budgets.select("source", "rest", (F.col("max_repeats") - F.col("rounds")).alias("repeats")), "source").groupBy("source").applyInPandas(fit, "source string, tokens long, docs long, more long"))
     more = more.withColumn("each", F.floor(F.col("more") / F.col("docs"))).withColumn("once", F.col("more") % F.col("docs"))
-    ranked = kept.withColumn("h", F.xxhash64(F.lit(seed), F.col("id"))).withColumn("bucket", F.pmod(F.shiftrightunsigned("h", 40), F.lit(BUCKETS)).cast("int"))
+    ranked = kept.withColumn("h", F.xxhash64(F.lit(seed), F.col("id"))).withColumn("bucket", F.pmod(F.shiftrightunsigned("h", 40), F.lit(buckets)).cast("int"))
     in_bucket = ranked.groupBy("source", "tokens", "bucket").agg(F.count("*").alias("n"))
     before = F.sum("n").over(Window.partitionBy("source", "tokens").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1))
     quota = (
