@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lontar.llm import canonical, incremental, mixing, names, neardup, residue, sourcelines, subjects, tokens
 from lontar.llm.catalog import ORACLES, QUERIES, query  # noqa: F401
-from lontar.session import cut
+from lontar.session import cut, small_side
 from lontar.sources.tables import table
 
 #: What makes two articles near-duplicates in TESTDATA.md.
@@ -44,7 +44,7 @@ def p5_classes(spark: SparkSession, sf: str) -> DataFrame:
 def p2_found(spark: SparkSession, sf: str) -> DataFrame:
     """The entry of category_ref that each article's typed section means, 0 where none fits."""
     reference = table(spark, sf, "category_ref")
-    mapped = canonical.map_records(table(spark, sf, "articles").join(F.broadcast(reference.select(F.col("name").alias("category"))), "category", "left_anti"), reference)
+    mapped = canonical.map_records(table(spark, sf, "articles").join(small_side(reference.select(F.col("name").alias("category"))), "category", "left_anti"), reference)
     return mapped.select(F.col("id").alias("article_id"), "category_id")
 
 
@@ -72,8 +72,7 @@ WHERE c.n_docs >= 5 AND c.n_docs >= 0.02 * s.n_all
 @query("p4_found", P4_SQL)
 def p4_found(spark: SparkSession, sf: str) -> DataFrame:
     """Where lines stand that are repeated within their source."""
-    articles = table(spark, sf, "articles")
-    return sourcelines.occurrences(articles, sourcelines.repeated_lines(articles)).withColumnRenamed("id", "article_id")
+    return sourcelines.repeated_places(table(spark, sf, "articles")).withColumnRenamed("id", "article_id")
 
 
 @query("p4_cleaned")

@@ -141,6 +141,22 @@ def occurrences(articles: DataFrame, repeated: DataFrame, id_col: str = "article
     return hit.select("id", (F.col("pos") + 1).cast("int").alias("line_no"))
 
 
+def hashed_lines(articles: DataFrame, id_col: str = "article_id", source_col: str = "source_id", text_col: str = "content_text") -> DataFrame:
+    """(id, source, hashes): of every document the 64-bit hashes of its normalised lines in their order, null for lines that don't count."""
+    lines = F.transform(F.split(F.col(text_col).cast("string"), "\n", -1), normal_line)
+    return articles.select(F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"), F.transform(lines, lambda x: F.when(counts(x), F.xxhash64(x))).alias("hashes"))
+
+
+def repeated_places(articles: DataFrame, id_col: str = "article_id", source_col: str = "source_id", text_col: str = "content_text", least_docs: int = 5, share: float = 0.02) -> DataFrame:
+    """(id, line_no): where lines stand that ``repeated_lines`` would give. Texts are normalised once: summaries, exact counts and look-up
+    all read the kept hashes, so a line is told from the repeated ones of its source by 64 bits."""
+    hashed = cut(hashed_lines(articles, id_col, source_col, text_col))
+    own = F.coalesce(F.array_distinct(F.array_compact("hashes")), F.array().cast("array<long>"))
+    wanted = small_side(repeated_hashes(hashed.select("source", own.alias("hashes")), least_docs, share).select(F.col("source").alias("s"), F.col("hash").alias("h")))
+    at = hashed.select("id", "source", F.posexplode("hashes").alias("pos", "hash")).where("hash is not null")
+    return at.join(wanted, F.col("source").eqNullSafe(F.col("s")) & (F.col("hash") == F.col("h"))).select("id", (F.col("pos") + 1).cast("int").alias("line_no"))
+
+
 def without_lines(articles: DataFrame, repeated: DataFrame, id_col: str = "article_id", source_col: str = "source_id", text_col: str = "content_text") -> DataFrame:
     """(id, text): every document without its source's repeated lines; null text stays null.
 

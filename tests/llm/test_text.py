@@ -174,6 +174,8 @@ def test_lines_equal_brute_force(spark):
     d = spark.createDataFrame(rows, "article_id long, source_id string, content_text string").withColumn("line", F.lit(1)).withColumn("source", F.lit("clash"))
     rep = sourcelines.repeated_lines(d)
     assert {(r.id, r.line_no) for r in sourcelines.occurrences(d, rep).collect()} == brute_lines(rows)
+    assert {(r.id, r.line_no) for r in sourcelines.repeated_places(d).collect()} == brute_lines(rows)
+    assert sourcelines.repeated_places(d.limit(0)).count() == 0
     left = {r.id: r.text for r in sourcelines.without_lines(d, rep).collect()}
     gone = brute_lines(rows)
     assert left[900] is None and all(left[i] == "\n".join(x for k, x in enumerate(t.split("\n"), 1) if (i, k) not in gone) for i, _, t in rows if t is not None)
