@@ -7,7 +7,8 @@ over a linked list of byte pieces, O(n log n) in the length of the pre-token, wh
 A pre-token that is itself in the vocabulary need not be what merging gives; such entries are found once, when the vocabulary is
 loaded, and left out of the first tier, so both tiers agree with merging.
 
-The vocabulary is read from a file of ranks whose path is a parameter; executors read it once each.
+The vocabulary is read from a file of ranks whose path is a parameter, by the driver alone: what is made of it, a few megabytes
+whatever the corpus, is broadcast, so executors need neither the file nor the time to build the hash.
 """
 
 from __future__ import annotations
@@ -20,7 +21,8 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import regex
-from pyspark.sql import DataFrame, functions as F
+from pyspark import Broadcast
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 #: Where the vocabulary files are; LONTAR_TOKENIZERS names another folder.
 FOLDER = os.environ.get("LONTAR_TOKENIZERS", "/opt/tokenizers")
@@ -115,6 +117,13 @@ class Encoder:
         self.split = regex.compile(PATTERN).findall
         self.remember, self.known = remember, {}
 
+    def __getstate__(self) -> tuple:
+        return self.ranks, self.whole, self.remember
+
+    def __setstate__(self, state: tuple) -> None:
+        self.ranks, self.whole, self.remember = state
+        self.split, self.known = regex.compile(PATTERN).findall, {}
+
     def piece(self, pre_token: str) -> list[int]:
         """The ids of one pre-token."""
         data = pre_token.encode("utf-8", "replace")
@@ -145,6 +154,11 @@ def encoder(path: str) -> Encoder:
     return _ENCODERS[path]
 
 
+def shared_encoder(spark: SparkSession, path: str) -> Broadcast:
+    """The encoder of a vocabulary file, for executors."""
+    return spark.sparkContext.broadcast(encoder(path))
+
+
 def vocabulary(name: str = "byte_bpe_50k", folder: str | None = None) -> str:
     """The path of a vocabulary's file of ranks."""
     return os.path.join(folder or FOLDER, f"{name}.tiktoken")
@@ -156,11 +170,11 @@ def encode_column(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     Null and empty texts get an empty list; a repeated row is encoded as often as it occurs; a null id stays null. Texts of any
     length are encoded whole. Columns not named are ignored, whatever their names.
     """
-    path = path or vocabulary()
+    shared = shared_encoder(docs.sparkSession, path or vocabulary())
     rows = docs.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).cast("string").alias("text"), *[F.col(c) for c in keep])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        enc = encoder(path)
+        enc = shared.value
         for b in batches:
             b["ids"] = [np.array(enc.encode(t if isinstance(t, str) else None), np.int32) for t in b["text"]]
             yield b[["id", "ids", *keep]]
@@ -171,11 +185,11 @@ def encode_column(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 def token_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
     """(id, tokens) of every row; as ``encode_column``, but only the number of ids leaves Python."""
-    path = path or vocabulary()
+    shared = shared_encoder(docs.sparkSession, path or vocabulary())
     rows = docs.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).cast("string").alias("text"), *[F.col(c) for c in keep])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        enc = encoder(path)
+        enc = shared.value
         for b in batches:
             b["tokens"] = [len(enc.encode(t if isinstance(t, str) else None)) for t in b["text"]]
             yield b[["id", "tokens", *keep]]
