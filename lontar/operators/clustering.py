@@ -23,9 +23,14 @@ def windowed(articles: DataFrame, hours: int, anchor: Column | None = None) -> D
     return articles.where(F.col("collected_at") >= anchor - F.expr(f"interval {hours} hours"))
 
 
-def prepared(articles: DataFrame) -> DataFrame:
-    """(id, source_id, title, at, ord, title_tokens, all_tokens, phrases) of articles with an id and a source."""
-    rows = articles.where("article_id is not null and source_id is not null")
+def prepared(articles: DataFrame, strict: bool = True) -> DataFrame:
+    """(id, source_id, title, at, ord, title_tokens, all_tokens, phrases) of articles. One without an id or a source is an error when
+    run, or is left out unless ``strict``."""
+    if strict:
+        given = lambda c: F.when(F.col(c).isNotNull(), F.col(c)).otherwise(F.raise_error(F.lit(f"an article without {c}"))).alias(c)
+        rows = articles.select(*[given(c) if c in ("article_id", "source_id") else F.col(c) for c in articles.columns])
+    else:
+        rows = articles.where("article_id is not null and source_id is not null")
     title = F.array_distinct(tokens(F.col("title")))
     summary = F.array_distinct(tokens(F.col("summary")))
     # moments count to the millisecond, ids as strings break ties
@@ -146,7 +151,7 @@ def events(docs: DataFrame, marks: DataFrame, assigned: DataFrame) -> DataFrame:
     words = members.join(roll.select("seed"), "seed").select("seed", "id", F.explode("title_tokens").alias("token"))
     counted = words.groupBy("seed", "token").agg((F.count("*") - 1).alias("others"))
     central = words.join(counted, ["seed", "token"]).groupBy("seed", "id").agg(F.sum("others").alias("c"))
-    named = members.join(central, ["seed", "id"], "left").groupBy("seed").agg(F.max_by("title", F.struct(F.coalesce("c", F.lit(0)).alias("c"), (-F.unix_millis("at")).alias("t"))).alias("representative_title"))
+    named = members.join(central, ["seed", "id"], "left").groupBy("seed").agg(F.min_by("title", F.struct((-F.coalesce("c", F.lit(0))).alias("c"), "ord")).alias("representative_title"))
     tokens_of = marks.where("kind = 'a'").join(assigned.select("id", "seed"), "id").join(docs.select("id", "ord"), "id").groupBy("seed", "token").agg(F.min(F.struct("ord", "pos")).alias("first"))
     place = F.row_number().over(Window.partitionBy("seed").orderBy("first", "token"))
     top = tokens_of.withColumn("r", place).where("r <= 12").groupBy("seed").agg(F.transform(F.array_sort(F.collect_list(F.struct("r", "token"))), lambda s: s["token"]).alias("anchor_terms"))

@@ -29,6 +29,14 @@ def stream_seen(spark: SparkSession, sf: str) -> DataFrame:
     return _drained(spark, jobs.first_sightings(_sightings(spark, sf).select("source_id", "normalized_url", "first_discovered_at"), "first_discovered_at", 24 * 30)).select("source_id", "normalized_url")
 
 
+@query("stream_unseen", """WITH s AS (SELECT source_id, normalized_url, first_discovered_at AS t, lag(first_discovered_at) OVER (PARTITION BY source_id, normalized_url ORDER BY first_discovered_at, discovery_id) AS p FROM discovered_urls)
+ SELECT source_id, normalized_url, epoch_us(t) AS at_us FROM s WHERE p IS NULL OR t - p >= INTERVAL 6 HOUR""")
+def stream_unseen(spark: SparkSession, sf: str) -> DataFrame:
+    """Sightings of URLs that weren't seen within six hours before, each sighting renewing the retention."""
+    out = _drained(spark, jobs.unseen(_sightings(spark, sf), "first_discovered_at", 6))
+    return out.select("source_id", "normalized_url", F.unix_micros("first_discovered_at").alias("at_us"))
+
+
 @query("stream_jobs", "SELECT DISTINCT sha1(concat_ws('|', source_id, nullif(normalized_url, ''))) AS job_id FROM discovered_urls")
 def stream_jobs(spark: SparkSession, sf: str) -> DataFrame:
     """Fetch jobs, one for each URL while it is retained."""

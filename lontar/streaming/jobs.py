@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import time
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from lontar.config import WINDOWS
 from lontar.functions.text import job_id
@@ -27,6 +31,44 @@ def first_sightings(items: DataFrame, moment: str, hours: int) -> DataFrame:
     return as_event_time(items, moment).withWatermark(moment, f"{hours} hours").dropDuplicatesWithinWatermark(["source_id", "normalized_url"])
 
 
+def unseen(items: DataFrame, moment: str, hours: int) -> DataFrame:
+    """Sightings (source_id, normalized_url, moment) of URLs that weren't seen within the hours before them.
+
+    Every sighting renews the retention, so the state of a URL is its last sighting; it expires when the watermark has passed that by
+    the hours. Sightings of a batch are taken in their order; one that comes after a later one of its URL is no news.
+    """
+
+    def run(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        at = np.sort(pd.concat([f["_us"] for f in frames]).dropna().astype("int64").to_numpy())
+        if not len(at):
+            return
+        last = state.get[0] if state.exists else None
+        fresh = np.diff(at, prepend=at[0] - span if last is None else last) >= span
+        end = int(max(at[-1], last or at[-1]))
+        state.update((end,))
+        state.setTimeoutTimestamp(max((end + span) // 1000, state.getCurrentWatermarkMs() + 1))
+        if fresh.any():
+            yield pd.DataFrame({"source_id": key[0], "normalized_url": key[1], "_us": at[fresh]})
+
+    span = hours * 3_600_000_000
+    rows = as_event_time(items, moment).select("source_id", "normalized_url", moment, F.unix_micros(moment).alias("_us")).withWatermark(moment, f"{hours} hours")
+    out = rows.groupBy("source_id", "normalized_url").applyInPandasWithState(run, "source_id string, normalized_url string, _us long", "last long", "append", GroupStateTimeout.EventTimeTimeout)
+    return out.select("source_id", "normalized_url", F.timestamp_micros("_us").alias(moment))
+
+
+def stop_within(query: StreamingQuery, seconds: float = 30) -> bool:
+    """Let a query finish what it is at, for so many seconds at most, and stop it; whether it finished."""
+    end = time.monotonic() + seconds
+    while query.isActive and query.status["isTriggerActive"] and time.monotonic() < end:
+        time.sleep(0.1)
+    done = not (query.isActive and query.status["isTriggerActive"])
+    query.stop()
+    return done
+
+
 def jobs_of(items: DataFrame, moment: str, *key: Column, keep_hours: int = 1) -> DataFrame:
     """Work items with their job id, one of a kind while it is retained."""
     return as_event_time(items, moment).withColumn("job_id", job_id(*key)).withWatermark(moment, f"{keep_hours} hours").dropDuplicatesWithinWatermark(["job_id"])

@@ -68,6 +68,13 @@ def test_clustering_window_is_inclusive_and_needs_two_sources(spark):
     assert metrics.first().article_count == 2 and events.count() == 0
 
 
+def test_articles_without_ids_are_an_error(spark):
+    d = articles(spark, [(None, "a", "Judul", T0)])
+    assert clustering.prepared(d, strict=False).count() == 0
+    with pytest.raises(Exception, match="an article without article_id"):
+        clustering.prepared(d).collect()
+
+
 def test_assignment_equals_the_sequential_pass(spark):
     rng = random.Random(4)
     words = [f"w{i:02d}x" for i in range(18)]
@@ -371,6 +378,15 @@ def test_streams(spark, tmp_path):
     d.coalesce(1).write.parquet(f"{tmp_path}/in")
     stream = jobs.stream_of(spark, f"{tmp_path}/in", d)
     assert jobs.drain_to(jobs.first_sightings(stream, "seen", 24), f"{tmp_path}/o1", f"{tmp_path}/c1").count() == 2
+    # every sighting renews what is retained; the third comes within three hours of the second, the fourth doesn't
+    more = spark.createDataFrame([("s", "u", T0 + timedelta(hours=h)) for h in (0, 2, 4, 8)] + [("s", "v", T0), ("s", None, T0)], d.schema)
+    more.coalesce(1).write.parquet(f"{tmp_path}/in3")
+    got = jobs.drain_to(jobs.unseen(jobs.stream_of(spark, f"{tmp_path}/in3", d), "seen", 3), f"{tmp_path}/o3", f"{tmp_path}/c4")
+    assert sorted((r.normalized_url or "", r.seen) for r in got.collect()) == [("", T0), ("u", T0), ("u", T0 + timedelta(hours=8)), ("v", T0)]
+    more.where("seen > '2026-07-28 15:00:00'").withColumn("seen", F.col("seen") + F.expr("interval 1 hour")).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in3")
+    assert jobs.drain_to(jobs.unseen(jobs.stream_of(spark, f"{tmp_path}/in3", d), "seen", 3), f"{tmp_path}/o3", f"{tmp_path}/c4").count() == 4
+    rate = spark.readStream.format("rate").load().writeStream.format("noop").option("checkpointLocation", f"{tmp_path}/c5").start()
+    assert jobs.stop_within(rate, 30) and not rate.isActive
     w = jobs.drain_to(jobs.windowed_counts(stream, "seen"), f"{tmp_path}/o2", f"{tmp_path}/c2").collect()
     assert [(r.source_id, r.sightings) for r in w] == [("s", 2)]
     items = d.select("source_id", F.col("normalized_url").alias("raw_url"), "normalized_url", F.lit("c").alias("discovery_channel"), F.lit("p").alias("discovery_page"), F.lit("t").alias("listing_title"), F.lit(None).cast("timestamp").alias("published_hint"), F.col("seen").alias("seen_at"))
