@@ -326,37 +326,45 @@ def paragraphs(root: Node, containers: str, noise: str = "", inner: str = "p, h2
     """Paragraphs of the first container that has any: noise removed, lines that lead elsewhere dropped, a dateline joined to its text.
 
     A dateline is a short bold element that comes first in the container, before any paragraph; it isn't put before a text that begins
-    with it already. A container without paragraphs is split at line breaks.
+    with it already. A container without paragraphs is split at line breaks. Containers that are numbered as pages of one document
+    (``data-page``) count as one, in the order of their numbers.
     """
-    gone = {id(n) for n in select(root, noise)} if noise else set()
-    for box in select(root, containers):
-        out = []
-        for n in select(box, inner):
-            p, skip = n, False
-            while p is not None and p is not box.parent:
-                skip |= id(p) in gone
-                p = p.parent
-            t = n.text()
-            if not skip and t and not LEADS_AWAY.match(t):
-                out.append(t)
-        first = next((c for c in box.children if isinstance(c, Node) and c.tag != "!--" and id(c) not in gone), None)
-        place = first.text() if first is not None and first.tag in {"strong", "b"} else ""
-        if out and 0 < len(place) <= DATELINE and not out[0].lower().startswith(place.lower()):
-            out[0] = f"{place} - {out[0]}"
-        if not out:
-            lines, stack = [""], list(reversed(box.children))
-            while stack:
-                c = stack.pop()
-                if isinstance(c, str):
-                    lines[-1] += c
-                elif c.tag == "br":
-                    lines.append("")
-                elif c.tag not in RAW and id(c) not in gone:
-                    stack += list(reversed(c.children))
-            out = [t for x in lines if (t := re.sub(r"\s+", " ", x).strip()) and not LEADS_AWAY.match(t)]
-        if out:
-            return out
-    return []
+    boxes, gone = select(root, containers), {id(n) for n in select(root, noise)} if noise else set()
+    paged = [b for b in boxes if b.attrs.get("data-page", "").isdigit()]
+    if len(paged) > 1:
+        together = [t for b in sorted(paged, key=lambda b: int(b.attrs["data-page"])) for t in _in_container(b, gone, inner)]
+        if together:
+            return together
+    return next((out for b in boxes if (out := _in_container(b, gone, inner))), [])
+
+
+def _in_container(box: Node, gone: set[int], inner: str) -> list[str]:
+    """The paragraphs of one container, elements in ``gone`` left out."""
+    out = []
+    for n in select(box, inner):
+        p, skip = n, False
+        while p is not None and p is not box.parent:
+            skip |= id(p) in gone
+            p = p.parent
+        t = n.text()
+        if not skip and t and not LEADS_AWAY.match(t):
+            out.append(t)
+    first = next((c for c in box.children if isinstance(c, Node) and c.tag != "!--" and id(c) not in gone), None)
+    place = first.text() if first is not None and first.tag in {"strong", "b"} else ""
+    if out and 0 < len(place) <= DATELINE and not out[0].lower().startswith(place.lower()):
+        out[0] = f"{place} - {out[0]}"
+    if out:
+        return out
+    lines, stack = [""], list(reversed(box.children))
+    while stack:
+        c = stack.pop()
+        if isinstance(c, str):
+            lines[-1] += c
+        elif c.tag == "br":
+            lines.append("")
+        elif c.tag not in RAW and id(c) not in gone:
+            stack += list(reversed(c.children))
+    return [t for x in lines if (t := re.sub(r"\s+", " ", x).strip()) and not LEADS_AWAY.match(t)]
 
 
 #: Classes and attributes by which pages mark what only subscribers may read.

@@ -20,6 +20,13 @@ def channel_union(items: DataFrame, order: Column, limit: int | None = None) ->
     return out.drop("_o")
 
 
+def shared_limit(items: DataFrame, order: Column, limit: int) -> DataFrame:
+    """Items where the channels of a source share its limit: each gives its first ``limit`` over the number of channels, rounded up."""
+    by = items.select("source_id", "discovery_channel").distinct().groupBy("source_id").agg(F.count("*").alias("_n"))
+    ranked = items.withColumn("_r", F.row_number().over(Window.partitionBy("source_id", "discovery_channel").orderBy(order, "normalized_url")))
+    return ranked.join(by, "source_id").where(F.col("_r") <= F.ceil(F.lit(limit) / F.col("_n"))).drop("_r", "_n")
+
+
 def overlap_prefix(items: DataFrame, cutoff: Column, position: str = "position", hint: str = "published_hint", listing: list[str] | None = None) -> DataFrame:
     """Items of each listing before the first one that is surely older than the cut-off; unreadable hints never stop a listing."""
     by = listing or ["source_id"]

@@ -120,15 +120,21 @@ def parse_pages(pages: DataFrame, sites: dict[str, dict[str, str]] | None = None
 def run_pipeline(pages: DataFrame, rules: DataFrame, versions: str = "v1", sites: dict[str, dict[str, str]] | None = None) -> DataFrame:
     """Pages (page_id, source_id, requested_url, final_url, http_status, body, fetched_at) with their outcome (status, reason) and, where parsed, the article.
 
+    A column ``error`` names what a request failed with, ``retryable`` says whether it may be tried again; without them, or where
+    they are null, a page without a status has the wrong shape.
+
     First failing step wins: normalise, classify, fetch, parse, store gate. Every row is in the result once, whatever its id: pages
     are read once, in one pass that parses those that got that far and hands the others' columns on.
     """
     sites = selectors() if sites is None else sites
     urls = pages.withColumn("normalized_url", normalize_url(F.col("requested_url"))).withColumn("url", F.col("normalized_url"))
+    for name, kind in (("error", "string"), ("retryable", "boolean")):
+        urls = urls if name in urls.columns else urls.withColumn(name, F.lit(None).cast(kind))
     judged = apply_url_rules(urls, rules).withColumn("fetch", fetch_outcome(F.col("http_status")))
     early = (
         F.when(F.col("normalized_url").isNull(), F.struct(F.lit("invalid").alias("status"), F.lit("url_normalization_failed").alias("reason")))
         .when(~F.col("is_article"), F.struct(F.lit("ignored_by_policy").alias("status"), F.lit("not_article_url").alias("reason")))
+        .when(F.col("error").isNotNull() | F.col("retryable").isNotNull(), F.struct(F.when(F.col("retryable"), "retry_scheduled").otherwise("dead_letter").alias("status"), F.coalesce(F.nullif("error", F.lit("")), F.lit("fetch_threw")).alias("reason")))
         .when(F.col("http_status").isNull(), F.struct(F.lit("invalid").alias("status"), F.lit("invalid_fetch_result_shape").alias("reason")))
         .when(F.col("fetch") != "fetched", F.struct(F.col("fetch").alias("status"), F.concat(F.lit("http_status_"), F.col("http_status").cast("string")).alias("reason")))
     )
@@ -148,7 +154,7 @@ def run_pipeline(pages: DataFrame, rules: DataFrame, versions: str = "v1", sites
     out = out.withColumn("published_at", any_date(F.col("published"))).withColumn("updated_at_source", any_date(F.col("updated"))).withColumn("adapter_version", F.lit(versions)).withColumn("parser_version", F.lit(versions)).withColumn("language", F.lit("id"))
     late = F.when(F.col("title").isNull() & F.col("content_text").isNull(), F.struct(F.lit("invalid").alias("status"), F.lit("parse_returned_empty").alias("reason"))).when(~F.coalesce(storable(), F.lit(False)), F.struct(F.lit("dead_letter").alias("status"), F.lit("store_failed").alias("reason"))).otherwise(F.struct(F.lit("parsed").alias("status"), F.lit("storable").alias("reason")))
     out = out.withColumn("o", F.coalesce("early", late)).withColumn("status", F.col("o.status")).withColumn("reason", F.col("o.reason"))
-    return out.drop("o", "early", "fetch", "url", "canonical", "published", "updated")
+    return out.drop("o", "early", "fetch", "error", "retryable", "url", "canonical", "published", "updated")
 
 
 def store(outcomes: DataFrame, articles: DataFrame, status: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:

@@ -119,3 +119,8 @@ def test_paragraphs_drop_noise_and_split_at_breaks():
     root = html.parse("<div class=b><p>Baca Juga: x</p><p>Isi</p><aside><p>Iklan</p></aside></div><div class=c>satu<br>dua</div>")
     assert html.paragraphs(root, ".b", "aside") == ["Isi"]
     assert html.paragraphs(root, ".c") == ["satu", "dua"]
+
+
+def test_numbered_containers_are_one_document():
+    root = html.parse('<aside><p>x</p></aside><div class=b data-page=2><p>dua</p><aside><p>x</p></aside></div><div class=b data-page=1><strong>Kota</strong><p>satu</p></div>')
+    assert html.paragraphs(root, ".b", "aside") == ["Kota - satu", "dua"]

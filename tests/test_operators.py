@@ -16,7 +16,7 @@ from lontar.functions import html
 from lontar.functions.text import GENERIC_ANCHORS, STOPWORDS
 from lontar.functions.urls import apply_url_rules
 from lontar.operators import api, audit, clustering, discovery, pipeline, reports, upsert
-from lontar.sources import feeds, fetch, sites
+from lontar.sources import feeds, fetch, sites, tables
 from lontar.streaming import jobs, logs
 
 T0 = datetime(2026, 7, 28, 8, 0)
@@ -180,6 +180,8 @@ def test_pipeline_gives_every_page_one_outcome(spark):
     d = spark.createDataFrame([(i, "s", u, u, h, b, T0) for i, u, h, b in rows], "page_id long, source_id string, requested_url string, final_url string, http_status int, body string, fetched_at timestamp")
     rules = spark.createDataFrame([("s", ".", "/read/", None, "/read/(\\d+)")], "source_id string, host_pattern string, path_pattern string, not_pattern string, id_pattern string")
     got = {r.page_id: (r.status, r.reason) for r in pipeline.run_pipeline(d, rules).collect()}
+    failed = d.where("page_id in (1, 4, 8)").withColumn("error", F.when(F.col("page_id") == 4, "timeout")).withColumn("retryable", F.when(F.col("page_id") == 8, False).when(F.col("page_id") == 4, True))
+    assert {r.page_id: (r.status, r.reason) for r in pipeline.run_pipeline(failed, rules).collect()} == {1: ("parsed", "storable"), 4: ("retry_scheduled", "timeout"), 8: ("dead_letter", "fetch_threw")}
     assert got == {1: ("parsed", "storable"), 2: ("ignored_by_policy", "not_article_url"), 3: ("invalid", "url_normalization_failed"), 4: ("retry_scheduled", "http_status_503"), 5: ("blocked", "http_status_403"), 6: ("dead_letter", "http_status_404"), 7: ("invalid", "parse_returned_empty"), 8: ("invalid", "invalid_fetch_result_shape"), 9: ("dead_letter", "store_failed")}
 
 
@@ -309,6 +311,22 @@ def test_files_in_and_out(spark, tmp_path):
     assert (said["message"], said["n"], said["level"]) == ("hello", 1, "info")
 
 
+def test_database_tables(spark):
+    url = "jdbc:derby:memory:lontar;create=true"
+    rows = spark.createDataFrame([(i, f"t{i}") for i in range(50)], "id long, title string")
+    tables.write_jdbc(rows, url, "articles", "overwrite")
+    got = tables.read_jdbc(spark, url, "articles", "id", 4)
+    assert got.rdd.getNumPartitions() == 4 and got.count() == 50 and {r.ID if hasattr(r, "ID") else r.id for r in got.where("id < 3").collect()} == {0, 1, 2}
+    tables.write_jdbc(rows.limit(0), url, "articles", "overwrite")
+    assert tables.read_jdbc(spark, url, "articles", "id", 4).count() == 0
+
+
+def test_channels_share_a_limit(spark):
+    d = spark.createDataFrame([("s", c, f"{c}{i}") for c in "ab" for i in range(5)] + [("t", "a", f"t{i}") for i in range(5)], "source_id string, discovery_channel string, normalized_url string")
+    got = {r.normalized_url for r in discovery.shared_limit(d, F.lit(0), 3).collect()}
+    assert got == {"a0", "a1", "b0", "b1", "t0", "t1", "t2"}
+
+
 def test_feeds_build_addresses_and_page_on(spark):
     d = lambda body: spark.createDataFrame([("s", body)], "source_id string, body string")
     body = '{"data":{"findContentFeed":{"edges":[{"cursor":"1","node":{"slug":"judul","shortId":"9","title":"T","account":{"username":"akun"}}},{"cursor":"2","node":{"slug":"x"}}],"pageInfo":{"hasNextPage":true,"endCursor":"2"}}}}'
