@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from lontar.config import Health, fetch_delay
 from lontar.functions import text, urls
 from lontar.operators import api, audit, clustering, discovery, reports, upsert
+from lontar.plans import eventsql
 from lontar.plans.catalog import query
 from lontar.sources.tables import table
 
@@ -361,29 +362,39 @@ def event_pairs_by_words(spark: SparkSession, sf: str) -> DataFrame:
     return clustering.scored_pairs(docs, clustering.anchors(docs)).where("by_words").select("later", "earlier", "shared_anchors", "shared_phrases", F.round("wj", 6).alias("wj"))
 
 
-@query("event_pairs")
+@query("event_pairs", eventsql.pairs(72) + " SELECT later, earlier, a AS shared_anchors, p AS shared_phrases, round(wj, 6) AS wj, accepted, round(score, 6) AS score FROM pairs")
 def event_pairs(spark: SparkSession, sf: str) -> DataFrame:
     """Scored candidate pairs of the trailing 72 hours."""
     docs = clustering.prepared(clustering.windowed(table(spark, sf, "articles"), 72))
-    return clustering.scored_pairs(docs, clustering.anchors(docs)).select("later", "earlier", "shared_anchors", "shared_phrases", "wj", "accepted", "score")
+    return clustering.scored_pairs(docs, clustering.anchors(docs)).select("later", "earlier", "shared_anchors", "shared_phrases", F.round("wj", 6).alias("wj"), "accepted", F.round("score", 6).alias("score"))
 
 
-@query("event_assign")
+@query("lcs_ratio", eventsql.pairs(72) + " SELECT later, earlier, round(lcs, 6) AS lcs FROM pairs WHERE lcs IS NOT NULL")
+def lcs_ratio(spark: SparkSession, sf: str) -> DataFrame:
+    """The subsequence ratio of the pairs that it matters for."""
+    docs = clustering.prepared(clustering.windowed(table(spark, sf, "articles"), 72))
+    return clustering.scored_pairs(docs, clustering.anchors(docs)).where("by_words or shared_anchors >= 3").select("later", "earlier", F.round("lcs", 6).alias("lcs"))
+
+
+@query("event_assign", eventsql.assigned(168) + " SELECT id, seed, round(score, 6) AS score FROM assigned")
 def event_assign(spark: SparkSession, sf: str) -> DataFrame:
-    return clustering.cluster(table(spark, sf, "articles"), 168)[1]
+    return clustering.cluster(table(spark, sf, "articles"), 168)[1].select("id", "seed", F.round("score", 6).alias("score"))
 
 
-@query("event_rollup")
+@query("event_rollup", eventsql.events(24) + " SELECT seed, article_count, media_count, first_ms, last_ms, representative_title, anchor_terms, coverage_score FROM events")
 def event_rollup(spark: SparkSession, sf: str) -> DataFrame:
-    return clustering.cluster(table(spark, sf, "articles"), 24)[0]
+    found = clustering.cluster(table(spark, sf, "articles"), 24)[0]
+    return found.select("seed", "article_count", "media_count", F.unix_millis("first_seen_at").alias("first_ms"), F.unix_millis("last_seen_at").alias("last_ms"), "representative_title", F.array_join(F.coalesce("anchor_terms", F.array().cast("array<string>")), " ").alias("anchor_terms"), "coverage_score")
 
 
-@query("event_metrics")
+@query("event_metrics", eventsql.events(72) + " SELECT (SELECT count(*) FROM docs) AS article_count, (SELECT count(*) FROM pairs WHERE earlier IN (SELECT id FROM seeds)) AS candidate_count, (SELECT count(*) FROM assigned WHERE id <> seed) AS accepted_edges, (SELECT count(*) FROM events) AS event_count")
 def event_metrics(spark: SparkSession, sf: str) -> DataFrame:
     return clustering.cluster(table(spark, sf, "articles"), 72)[2]
 
 
-@query("event_issues")
+@query("event_issues", eventsql.events(72) + """, top AS (SELECT *, row_number() OVER (ORDER BY media_count DESC, article_count DESC, seed) AS position FROM events)
+ SELECT 'event-' || t.seed AS id, CAST(position AS INTEGER) AS position, format('{} articles by {} media', t.article_count, t.media_count) AS summary, t.representative_title, string_agg(x.article_id || ':' || s.display_name, ' ' ORDER BY coalesce(x.published_at, x.collected_at) DESC, x.article_id DESC) AS articles
+ FROM top t JOIN assigned a ON a.seed = t.seed JOIN articles x ON x.article_id = a.id JOIN sources s ON s.source_id = x.source_id WHERE position <= 50 GROUP BY ALL""")
 def event_issues(spark: SparkSession, sf: str) -> DataFrame:
     """Events of a run as the read side lists them, articles nested."""
     a, s = T(spark, sf, "articles", "sources")
@@ -391,7 +402,8 @@ def event_issues(spark: SparkSession, sf: str) -> DataFrame:
     run = spark.range(1).select(F.lit(1).alias("run_id"))
     events = found.select(F.lit(1).alias("run_id"), F.col("seed").alias("event_id"), "representative_title", "media_count", "article_count", "coverage_score")
     members = assigned.select(F.lit(1).alias("run_id"), F.col("seed").alias("event_id"), F.col("id").alias("article_id"), F.col("score").alias("match_score"))
-    return api.issues(run, events, members, a, s)
+    named = F.transform("articles", lambda x: F.concat_ws(":", x["article_id"].cast("string"), x["display_name"]))
+    return api.issues(run, events, members, a, s).select("id", "position", "summary", "representative_title", F.array_join(named, " ").alias("articles"))
 
 
 # Audit
