@@ -286,6 +286,48 @@ def external_id(spark: SparkSession, sf: str) -> DataFrame:
     return urls.apply_url_rules(a.select("article_id", "source_id", F.col("canonical_url").alias("url")), rules).select("article_id", "external_id", "is_article")
 
 
+@query("url_variants", r"""SELECT article_id, regexp_replace(canonical_url, '[?#].*$', '') AS bare, CASE WHEN contains(canonical_url, '?') THEN canonical_url || '&page=all' ELSE canonical_url || '?page=all' END AS whole FROM articles WHERE NOT regexp_matches(canonical_url, '[#]|[?&]page=|[?&](&|$)|[?]$')""")
+def url_variants(spark: SparkSession, sf: str) -> DataFrame:
+    """Articles' URLs without their query, and with the parameter that shows all pages."""
+    a = table(spark, sf, "articles").where(~F.col("canonical_url").rlike("[#]|[?&]page=|[?&](&|$)|[?]$"))
+    return a.select("article_id", urls.without_query(F.col("canonical_url")).alias("bare"), urls.with_param(F.col("canonical_url"), "page", F.lit("all")).alias("whole"))
+
+
+@query("coverage_scores", "SELECT category, round(10 * count(DISTINCT source_id) + log2(count(*)), 4) AS score FROM articles GROUP BY category")
+def coverage_scores(spark: SparkSession, sf: str) -> DataFrame:
+    """The coverage score of each section's articles, as of an event's."""
+    g = table(spark, sf, "articles").groupBy("category").agg(F.count_distinct("source_id").alias("m"), F.count("*").alias("n"))
+    return g.select("category", clustering.coverage_score(F.col("m"), F.col("n")).alias("score"))
+
+
+@query("masked_connections", "SELECT source_id, 'postgres://' || source_id || ':***@' || replace(base_url, 'https://', '') AS connection FROM sources")
+def masked_connections(spark: SparkSession, sf: str) -> DataFrame:
+    s = table(spark, sf, "sources")
+    given = F.concat(F.lit("postgres://"), F.col("source_id"), F.lit(":geheim!1@"), F.regexp_replace("base_url", "https://", ""))
+    return s.select("source_id", text.masked_connection(given).alias("connection"))
+
+
+@query("query_hashes", "SELECT source_id, sha256('query feed($source: String) { feed(source: \"' || source_id || '\") }') AS hash FROM sources")
+def query_hashes(spark: SparkSession, sf: str) -> DataFrame:
+    """The hash under which each source's feed query is known to a server."""
+    q = F.concat(F.lit('query feed($source: String) { feed(source: "'), F.col("source_id"), F.lit('") }'))
+    return table(spark, sf, "sources").select("source_id", text.query_hash(q).alias("hash"))
+
+
+@query("retry_times", "SELECT status_id, CASE WHEN attempts BETWEEN 1 AND 2 THEN epoch_us(status_updated_at) + CAST(5000000 * pow(2, attempts - 1) AS BIGINT) END AS retry_us FROM processing_status WHERE status = 'retry_scheduled'")
+def retry_times(spark: SparkSession, sf: str) -> DataFrame:
+    """When jobs that failed are tried again."""
+    p = table(spark, sf, "processing_status").where("status = 'retry_scheduled'").select("status_id", F.col("attempts").alias("attempts_made"), F.col("status_updated_at").alias("failed_at"))
+    return discovery.retries(p).select("status_id", us("retry_at").alias("retry_us"))
+
+
+@query("schedules", "SELECT source_id, CASE WHEN enabled AND crawl_interval_minutes > 0 THEN crawl_interval_minutes END AS every_minutes, CASE WHEN enabled AND crawl_interval_minutes > 0 THEN 'upsert' ELSE 'prune' END AS action FROM sources UNION ALL SELECT 'gone', NULL, 'prune'")
+def schedules(spark: SparkSession, sf: str) -> DataFrame:
+    """What becomes of the recurring schedules of all sources and of one that is no more."""
+    s = table(spark, sf, "sources")
+    return discovery.prune_schedules(s.select("source_id").union(spark.createDataFrame([("gone",)], "source_id string")), s)
+
+
 @query("job_ids", "SELECT discovery_id, sha1(concat_ws('|', source_id, nullif(normalized_url, ''), nullif(discovery_channel, ''))) AS job_id FROM discovered_urls")
 def job_ids(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "discovered_urls").select("discovery_id", text.job_id(F.col("source_id"), F.col("normalized_url"), F.col("discovery_channel")).alias("job_id"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
@@ -11,6 +12,7 @@ from lontar.functions.urls import with_param
 from lontar.operators import discovery, pipeline
 from lontar.plans.catalog import query
 from lontar.plans.core import SINCE, SINCE_SQL, us
+from lontar.session import shared_dir
 from lontar.sources import feeds, sites
 from lontar.sources.tables import table
 
@@ -205,6 +207,104 @@ def page_merge(spark: SparkSession, sf: str) -> DataFrame:
     return discovery.merge_pages(cut).select("article_url", F.array_join("paragraphs", "\n").alias("content_text"), "pages")
 
 
+# Listings in embedded JSON
+
+
+def _json_pages(spark: SparkSession, sf: str, entry: Column, wrap) -> DataFrame:
+    """(source_id, body): sightings as documents of many entries each, ``wrap`` making a body of the list of entries."""
+    d = table(spark, sf, "discovered_urls")
+    by = d.withColumn("_e", entry).groupBy("source_id", F.to_date("first_discovered_at").alias("_d"), F.pmod(F.xxhash64("discovery_id"), F.lit(64)).alias("_k"))
+    return by.agg(F.collect_list("_e").alias("entries")).select("source_id", wrap(F.col("entries")).alias("body"))
+
+
+_LISTED = "SELECT source_id, normalized_url AS url, nullif(listing_title, '') AS title_hint, count(*) AS n FROM discovered_urls GROUP BY ALL"
+
+
+def _counted(items: DataFrame) -> DataFrame:
+    return items.groupBy("source_id", "url", text.presence(F.col("title_hint")).alias("title_hint")).agg(F.count("*").alias("n"))
+
+
+@query("graphql_items", "SELECT source_id, 'https://k.example/' || source_id || '/judul-' || discovery_id AS url, nullif(listing_title, '') AS title_hint, count(*) AS n FROM discovered_urls WHERE discovery_id % 2 = 0 GROUP BY ALL UNION ALL SELECT source_id, normalized_url, nullif(listing_title, ''), count(*) FROM discovered_urls WHERE discovery_id % 2 = 1 GROUP BY ALL")
+def graphql_items(spark: SparkSession, sf: str) -> DataFrame:
+    """Sightings as pages of a GraphQL feed, every second node without an address of its own, read back."""
+    own = F.when(F.col("discovery_id") % 2 == 1, F.col("normalized_url"))
+    node = F.struct(own.alias("url"), F.col("listing_title").alias("title"), F.lit("judul").alias("slug"), F.col("discovery_id").cast("string").alias("shortId"), F.struct(F.col("source_id").alias("username")).alias("account"))
+    pages = _json_pages(spark, sf, F.struct(node.alias("node")), lambda x: F.to_json(F.struct(F.struct(F.struct(x.alias("edges")).alias("findContentFeed")).alias("data"))))
+    return _counted(feeds.graphql_feed(pages, base_url="https://k.example"))
+
+
+@query("next_items", _LISTED)
+def next_items(spark: SparkSession, sf: str) -> DataFrame:
+    """Sightings as listings that pages embed in __NEXT_DATA__, read back."""
+    entry = F.struct(F.col("normalized_url").alias("url"), F.col("listing_title").alias("title"))
+    state = lambda x: F.to_json(F.struct(F.struct(F.struct(F.struct(x.alias("data")).alias("initialArticles")).alias("pageProps")).alias("props")))
+    pages = _json_pages(spark, sf, entry, lambda x: F.concat(F.lit('<html><script id="__NEXT_DATA__" type="application/json">'), F.replace(state(x), F.lit("</"), F.lit("<\\/")), F.lit("</script></html>")))
+    return _counted(feeds.next_listing(pages))
+
+
+@query("payload_items", _LISTED)
+def payload_items(spark: SparkSession, sf: str) -> DataFrame:
+    """Sightings as index-encoded payloads, all titles and addresses behind indexes, read back."""
+    entry = F.struct(F.col("normalized_url").alias("u"), F.coalesce("listing_title", F.lit("")).alias("t"))
+
+    def encoded(x: Column) -> Column:
+        n = F.size(x)
+        item = lambda i: F.format_string('{"url":%d,"title":%d}', F.lit(2) + n + 2 * i, F.lit(3) + n + 2 * i)
+        quoted = lambda c: F.expr("1") if c is None else F.regexp_extract(F.to_json(F.array(c)), "(?s)^\\[(.*)\\]$", 1)
+        values = F.flatten(F.transform(x, lambda e: F.array(quoted(e["u"]), quoted(e["t"]))))
+        refs = F.array_join(F.transform(F.sequence(F.lit(2), n + 1), lambda i: i.cast("string")), ",")
+        items = F.array_join(F.transform(F.sequence(F.lit(0), n - 1), item), ",")
+        return F.concat(F.lit('[{"latest":1},['), refs, F.lit("],"), items, F.lit(","), F.array_join(values, ","), F.lit("]"))
+
+    return _counted(feeds.payload_listing(_json_pages(spark, sf, entry, encoded)))
+
+
+@query("flat_sitemap", r"SELECT source_id, normalized_url AS url, count(*) AS n FROM discovered_urls WHERE regexp_matches(normalized_url, '/read/\d+/') GROUP BY ALL")
+def flat_sitemap(spark: SparkSession, sf: str) -> DataFrame:
+    """Sightings as flat sitemaps, those that look like articles read back."""
+    d = table(spark, sf, "discovered_urls")
+    pages = _gathered(d, F.concat(F.lit("<url><loc>"), F.col("normalized_url"), F.lit("</loc></url>")), "<urlset>", "</urlset>")
+    return feeds.flat_sitemap(pages, "/read/\\d+/").groupBy("source_id", "url").agg(F.count("*").alias("n"))
+
+
+@query("articles_json", "SELECT article_id, source_id, title, content_hash FROM articles")
+def articles_json(spark: SparkSession, sf: str) -> DataFrame:
+    """Articles written as JSON files and read back."""
+    at = f"{shared_dir(spark)}/json-{uuid.uuid4().hex}"
+    feeds.write_json(table(spark, sf, "articles").select("article_id", "source_id", "title", "content_hash"), at)
+    return spark.read.schema("article_id long, source_id string, title string, content_hash string").json(at)
+
+
+# Fields from other places than the article's own markup
+
+
+def _field_pages(articles: DataFrame) -> DataFrame:
+    """Each article as a page whose fields stand in the data layer, a breadcrumb, a list of images, a comment and a page state, by its id;
+    every third is marked as locked."""
+    k = F.col("article_id") % 3
+    crumbs = F.to_json(F.struct(F.lit("BreadcrumbList").alias("@type"), F.array(F.struct(F.lit(2).alias("position"), F.coalesce("category", F.lit("")).alias("name")), F.struct(F.lit(1).alias("position"), F.lit("Beranda").alias("name"))).alias("itemListElement")))
+    news = F.to_json(F.struct(F.lit("NewsArticle").alias("@type"), F.array(F.struct(F.coalesce("thumbnail_url", F.lit("")).alias("url"))).alias("image"), (k != 0).alias("isAccessibleForFree")))
+    layer = F.concat(F.lit("dataLayer.push("), F.to_json(F.struct(F.coalesce("author_name", F.lit("")).alias("penulis"))), F.lit(");"))
+    safe = lambda c: F.replace(c, F.lit("</"), F.lit("<\\/"))
+    body = F.array_join(F.transform(F.split("content_text", "\n"), lambda x: F.concat(F.lit("<p>"), _escape(x), F.lit("</p>"))), "")
+    page = F.concat(F.lit('<html><script type="application/ld+json">['), safe(news), F.lit(","), safe(crumbs), F.lit("]</script><script>"), safe(layer), F.lit("</script><h1>"), _escape(F.col("title")), F.lit('</h1><span class="date"><!-- '), F.coalesce(dates.iso(F.col("published_at")), F.lit("")), F.lit(" -->kemarin</span><article>"), body, F.lit("</article></html>"))
+    return articles.select(F.col("article_id").alias("page_id"), "source_id", page.alias("body"))
+
+
+_TEASER = r"(?i)\b(langganan|berlangganan|pelanggan|subscribe|subscribers?|subscription|log ?in|masuk)\b.{0,60}\b(lanjut\w*|selengkapnya|penuh|continue|full|unlock|read on)\b"
+
+
+@query("page_fields", rf"""WITH l AS (SELECT *, list_filter(list_transform(string_split(content_text, chr(10)), lambda x: {_LINE.format("x")}), lambda x: x <> '' AND NOT regexp_matches(x, '(?i)^\s*(baca juga|pilihan editor|cek berita dan artikel|ringkasan berita|simak (juga|video)|lihat juga)\b')) AS ps FROM articles),
+ t AS (SELECT *, article_id % 3 = 0 OR regexp_matches(right(array_to_string(ps, chr(10) || chr(10)), 400), '{_TEASER}') AS locked FROM l)
+ SELECT article_id AS page_id, nullif({_LINE.format("coalesce(category, '')")}, '') AS category, nullif({_LINE.format("coalesce(author_name, '')")}, '') AS author_name, nullif(trim(thumbnail_url), '') AS thumbnail_url, locked AS premium,
+ coalesce(epoch_us(published_at) // 1000, -1) AS published_ms, CASE WHEN locked THEN 'low' ELSE 'medium' END AS content_confidence FROM t WHERE len(ps) > 0""")
+def page_fields(spark: SparkSession, sf: str) -> DataFrame:
+    """Fields read back from breadcrumb, data layer, image list and comment, with the teaser mark and the confidence it leaves."""
+    p = pipeline.parse_pages(_field_pages(table(spark, sf, "articles"))).where("content_text is not null")
+    clean = lambda c: text.presence(text.collapse_space(F.coalesce(c, F.lit(""))))
+    return p.select("page_id", clean("category").alias("category"), clean("author_name").alias("author_name"), text.presence(F.trim("thumbnail_url")).alias("thumbnail_url"), "premium", F.coalesce(F.unix_millis(dates.any_date(F.col("published"))), F.lit(-1)).alias("published_ms"), F.col("provenance")["content_text"]["confidence"].alias("content_confidence"))
+
+
 @query("since_window", f"SELECT article_id, collected_at < {SINCE_SQL} AS older FROM articles")
 def since_window(spark: SparkSession, sf: str) -> DataFrame:
     """Whether each article is older than a cut-off."""
