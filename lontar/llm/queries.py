@@ -25,14 +25,22 @@ def p1_entities(spark: SparkSession, sf: str) -> DataFrame:
     return names.link_names(table(spark, sf, "articles")).select(F.col("name").alias("author_name"), "entity")
 
 
-@query("p5_found")
+_SETS = r"""WITH t AS (SELECT article_id AS id, regexp_extract_all(lower(coalesce(title, '') || chr(10) || coalesce(content_text, '')), '[\p{L}\p{N}_]+') AS w, len(regexp_extract_all(lower(content_text), '[\p{L}\p{N}_]+')) AS n FROM articles),
+ g AS (SELECT DISTINCT id, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) AS gram FROM t WHERE n >= 60),
+ k AS (SELECT id, count(*) AS size, md5(string_agg(gram, '|' ORDER BY gram)) AS h FROM g GROUP BY id),
+ shared AS (SELECT x.id AS a, y.id AS b, count(*) AS o FROM g x JOIN g y ON x.gram = y.gram AND x.id < y.id GROUP BY 1, 2),
+ near AS (SELECT a, b FROM shared JOIN k x ON x.id = a JOIN k y ON y.id = b WHERE o >= 0.5 * (x.size + y.size - o))"""
+
+
+@query("p5_found", _SETS + " SELECT a AS article_id_a, b AS article_id_b FROM near")
 def p5_found(spark: SparkSession, sf: str) -> DataFrame:
     """Pairs of articles that share at least half of the union of their three-word sequences."""
     members, links = neardup.near_duplicates(table(spark, sf, "articles"), **P5)
     return neardup.expand_pairs(cut(members), links).select(F.col("id_a").alias("article_id_a"), F.col("id_b").alias("article_id_b"))
 
 
-@query("p5_classes")
+@query("p5_classes", _SETS + """, r AS (SELECT id, min(id) OVER (PARTITION BY h) AS rep FROM k), l AS (SELECT DISTINCT least(x.rep, y.rep) AS p, greatest(x.rep, y.rep) AS q FROM near JOIN r x ON x.id = a JOIN r y ON y.id = b WHERE x.rep <> y.rep),
+ e AS (SELECT rep, count(*) AS links FROM (SELECT p AS rep FROM l UNION ALL SELECT q FROM l) GROUP BY rep) SELECT id AS article_id, r.rep AS class_id, coalesce(links, 0) AS links FROM r LEFT JOIN e USING (rep)""")
 def p5_classes(spark: SparkSession, sf: str) -> DataFrame:
     """Each eligible article with the class of equal sets it is in and the class's number of links."""
     members, links = neardup.near_duplicates(table(spark, sf, "articles"), **P5)
@@ -104,7 +112,24 @@ def p8_report(spark: SparkSession, sf: str) -> DataFrame:
     return _mixture(spark, sf)[1]
 
 
-@query("p6_found")
+def _key_sql(url: str) -> str:
+    """The page that a URL names, as ``incremental.page_key`` has it."""
+    u = f"regexp_replace(regexp_replace(lower(trim({url})), '#.*$', ''), '^([a-z][a-z0-9+.-]*:)?//', '')"
+    host = f"regexp_replace(regexp_replace(regexp_extract({u}, '^([^/?]*)', 1), ':\\d*$', ''), '^((www\\d?|m|mobile|wap|amp)\\.)+', '')"
+    path = f"regexp_replace(regexp_extract({u}, '^[^/?]*([^?]*)', 1), '(/+(amp|mobile|m))?/*$', '')"
+    chosen = f"list_sort(list_filter(string_split_regex(regexp_extract({u}, '\\?(.*)$', 1), '[&;]'), lambda p: p <> '' AND NOT regexp_matches(p, '{incremental.PASSING}')))"
+    return f"CASE WHEN {u} <> '' THEN {host} || {path} || CASE WHEN len({chosen}) > 0 THEN '?' || array_to_string({chosen}, '&') ELSE '' END END"
+
+
+_P6_SQL = _SETS + f""", a AS (SELECT article_id AS id, batch_no AS n, content_hash AS c, {_key_sql("canonical_url")} AS page FROM articles JOIN ingest_batches ON collected_at >= opened_at AND collected_at < closed_at),
+ u AS (SELECT discovery_id AS id, batch_no AS n, coalesce(source_id, chr(0)) AS s, {_key_sql("normalized_url")} AS page FROM discovered_urls JOIN ingest_batches ON first_discovered_at >= opened_at AND first_discovered_at < closed_at),
+ fc AS (SELECT c, min(n) AS n FROM a GROUP BY c), fp AS (SELECT page, min(n) AS n FROM a GROUP BY page), fu AS (SELECT s, page, min(n) AS n FROM u GROUP BY s, page)
+ SELECT 'article' AS record_kind, a.id AS record_id FROM a JOIN fc USING (c) WHERE fc.n < a.n UNION SELECT 'article', a.id FROM a JOIN fp USING (page) WHERE fp.n < a.n
+ UNION SELECT 'article', y.id FROM near JOIN a x ON x.id = near.a JOIN a y ON y.id = near.b WHERE x.n < y.n UNION SELECT 'article', x.id FROM near JOIN a x ON x.id = near.a JOIN a y ON y.id = near.b WHERE y.n < x.n
+ UNION SELECT 'url', u.id FROM u JOIN fu USING (s, page) WHERE fu.n < u.n"""
+
+
+@query("p6_found", _P6_SQL)
 def p6_found(spark: SparkSession, sf: str) -> DataFrame:
     """Articles and discovered URLs that repeat something of an earlier batch."""
     return incremental.repeats(table(spark, sf, "articles"), table(spark, sf, "discovered_urls"), table(spark, sf, "ingest_batches"), **P5)
