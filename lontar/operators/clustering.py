@@ -77,15 +77,16 @@ def weighed(docs: DataFrame) -> DataFrame:
     return docs.select("id", F.array_join("title_tokens", " ").alias("t")).join(maps, "id")
 
 
-def scored_pairs(docs: DataFrame, marks: DataFrame, c: Clustering | None = None) -> DataFrame:
-    """Candidate pairs with weighted Jaccard, accepted and score.
+def scored_pairs(docs: DataFrame, marks: DataFrame, c: Clustering | None = None, pairs: DataFrame | None = None) -> DataFrame:
+    """Candidate pairs (of ``pairs`` if given) with weighted Jaccard, accepted and score.
 
     Common weight is summed over the shared tokens in a fixed order, united weight follows from the totals. The subsequence ratio is
     computed only where it matters: for pairs accepted by their words and those with three shared anchors.
     """
     c = c or Clustering()
     w = cut(weighed(docs))
-    both = candidate_pairs(docs, marks, c.hours_apart).join(w.toDF("later", "tx", "mx", "sx"), "later").join(w.toDF("earlier", "ty", "my", "sy"), "earlier")
+    pairs = candidate_pairs(docs, marks, c.hours_apart) if pairs is None else pairs
+    both = pairs.join(w.toDF("later", "tx", "mx", "sx"), "later").join(w.toDF("earlier", "ty", "my", "sy"), "earlier")
     common = F.aggregate(F.array_intersect(F.map_keys("mx"), F.map_keys("my")), F.lit(0.0), lambda acc, t: acc + F.element_at(F.col("mx"), t))
     out = both.withColumn("common", common).withColumn("union", F.col("sx") + F.col("sy") - F.col("common"))
     out = out.withColumn("wj", F.round(F.when(F.col("union") > 0, F.col("common") / F.col("union")).otherwise(0.0), 12))
@@ -163,10 +164,12 @@ def cluster(articles: DataFrame, hours: int = 72, anchor: Column | None = None,
     """Events, assignments and one row of metrics of one window: article_count, candidate_count, accepted_edges, event_count."""
     docs = cut(prepared(windowed(articles, hours, anchor)))
     marks = cut(anchors(docs))
-    scored = cut(scored_pairs(docs, marks, c))
+    pairs = cut(candidate_pairs(docs, marks, (c or Clustering()).hours_apart))
+    # no rule accepts a pair with one anchor and no phrase: such pairs are only counted, without their words
+    scored = scored_pairs(docs, marks, c, pairs.where("shared_anchors >= 2 or shared_phrases >= 1"))
     assigned = cut(assign(docs, scored))
     found = cut(events(docs, marks, assigned))
     seeds = assigned.where("id = seed").select(F.col("id").alias("earlier"))
     one = lambda df, name: df.agg(F.count("*").alias(name)).withColumn("_k", F.lit(1))
-    metrics = one(docs, "article_count").join(one(scored.join(seeds, "earlier", "left_semi"), "candidate_count"), "_k").join(one(assigned.where("id != seed"), "accepted_edges"), "_k").join(one(found, "event_count"), "_k").drop("_k")
+    metrics = one(docs, "article_count").join(one(pairs.join(seeds, "earlier", "left_semi"), "candidate_count"), "_k").join(one(assigned.where("id != seed"), "accepted_edges"), "_k").join(one(found, "event_count"), "_k").drop("_k")
     return found, assigned, metrics
