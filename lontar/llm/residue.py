@@ -18,6 +18,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, functions as F
 
 from lontar.session import cut
@@ -203,16 +204,6 @@ def fit_seeds(phrases: list[str]) -> Model:
     return Model(tables, SEED_SLOTS, 0.5)
 
 
-_SEEDED: dict[tuple[str, ...], Model] = {}
-
-
-def seeded(phrases: tuple[str, ...]) -> Model:
-    """The model of example phrases, fitted once in each process."""
-    if phrases not in _SEEDED:
-        _SEEDED[phrases] = fit_seeds(list(phrases))
-    return _SEEDED[phrases]
-
-
 @dataclass
 class Phrases:
     """What the seeded models are fitted to."""
@@ -224,6 +215,21 @@ class Phrases:
     mentions: tuple[str, ...] = tuple(MENTIONS)
 
 
+@dataclass
+class Seeded:
+    """The models of the phrases, fitted by the driver; their size is fixed."""
+
+    template: Model
+    filler: Model
+    keys: Model
+    notices: Model
+    mentions: Model
+
+
+def seeded(phrases: Phrases) -> Seeded:
+    return Seeded(*(fit_seeds(list(x)) for x in (phrases.template, phrases.filler, phrases.keys, phrases.notices, phrases.mentions)))
+
+
 @dataclass
 class Prose:
     """Counts of natural prose, and two models of them: n-grams under a share of the records count as unseen. Words of template syntax
@@ -248,13 +254,13 @@ def _streams(titles: list, texts: list, most: int = 1_000_000) -> Iterator[tuple
         yield owners, np.concatenate(parts), np.cumsum([0] + [len(p) for p in parts])
 
 
-def count_prose(rows: DataFrame, phrases: Phrases, rare: tuple[float, float]) -> Prose:
+def count_prose(rows: DataFrame, shared: Broadcast, rare: tuple[float, float]) -> Prose:
     """The prose models: n-grams of all titles and texts but lines that the seeded models explain, less shares ``rare`` of the records, but one at least."""
     sizes = [1 << s for s in SLOTS]
     edges = np.cumsum([0, *sizes])
 
     def local(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        models = [seeded(phrases.filler), seeded(phrases.notices), seeded(phrases.keys)]
+        models = [shared.value.filler, shared.value.notices, shared.value.keys]
         total = np.zeros(edges[-1], np.int64)
         records = 0
         for b in batches:
@@ -312,13 +318,13 @@ _SIGNS = re.compile(rb"[{}$%<>\[\]@#|_\x02]|undefined|null|none|xxx|todo|tbd|:\w
 WHOLE_LINE = 0.75
 
 
-def windows(c: np.ndarray, prose: Prose, phrases: Phrases, least: tuple[float, float, float]) -> list[tuple[int, int, int]]:
+def windows(c: np.ndarray, prose: Prose, seeds: Seeded, least: tuple[float, float, float]) -> list[tuple[int, int, int]]:
     """(kind, from, to) of residue windows in a stream of codes: kind 0 template, 1 filler, 2 notice."""
     seed_slots, slots = _slots(c, SEED_SLOTS), _slots(c, SLOTS)
     strict, loose = prose.strict.log(slots), prose.loose.log(slots)
     out = []
-    for kind, seeds, p, order, need in ((0, phrases.template, strict, 3, least[0]), (1, phrases.filler, loose, 5, least[1]), (1, phrases.keys, loose, 3, 2 * least[1]), (2, phrases.notices, loose, 3, least[2])):
-        s = _peaks(seeded(seeds).ratio(seed_slots, p, order), c == 10)
+    for kind, model, p, order, need in ((0, seeds.template, strict, 3, least[0]), (1, seeds.filler, loose, 5, least[1]), (1, seeds.keys, loose, 3, 2 * least[1]), (2, seeds.notices, loose, 3, least[2])):
+        s = _peaks(model.ratio(seed_slots, p, order), c == 10)
         over = s >= need
         if kind == 2:  # a line that is a notice from its begin to its end needs less
             feeds = np.flatnonzero(c == 10)
@@ -349,7 +355,7 @@ _NAMED = re.compile((r"\b(" + "|".join(_THINGS) + r")( (yang|berupa|called))? ?[
 _POINTED = re.compile(rb"^[^.!?\n]{0,8}?(^| |\")(itu|ini|tersebut|tadi|there|itself)\b")
 
 
-def is_mention(c: np.ndarray, kind: int, lo: int, hi: int, prose: Prose, phrases: Phrases, least: float) -> bool:
+def is_mention(c: np.ndarray, kind: int, lo: int, hi: int, prose: Prose, seeds: Seeded, least: float) -> bool:
     """Whether the sentence around a window writes about or quotes what is in it.
 
     It does where a noun of language comes right before it and a demonstrative after it. Filler and notices are quoted where quotation marks enclose them within a longer sentence, and are a headline's theme where a colon
@@ -366,9 +372,9 @@ def is_mention(c: np.ndarray, kind: int, lo: int, hi: int, prose: Prose, phrases
         if before.count(b'"') % 2 and b'"' in after and len(before.split()) + len(after.split()) >= 5:
             return True
         theme = c[a:b].tobytes().partition(b": ")
-        if theme[2] and a + len(theme[0]) >= hi - 2 and len(theme[2].split()) >= 3 and float(_peaks(seeded(phrases.notices).ratio(_slots(c[a + len(theme[0]) + 2 : b], SEED_SLOTS), prose.loose.log(_slots(c[a + len(theme[0]) + 2 : b], SLOTS)), 3), np.zeros(b - a - len(theme[0]) - 2, bool)).max(initial=0.0)) < 20:
+        if theme[2] and a + len(theme[0]) >= hi - 2 and len(theme[2].split()) >= 3 and float(_peaks(seeds.notices.ratio(_slots(c[a + len(theme[0]) + 2 : b], SEED_SLOTS), prose.loose.log(_slots(c[a + len(theme[0]) + 2 : b], SLOTS)), 3), np.zeros(b - a - len(theme[0]) - 2, bool)).max(initial=0.0)) < 20:
             return True
-    ratio = seeded(phrases.mentions).ratio(_slots(x, SEED_SLOTS), prose.strict.log(_slots(x, SLOTS)), 5)
+    ratio = seeds.mentions.ratio(_slots(x, SEED_SLOTS), prose.strict.log(_slots(x, SLOTS)), 5)
     return float(_peaks(ratio[3:], np.zeros(len(x) - 3, bool)).max(initial=0.0)) >= least
 
 
@@ -382,7 +388,9 @@ def find_residue(records: DataFrame, id_col: str = "article_id", title_col: str
     phrases = phrases or Phrases()
     kind = records.schema[id_col].dataType.simpleString()
     rows = records.select(F.col(id_col).cast("string").alias("id"), F.col(title_col).cast("string").alias("title"), F.col(text_col).cast("string").alias("text"))
-    prose = rows.sparkSession.sparkContext.broadcast(count_prose(rows, phrases, rare))
+    sc = rows.sparkSession.sparkContext
+    seeds = sc.broadcast(seeded(phrases))
+    prose = sc.broadcast(count_prose(rows, seeds, rare))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = prose.value
@@ -391,8 +399,8 @@ def find_residue(records: DataFrame, id_col: str = "article_id", title_col: str
             for owners, c, begin in _streams(b["title"].tolist(), b["text"].tolist()):
                 np.add.at(size, owners, np.diff(begin))
                 mark = np.zeros(len(c), bool)
-                for k, lo, hi in windows(c, model, phrases, (template, filler, notice)):
-                    if not is_mention(c, k, lo, hi, model, phrases, mention):
+                for k, lo, hi in windows(c, model, seeds.value, (template, filler, notice)):
+                    if not is_mention(c, k, lo, hi, model, seeds.value, mention):
                         mark[lo:hi] = True
                         kinds[owners[int(np.searchsorted(begin, lo, side="right")) - 1]] |= 1 << k
                 np.add.at(marked, owners, np.add.reduceat(mark.astype(np.int64), begin[:-1]))
