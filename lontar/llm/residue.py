@@ -329,9 +329,8 @@ def windows(c: np.ndarray, prose: Prose, seeds: Seeded, least: tuple[float, floa
         if kind == 2:  # a line that is a notice from its begin to its end needs less
             feeds = np.flatnonzero(c == 10)
             rose = np.maximum.accumulate(np.where(s <= 0, np.arange(len(s)), -1))
-            for lo, hi in zip(feeds[:-1], feeds[1:]):
-                if s[hi - 1] >= WHOLE_LINE * need and rose[hi - 1] <= lo + 1:
-                    over[hi - 1] = True
+            ends = feeds[1:] - 1
+            over[ends[(s[ends] >= WHOLE_LINE * need) & (rose[ends] <= feeds[:-1] + 1)]] = True
         edge = np.flatnonzero(np.diff(np.r_[False, over, False].astype(np.int8)))
         for lo, hi in zip(edge[::2], edge[1::2]):
             zero = np.flatnonzero(s[max(0, lo - 400) : lo] <= 0)
