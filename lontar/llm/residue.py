@@ -290,7 +290,9 @@ def count_prose(rows: DataFrame, shared: Broadcast, rare: tuple[float, float]) -
 
     kind = "chunk int, data binary, records long"
     chunks = int(-(-edges[-1] // CHUNK))
-    summed = rows.mapInPandas(local, kind).repartitionById(chunks, F.col("chunk")).mapInPandas(add, kind).toPandas()
+    # a table for each task, not for each split of a large corpus
+    few = rows.coalesce(4 * rows.sparkSession.sparkContext.defaultParallelism)
+    summed = few.mapInPandas(local, kind).repartitionById(chunks, F.col("chunk")).mapInPandas(add, kind).toPandas()
     whole = np.zeros(int(chunks) * CHUNK, np.float32)
     for k, d in zip(summed["chunk"], summed["data"]):
         part = np.frombuffer(d, np.int64)
