@@ -11,8 +11,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lontar.config import Clustering
-from lontar.functions.lcs import lcs_ratio
 from lontar.functions.text import GENERIC_ANCHORS, bigrams, tokens
+from lontar.operators.pairblocks import block_pairs
 from lontar.session import cut
 
 
@@ -70,33 +70,24 @@ def candidate_pairs(docs: DataFrame, marks: DataFrame, hours_apart: int = 36) ->
     return pairs.where("shared_anchors > 0")
 
 
-def weighed(docs: DataFrame) -> DataFrame:
-    """(id, m, total, t): each document's token weights, 1 / log2(df + 1), their sum, and its title tokens as one string."""
-    weight = document_frequency(docs).select("token", (F.lit(1.0) / F.log2(F.col("df") + 1.0)).alias("w"))
-    maps = docs.select("id", F.explode("all_tokens").alias("token")).join(weight, "token").groupBy("id").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("token", "w")))).alias("m"), F.sum("w").alias("total"))
-    return docs.select("id", F.array_join("title_tokens", " ").alias("t")).join(maps, "id")
+def _judged(pairs: DataFrame, c: Clustering) -> DataFrame:
+    """Pairs with by_words, accepted and score."""
+    by_words = ((F.col("shared_anchors") >= 2) & (F.col("wj") >= c.jaccard)) | ((F.col("shared_phrases") >= 1) & (F.col("wj") >= c.phrase_jaccard))
+    out = pairs.withColumn("lcs", F.coalesce(F.nanvl("lcs", F.lit(0.0)), F.lit(0.0))).withColumn("by_words", by_words)
+    accepted = F.col("by_words") | ((F.col("shared_anchors") >= 3) & (F.col("lcs") >= c.sequence))
+    score = F.least(F.lit(1.0), 0.55 * F.col("wj") + 0.25 * F.col("lcs") + 0.20 * F.least(F.col("shared_anchors"), F.lit(5)) / 5)
+    return out.withColumn("accepted", accepted).withColumn("score", F.when(F.col("accepted"), F.round(score, 10)))
 
 
-def scored_pairs(docs: DataFrame, marks: DataFrame, c: Clustering | None = None, pairs: DataFrame | None = None) -> DataFrame:
-    """Candidate pairs (of ``pairs`` if given) with weighted Jaccard, accepted and score.
+def scored_pairs(docs: DataFrame, marks: DataFrame, c: Clustering | None = None, ratio: bool = True) -> DataFrame:
+    """Candidate pairs with weighted Jaccard, accepted and score, scored in pairs of blocks.
 
     Common weight is summed over the shared tokens in a fixed order, united weight follows from the totals. The subsequence ratio is
-    computed only where it matters: for pairs accepted by their words and those with three shared anchors.
+    computed, with ``ratio``, only where it matters: for pairs accepted by their words and those with three shared anchors; it is 0
+    elsewhere, and without it ``accepted`` and ``score`` mean nothing.
     """
     c = c or Clustering()
-    w = cut(weighed(docs))
-    pairs = candidate_pairs(docs, marks, c.hours_apart) if pairs is None else pairs
-    both = pairs.join(w.toDF("later", "tx", "mx", "sx"), "later").join(w.toDF("earlier", "ty", "my", "sy"), "earlier")
-    common = F.aggregate(F.array_intersect(F.map_keys("mx"), F.map_keys("my")), F.lit(0.0), lambda acc, t: acc + F.element_at(F.col("mx"), t))
-    out = both.withColumn("common", common).withColumn("union", F.col("sx") + F.col("sy") - F.col("common"))
-    out = out.withColumn("wj", F.round(F.when(F.col("union") > 0, F.col("common") / F.col("union")).otherwise(0.0), 12))
-    by_words = ((F.col("shared_anchors") >= 2) & (F.col("wj") >= c.jaccard)) | ((F.col("shared_phrases") >= 1) & (F.col("wj") >= c.phrase_jaccard))
-    out = out.withColumn("by_words", by_words).withColumn("near", F.col("by_words") | (F.col("shared_anchors") >= 3))
-    out = out.select("later", "earlier", "shared_anchors", "shared_phrases", "first_pos", "wj", "by_words", F.when(F.col("near"), F.col("tx")).alias("tx"), F.when(F.col("near"), F.col("ty")).alias("ty"))
-    out = out.withColumn("lcs", lcs_ratio("tx", "ty"))
-    accepted = F.coalesce(F.col("by_words") | ((F.col("shared_anchors") >= 3) & (F.col("lcs") >= c.sequence)), F.lit(False))
-    score = F.least(F.lit(1.0), 0.55 * F.col("wj") + 0.25 * F.col("lcs") + 0.20 * F.least(F.col("shared_anchors"), F.lit(5)) / 5)
-    return out.withColumn("accepted", accepted).withColumn("score", F.when(F.col("accepted"), F.round(score, 10))).drop("tx", "ty")
+    return _judged(block_pairs(docs, marks, c, ratio=ratio), c)
 
 
 def assign(docs: DataFrame, scored: DataFrame, small: int = 500_000) -> DataFrame:
@@ -164,12 +155,13 @@ def cluster(articles: DataFrame, hours: int = 72, anchor: Column | None = None,
     """Events, assignments and one row of metrics of one window: article_count, candidate_count, accepted_edges, event_count."""
     docs = cut(prepared(windowed(articles, hours, anchor)))
     marks = cut(anchors(docs))
-    pairs = cut(candidate_pairs(docs, marks, (c or Clustering()).hours_apart))
-    # no rule accepts a pair with one anchor and no phrase: such pairs are only counted, without their words
-    scored = scored_pairs(docs, marks, c, pairs.where("shared_anchors >= 2 or shared_phrases >= 1"))
+    # only pairs that a rule accepts leave their task; the others are counted there by their earlier article
+    kept = cut(block_pairs(docs, marks, c or Clustering(), accepted=True))
+    scored = _judged(kept.where("later is not null"), c or Clustering())
     assigned = cut(assign(docs, scored))
     found = cut(events(docs, marks, assigned))
     seeds = assigned.where("id = seed").select(F.col("id").alias("earlier"))
     one = lambda df, name: df.agg(F.count("*").alias(name)).withColumn("_k", F.lit(1))
-    metrics = one(docs, "article_count").join(one(pairs.join(seeds, "earlier", "left_semi"), "candidate_count"), "_k").join(one(assigned.where("id != seed"), "accepted_edges"), "_k").join(one(found, "event_count"), "_k").drop("_k")
+    candidates = kept.where("later is null").join(seeds, "earlier", "left_semi").agg(F.coalesce(F.sum("shared_anchors"), F.lit(0)).alias("candidate_count")).withColumn("_k", F.lit(1))
+    metrics = one(docs, "article_count").join(candidates, "_k").join(one(assigned.where("id != seed"), "accepted_edges"), "_k").join(one(found, "event_count"), "_k").drop("_k")
     return found, assigned, metrics
