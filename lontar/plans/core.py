@@ -376,7 +376,7 @@ def candidate_pairs(spark: SparkSession, sf: str) -> DataFrame:
  SELECT later, earlier, round(common / (a1.s + a2.s - common), 6) AS wj FROM c JOIN tot a1 ON a1.id = later JOIN tot a2 ON a2.id = earlier""")
 def weighted_jaccard(spark: SparkSession, sf: str) -> DataFrame:
     docs = clustering.prepared(clustering.windowed(table(spark, sf, "articles"), 72))
-    return clustering.scored_pairs(docs, clustering.anchors(docs)).select("later", "earlier", F.round("wj", 6).alias("wj"))
+    return clustering.scored_pairs(docs, clustering.anchors(docs), ratio=False).select("later", "earlier", F.round("wj", 6).alias("wj"))
 
 
 @query("phrase_df", f"""WITH w AS (SELECT * FROM articles WHERE collected_at >= (SELECT max(collected_at) FROM articles) - INTERVAL 72 HOUR), d AS (SELECT article_id AS id, {_TOK.format("coalesce(title,'')")} AS t0 FROM w),
@@ -401,7 +401,7 @@ _BY_WORDS = _ANCHORS_SQL.replace("WITH w AS", "WITH w AS", 1) + f""", o AS (SELE
 def event_pairs_by_words(spark: SparkSession, sf: str) -> DataFrame:
     """Pairs of the trailing 72 hours that are accepted by their words and phrases alone."""
     docs = clustering.prepared(clustering.windowed(table(spark, sf, "articles"), 72))
-    return clustering.scored_pairs(docs, clustering.anchors(docs)).where("by_words").select("later", "earlier", "shared_anchors", "shared_phrases", F.round("wj", 6).alias("wj"))
+    return clustering.scored_pairs(docs, clustering.anchors(docs), ratio=False).where("by_words").select("later", "earlier", "shared_anchors", "shared_phrases", F.round("wj", 6).alias("wj"))
 
 
 @query("event_pairs", eventsql.pairs(72) + " SELECT later, earlier, a AS shared_anchors, p AS shared_phrases, round(wj, 6) AS wj, accepted, round(score, 6) AS score FROM pairs")
