@@ -2,7 +2,8 @@
 
 A pair's score depends only on its two articles and on document frequencies, so the greedy pass over articles in time order equals:
 accepted pairs (candidate pairs that share an anchor within the hours apart, scored), then the lexicographically first maximal
-independent set of the accepted pairs as seeds, found in rounds of joins, then every other article with its best seed.
+independent set of the accepted pairs as seeds, then every other article with its best seed. ``assign`` finds that from listed pairs,
+``cluster`` block by block of articles in order (``operators/greedy.py``), without listing any.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lontar.config import Clustering
 from lontar.functions.text import GENERIC_ANCHORS, bigrams, tokens
+from lontar.operators.greedy import seeded
 from lontar.operators.pairblocks import block_pairs
 from lontar.session import cut
 
@@ -155,13 +157,8 @@ def cluster(articles: DataFrame, hours: int = 72, anchor: Column | None = None,
     """Events, assignments and one row of metrics of one window: article_count, candidate_count, accepted_edges, event_count."""
     docs = cut(prepared(windowed(articles, hours, anchor)))
     marks = cut(anchors(docs))
-    # only pairs that a rule accepts leave their task; the others are counted there by their earlier article
-    kept = cut(block_pairs(docs, marks, c or Clustering(), accepted=True))
-    scored = _judged(kept.where("later is not null"), c or Clustering())
-    assigned = cut(assign(docs, scored))
+    assigned, candidates = seeded(docs, marks, c or Clustering())
     found = cut(events(docs, marks, assigned))
-    seeds = assigned.where("id = seed").select(F.col("id").alias("earlier"))
     one = lambda df, name: df.agg(F.count("*").alias(name)).withColumn("_k", F.lit(1))
-    candidates = kept.where("later is null").join(seeds, "earlier", "left_semi").agg(F.coalesce(F.sum("shared_anchors"), F.lit(0)).alias("candidate_count")).withColumn("_k", F.lit(1))
-    metrics = one(docs, "article_count").join(candidates, "_k").join(one(assigned.where("id != seed"), "accepted_edges"), "_k").join(one(found, "event_count"), "_k").drop("_k")
+    metrics = one(docs, "article_count").withColumn("candidate_count", F.lit(candidates).cast("long")).join(one(assigned.where("id != seed"), "accepted_edges"), "_k").join(one(found, "event_count"), "_k").drop("_k")
     return found, assigned, metrics

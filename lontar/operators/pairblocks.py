@@ -124,12 +124,20 @@ def meet(later: dict, earlier: dict, c: Clustering, accepted: bool) -> Iterator[
         yield x, y, a[y], p[y], first[y], wj, near, cand
 
 
-def _blobs(docs: DataFrame, marks: DataFrame, spans: list[tuple[int, int, int, int]]) -> DataFrame:
-    """(block, blob): the packed blocks of these spans."""
-    edge = F.floor(F.unix_millis("at") / 3_600_000)
+def placed_rows(docs: DataFrame) -> DataFrame:
+    """(id, ms, sid, t, tokens): what a block holds of an article besides its entries."""
+    return docs.select("id", F.unix_millis("at").alias("ms"), F.col("ord.id").alias("sid"), F.array_join("title_tokens", " ").alias("t"), F.size("all_tokens").alias("tokens"))
+
+
+def _in_spans(docs: DataFrame, spans: list[tuple[int, int, int, int]]) -> DataFrame:
+    """Rows of articles with their block of these spans."""
+    edge = F.floor(F.col("ms") / 3_600_000)
     first = F.filter(F.array(*[F.struct(F.lit(lo).cast("long").alias("h"), F.lit(b).alias("b"), F.lit(m).alias("m")) for b, m, lo, _ in spans]), lambda s: s["h"] <= edge)
-    placed = docs.withColumn("_s", F.element_at(first, -1)).select("id", (F.col("_s.b") + F.pmod(F.xxhash64("id"), F.col("_s.m"))).cast("int").alias("block"), F.unix_millis("at").alias("ms"), F.col("ord.id").alias("sid"), F.array_join("title_tokens", " ").alias("t"), F.size("all_tokens").alias("tokens"))
-    placed = cut(placed)
+    return cut(placed_rows(docs).withColumn("_s", F.element_at(first, -1)).withColumn("block", (F.col("_s.b") + F.pmod(F.xxhash64("id"), F.col("_s.m"))).cast("int")).drop("_s"))
+
+
+def packed(docs: DataFrame, marks: DataFrame, placed: DataFrame) -> DataFrame:
+    """(block, blob): the packed blocks of articles in ``placed``, which has their rows and ``block``."""
     entries = _entries(docs, marks).toDF("owner", "word", "pos", "w", "anchor").join(placed.select(F.col("id").alias("owner"), F.col("block").alias("part")), "owner")
 
     def pack(k: tuple, d: pd.DataFrame, e: pd.DataFrame) -> pd.DataFrame:
@@ -138,16 +146,16 @@ def _blobs(docs: DataFrame, marks: DataFrame, spans: list[tuple[int, int, int, i
     return placed.groupBy("block").cogroup(entries.groupBy("part")).applyInPandas(pack, "block int, blob binary")
 
 
-def block_pairs(docs: DataFrame, marks: DataFrame, c: Clustering, accepted: bool = False, ratio: bool = True) -> DataFrame:
+def block_pairs(docs: DataFrame, marks: DataFrame, c: Clustering, ratio: bool = True) -> DataFrame:
     """(later, earlier, shared_anchors, shared_phrases, first_pos, wj, lcs) of all candidate pairs; ``lcs`` is computed, with ``ratio``, of pairs by words
-    or with three anchors. If ``accepted``, of those only that are, and rows without ``later`` that have in ``shared_anchors`` an earlier article's number of candidate pairs in a task."""
+    or with three anchors."""
     spark = docs.sparkSession
     spans = _spans(docs)
     kind = docs.schema["id"].dataType.simpleString()
     out = f"later {kind}, earlier {kind}, shared_anchors long, shared_phrases long, first_pos int, wj double, lcs double"
     if not spans:
         return spark.createDataFrame([], out)
-    blobs = _blobs(docs, marks, spans)
+    blobs = packed(docs, marks, _in_spans(docs, spans))
     reach = c.hours_apart + 1
     meets = [(i, j) for b, m, lo, _ in spans for b2, m2, lo2, hi2 in spans if lo2 <= lo and hi2 >= lo - reach for i in range(b, b + m) for j in range(b2, b2 + m2)]
     ends = [(k, b, side) for k, (i, j) in enumerate(meets) for side, b in ((0, i), (1, j))]
@@ -160,41 +168,42 @@ def block_pairs(docs: DataFrame, marks: DataFrame, c: Clustering, accepted: bool
                 wait.setdefault(k, {})[side] = blob
                 if len(wait[k]) == 2:
                     both = wait.pop(k)
-                    yield from _scored(pickle.loads(both[0]), pickle.loads(both[1]), c, accepted, ratio)
+                    yield from _scored(pickle.loads(both[0]), pickle.loads(both[1]), c, ratio)
 
     return blobs.join(roles, "block").select("k", "side", "blob").repartitionById(len(meets), F.col("k")).mapInPandas(score, out)
 
 
-def _scored(later: dict, earlier: dict, c: Clustering, accepted: bool, ratio: bool) -> Iterator[pd.DataFrame]:
-    names = ["later", "earlier", "shared_anchors", "shared_phrases", "first_pos", "wj", "lcs"]
-    many, held, rows = np.zeros(len(earlier["id"]), np.int64), 0, []
-
+def joint(rows: list[tuple], titles: tuple | None, c: Clustering, accepted: bool) -> tuple[np.ndarray, ...]:
+    """x, y, anchors, phrases, first_pos, wj, lcs of rows of ``meet``, of ``accepted`` pairs only if that is asked for; ``titles``: both
+    blocks' coded titles, without which there is no lcs."""
+    x = np.repeat([r[0] for r in rows], [len(r[1]) for r in rows])
+    y, a, p, first, wj, near = (np.concatenate([r[k] for r in rows]) for k in range(1, 7))
+    lcs = np.full(len(y), np.nan)
+    if titles:
+        at = np.flatnonzero(near)
+        i, j = x[at], y[at]
+        size = titles[0][1][i] + titles[1][1][j]
+        lcs[at] = np.where(size > 0, 2 * lcs_lengths(*titles, i, j) / np.maximum(size, 1), 1.0)
+    out = x, y, a, p, first, wj, lcs
+    if accepted:
+        keep = ((a >= 2) & (wj >= c.jaccard)) | ((p >= 1) & (wj >= c.phrase_jaccard)) | ((a >= 3) & (lcs >= c.sequence))
+        out = tuple(z[keep] for z in out)
+    return out
+
+
+def _scored(later: dict, earlier: dict, c: Clustering, ratio: bool) -> Iterator[pd.DataFrame]:
     titles = (coded(later["title"]), coded(earlier["title"])) if ratio else None
+    held, rows = 0, []
 
     def frame() -> pd.DataFrame:
-        x = np.repeat([r[0] for r in rows], [len(r[1]) for r in rows])
-        y, a, p, first, wj, near = (np.concatenate([r[k] for r in rows]) for k in range(1, 7))
-        lcs = np.full(len(y), np.nan)
-        if ratio:
-            at = np.flatnonzero(near)
-            i, j = x[at], y[at]
-            size = titles[0][1][i] + titles[1][1][j]
-            lcs[at] = np.where(size > 0, 2 * lcs_lengths(*titles, i, j) / np.maximum(size, 1), 1.0)
-        if accepted:
-            keep = ((a >= 2) & (wj >= c.jaccard)) | ((p >= 1) & (wj >= c.phrase_jaccard)) | ((a >= 3) & (lcs >= c.sequence))
-            x, y, a, p, first, wj, lcs = (z[keep] for z in (x, y, a, p, first, wj, lcs))
-        return pd.DataFrame(dict(zip(names, [later["id"][x], earlier["id"][y], a, p, first, wj, lcs])))
-
-    for r in meet(later, earlier, c, accepted):
-        many[r[7]] += 1
-        if len(r[1]):
-            rows.append(r)
-            held += len(r[1])
+        x, y, *rest = joint(rows, titles, c, False)
+        return pd.DataFrame(dict(zip(["later", "earlier", "shared_anchors", "shared_phrases", "first_pos", "wj", "lcs"], [later["id"][x], earlier["id"][y], *rest])))
+
+    for r in meet(later, earlier, c, False):
+        rows.append(r)
+        held += len(r[1])
         if held > ROWS_OUT:
             yield frame()
             held, rows = 0, []
     if rows:
         yield frame()
-    if accepted and many.any():
-        at = np.flatnonzero(many)
-        yield pd.DataFrame({"later": pd.Series([None] * len(at), dtype=object), "earlier": earlier["id"][at], "shared_anchors": many[at], "shared_phrases": 0, "first_pos": 0, "wj": 0.0, "lcs": 0.0})
