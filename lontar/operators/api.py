@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from lontar.config import limit as page_size, page as page_number, window
 from lontar.functions.text import presence
+from lontar.session import small_side
 
 #: DTO key by stored column; others keep their name.
 DTO_ALIASES = {"content_text": "content", "thumbnail_url": "featured_image"}
@@ -53,16 +54,18 @@ def latest_run(runs: DataFrame, window_hours: int | str | None = None) -> DataFr
 def issues(run: DataFrame, events: DataFrame, members: DataFrame, articles: DataFrame, sources: DataFrame, limit: int | str | None = 50) -> DataFrame:
     """The run's first ``limit`` events with their articles nested, newest first, events by media and article counts.
 
-    ``run`` is one row. Events are cut before articles are joined, so only articles of events that are shown are read on.
+    ``run`` is one row. Events are cut before articles are joined, so only articles of events that are shown are read on; their ids go to
+    the articles, of which none is exchanged unless the shown ones are too many for that.
     """
     size = page_size(limit)
     own = events.join(F.broadcast(run.select("run_id")), "run_id")
     first = own.orderBy(F.desc("media_count"), F.desc("article_count"), "event_id").limit(size)
     rank = F.row_number().over(Window.partitionBy("run_id").orderBy(F.desc("media_count"), F.desc("article_count"), "event_id"))
     first = F.broadcast(first.withColumn("position", rank))
+    shown = small_side(first.join(members.select("run_id", "event_id", "article_id", "match_score"), ["run_id", "event_id"]))
     nested = (
-        first.join(members.select("run_id", "event_id", "article_id", "match_score"), ["run_id", "event_id"])
-        .join(articles.select("article_id", "source_id", "title", "canonical_url", F.coalesce("published_at", "collected_at").alias("shown_at")), "article_id")
+        articles.select("article_id", "source_id", "title", "canonical_url", F.coalesce("published_at", "collected_at").alias("shown_at"))
+        .join(shown, "article_id")
         .join(sources.select("source_id", "display_name"), "source_id")
         .groupBy("run_id", "event_id", "representative_title", "media_count", "article_count", "coverage_score", "position")
         .agg(F.sort_array(F.collect_list(F.struct("shown_at", "article_id", "source_id", "display_name", "title", "canonical_url", "match_score")), asc=False).alias("articles"))

@@ -15,7 +15,10 @@ from lontar.config import Clustering
 from lontar.functions.text import GENERIC_ANCHORS, bigrams, tokens
 from lontar.operators.greedy import seeded
 from lontar.operators.pairblocks import block_pairs
-from lontar.session import cut
+from lontar.session import cut, small_side
+
+#: Rows of ids that are broadcast at most, each of a few bytes.
+MEMBERS = 500_000
 
 
 def windowed(articles: DataFrame, hours: int, anchor: Column | None = None) -> DataFrame:
@@ -138,15 +141,19 @@ def coverage_score(media: Column, n: Column) -> Column:
 def events(docs: DataFrame, marks: DataFrame, assigned: DataFrame) -> DataFrame:
     """One row for each cluster of two sources and more: representative title, up to twelve anchors, counts, span, coverage; in report order.
 
-    The representative is the member whose title tokens recur most in the others' titles, summed from token counts of the event.
+    The representative is the member whose title tokens recur most in the others' titles, summed from token counts of the event. Ids go to
+    where articles and anchors are, as far as they fit a broadcast; each event's words then lie together and are exchanged once.
     """
-    members = assigned.join(docs.select("id", "source_id", "title", "at", "ord", "title_tokens"), "id")
-    roll = members.groupBy("seed").agg(F.count("*").alias("article_count"), F.count_distinct("source_id").alias("media_count"), F.min("at").alias("first_seen_at"), F.max("at").alias("last_seen_at")).where("media_count >= 2")
-    words = members.join(roll.select("seed"), "seed").select("seed", "id", F.explode("title_tokens").alias("token"))
-    counted = words.groupBy("seed", "token").agg((F.count("*") - 1).alias("others"))
-    central = words.join(counted, ["seed", "token"]).groupBy("seed", "id").agg(F.sum("others").alias("c"))
-    named = members.join(central, ["seed", "id"], "left").groupBy("seed").agg(F.min_by("title", F.struct((-F.coalesce("c", F.lit(0))).alias("c"), "ord")).alias("representative_title"))
-    tokens_of = marks.where("kind = 'a'").join(assigned.select("id", "seed"), "id").join(docs.select("id", "ord"), "id").groupBy("seed", "token").agg(F.min(F.struct("ord", "pos")).alias("first"))
+    placed = docs.select("id", "source_id", "at").join(small_side(assigned.select("id", "seed"), MEMBERS), "id")
+    roll = small_side(placed.groupBy("seed").agg(F.count("*").alias("article_count"), F.count_distinct("source_id").alias("media_count"), F.min("at").alias("first_seen_at"), F.max("at").alias("last_seen_at")).where("media_count >= 2"))
+    members = small_side(placed.join(roll.select("seed"), "seed").select("id", "seed", "at"), MEMBERS)
+    order = (F.col("at"), F.col("id").cast("string").alias("sid"))
+    words = docs.select("id", "title_tokens").join(members, "id").repartition("seed").select("seed", "id", "at", F.explode_outer("title_tokens").alias("token"))
+    others = F.when(F.col("token").isNotNull(), F.count("*").over(Window.partitionBy("seed", "token")) - 1).otherwise(0)
+    central = words.withColumn("others", others).groupBy("seed", "id").agg(F.sum("others").alias("c"), F.first("at").alias("at"))
+    chosen = small_side(central.groupBy("seed").agg(F.min_by("id", F.struct((-F.col("c")).alias("c"), *order)).alias("id")))
+    named = docs.select("id", F.col("title").alias("representative_title")).join(chosen, "id").drop("id")
+    tokens_of = marks.where("kind = 'a'").select("id", "token", "pos").join(members, "id").groupBy("seed", "token").agg(F.min(F.struct(*order, "pos")).alias("first"))
     place = F.row_number().over(Window.partitionBy("seed").orderBy("first", "token"))
     top = tokens_of.withColumn("r", place).where("r <= 12").groupBy("seed").agg(F.transform(F.array_sort(F.collect_list(F.struct("r", "token"))), lambda s: s["token"]).alias("anchor_terms"))
     out = roll.join(named, "seed").join(top, "seed", "left").withColumn("coverage_score", coverage_score(F.col("media_count"), F.col("article_count")))
