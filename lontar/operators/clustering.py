@@ -14,12 +14,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from lontar.config import Clustering
 from lontar.functions.text import GENERIC_ANCHORS, bigrams, tokens
 from lontar.operators.greedy import seeded
-from lontar.operators.pairblocks import block_pairs
+from lontar.operators.pairblocks import MEMBERS, block_pairs
 from lontar.session import cut, small_side
 
-#: Rows of ids that are broadcast at most, each of a few bytes.
-MEMBERS = 500_000
-
 
 def windowed(articles: DataFrame, hours: int, anchor: Column | None = None) -> DataFrame:
     """Articles collected from ``hours`` before the anchor on, the latest collection by default; no upper bound."""

@@ -17,11 +17,13 @@ from pyspark.sql import DataFrame, functions as F
 
 from lontar.config import Clustering
 from lontar.functions.lcs import coded, lcs_lengths
-from lontar.session import cut
+from lontar.session import cut, small_side
 
 #: Articles of a block: a share of all of them within these limits.
 SHARE, LEAST, MOST = 24, 1_000, 50_000
 ROWS_OUT = 200_000
+#: Rows of ids that are broadcast at most, each with its block or seed.
+MEMBERS = 500_000
 
 
 def _spans(docs: DataFrame) -> list[tuple[int, int, int, int]]:
@@ -47,7 +49,7 @@ def _entries(docs: DataFrame, marks: DataFrame) -> DataFrame:
     anchor = marks.where("kind = 'a'").select("token").distinct().withColumn("anchor", F.lit(True))
     words = freq.where("df >= 2").join(anchor, "token", "left").select(F.lit("a").alias("kind"), "token", (F.lit(1.0) / F.log2(F.col("df") + 1.0)).alias("w"), F.coalesce("anchor", F.lit(False)).alias("anchor"))
     phrases = marks.where("kind = 'p' and df >= 2").select("kind", "token", F.lit(None).cast("double").alias("w"), F.lit(False).alias("anchor")).distinct()
-    vocabulary = cut(words.unionByName(phrases).orderBy("kind", "token").withColumn("word", F.monotonically_increasing_id()))
+    vocabulary = small_side(words.unionByName(phrases).orderBy("kind", "token").withColumn("word", F.monotonically_increasing_id()))
     single = docs.select("id", F.lit("a").alias("kind"), F.posexplode("all_tokens").alias("pos", "token"))
     double = marks.where("kind = 'p' and df >= 2").select("id", "kind", "pos", "token")
     return single.unionByName(double).join(vocabulary, ["kind", "token"]).select("id", "word", "pos", "w", "anchor")
@@ -137,8 +139,9 @@ def _in_spans(docs: DataFrame, spans: list[tuple[int, int, int, int]]) -> DataFr
 
 
 def packed(docs: DataFrame, marks: DataFrame, placed: DataFrame) -> DataFrame:
-    """(block, blob): the packed blocks of articles in ``placed``, which has their rows and ``block``."""
-    entries = _entries(docs, marks).toDF("owner", "word", "pos", "w", "anchor").join(placed.select(F.col("id").alias("owner"), F.col("block").alias("part")), "owner")
+    """(block, blob): the packed blocks of articles in ``placed``, which has their rows and ``block``. Where the numbers of words and blocks
+    fit a broadcast, entries are exchanged once, to their block."""
+    entries = _entries(docs, marks).toDF("owner", "word", "pos", "w", "anchor").join(small_side(placed.select(F.col("id").alias("owner"), F.col("block").alias("part")), MEMBERS), "owner")
 
     def pack(k: tuple, d: pd.DataFrame, e: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame({"block": [k[0]], "blob": [_pack(d, e)]}) if len(d) else pd.DataFrame({"block": [], "blob": []})
